@@ -1,8 +1,11 @@
 """The queries of the training-data operators and, where SQL can state them, their SQL."""
 
-from . import exact_dedup, mixing
+from . import exact_dedup, language, mixing, pieces, toxicity
 
 QUERIES = {
+    "op4_language_id": language.op4_language_id,
+    "op7_toxicity": toxicity.op7_toxicity,
+    "op8_pieces": pieces.op8_pieces,
     "op9_mixing": mixing.op9_mixing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
