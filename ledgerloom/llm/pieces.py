@@ -194,7 +194,7 @@ class PieceModel:
         split = [self.words.findall(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        new = list({w for words in split for w in words} - self.cache.keys())
+        new = [w for w in {w for words in split for w in words} if w not in self.cache]
         if new:
             self.cache.update(zip(new, self._merge([w.replace(" ", SPACE) for w in new])))
         head, tail = (int(i).to_bytes(4, "little") for i in (self.bos, self.eos))

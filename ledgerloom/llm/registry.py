@@ -1,8 +1,10 @@
 """The queries of the training-data operators and, where SQL can state them, their SQL."""
 
-from . import exact_dedup, language, mixing, pieces, toxicity
+from . import exact_dedup, knn, language, minhash, mixing, pieces, toxicity
 
 QUERIES = {
+    "op2_minhash": minhash.op2_minhash,
+    "op3_voronoi_knn": knn.op3_voronoi_knn,
     "op4_language_id": language.op4_language_id,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_pieces": pieces.op8_pieces,
@@ -11,6 +13,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_voronoi_knn": knn.OP3_SQL,
     "op9_mixing": mixing.OP9_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
 }
