@@ -1,8 +1,9 @@
 """The queries of the training-data operators and, where SQL can state them, their SQL."""
 
-from . import exact_dedup, knn, language, minhash, mixing, pieces, toxicity
+from . import exact_dedup, knn, language, line_dedup, minhash, mixing, pieces, toxicity
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_minhash": minhash.op2_minhash,
     "op3_voronoi_knn": knn.op3_voronoi_knn,
     "op4_language_id": language.op4_language_id,
