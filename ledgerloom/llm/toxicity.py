@@ -21,7 +21,7 @@ BITS = 20
 #: Expected number of labelled rows of each class that the fit reads (drawn by a hash of doc_id).
 TRAIN_PER_CLASS = 3000
 #: Features the regression weighs: those with the strongest evidence, present in at least MIN_DOCS training texts.
-FEATURES = 20_000
+FEATURES = 8000
 MIN_DOCS = 5
 THRESHOLD = 0.3
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -59,17 +59,16 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def _logistic(rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, ridge: float = 3.0, rounds: int = 300) -> tuple[np.ndarray, float]:
+def _logistic(rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, ridge: float = 3.0, rounds: int = 200) -> tuple[np.ndarray, float]:
     """Weights of the scaled features by gradient descent with a step of its own for each weight."""
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    col = np.concatenate(rows).astype(np.int64) if len(row) else np.empty(0, np.int64)
-    value = scale[col]
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    col = np.concatenate(rows) if rows else np.empty(0, np.int32)
     w, b = np.zeros(len(scale)), 0.0
     gw, gb = np.full(len(scale), 1e-8), 1e-8
     for _ in range(rounds):
-        z = b + np.bincount(row, value * w[col], len(rows))
+        z = b + np.bincount(row, (scale * w)[col], len(rows))
         error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels
-        dw, db = np.bincount(col, value * error[row], len(scale)) + ridge * w, float(error.sum())
+        dw, db = scale * np.bincount(col, error[row], len(scale)) + ridge * w, float(error.sum())
         gw += dw * dw
         gb += db * db
         w -= 0.3 * dw / np.sqrt(gw)
@@ -110,11 +109,11 @@ def fit(labelled: DataFrame, counts: dict[int, int]) -> Model:
     def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             own = [place[grams(t)] for t in batch["text"]]
-            yield pd.DataFrame({"own": [x[x >= 0] for x in own], "label": batch["label"]})
+            yield pd.DataFrame({"own": [x[x >= 0].tobytes() for x in own], "label": batch["label"]})
 
-    rows = sample.mapInPandas(project, "own array<int>, label int").collect()  # at most the documented sample
-    rows.sort(key=lambda r: (r["label"], r["own"]))
-    weights, bias = _logistic([np.array(r["own"], np.int64) for r in rows], np.array([r["label"] for r in rows], float), ratios)
+    rows = sample.mapInPandas(project, "own binary, label int").collect()  # the documented sample of at most FEATURES numbers each
+    rows.sort(key=lambda r: (r["label"], bytes(r["own"])))
+    weights, bias = _logistic([np.frombuffer(r["own"], np.int32) for r in rows], np.array([r["label"] for r in rows], float), ratios)
     # back from the sample's class shares to those of all labelled rows
     bias += float(np.log(positive / negative) - np.log(n[1] / n[0]))
     return Model(features, weights * ratios, bias)
