@@ -225,13 +225,13 @@ def default_model() -> str:
 
 
 def encoded(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", model: str | None = None, keep_ids: bool = False) -> DataFrame:
-    """One row per input row: doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids, decoded if keep_ids).
+    """One row per input row: doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids if keep_ids).
 
     A null text counts as empty and has the begin and end ids only. Nothing shuffles; an empty table gives no rows.
     """
     path = model or default_model()
     small_batches(docs.sparkSession)
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = piece_model(path)
@@ -246,7 +246,7 @@ def encoded(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", model:
                 "decoded_sha256": [hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in decoded],
             }
             if keep_ids:
-                out |= {"ids": [x.astype(np.int32) for x in arrays], "decoded": decoded}
+                out["ids"] = [x.astype(np.int32) for x in arrays]
             yield pd.DataFrame(out)
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInPandas(run, schema)
