@@ -1,0 +1,375 @@
+"""Every operator on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
+
+import collections
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+from ledgerloom.llm import exact_dedup, html_text, knn, language, licences, line_dedup, minhash, mixing, pieces, toxicity
+
+WORDS = ["alpha", "beta", "gamma", "delta", "river", "stone", "cloud", "green", "seven", "light", "paper", "horse", "table", "music", "water"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+#: Columns whose names operators might use inside.
+CLASH = "size int, rank int, score int, n int, row_no int, class int, bucket int, line int, key int, band int, target int, flag int"
+
+
+def prose(seed, n=60):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) + str(r.randrange(40)) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls everywhere, empty texts, one long text, copies, a repeated row."""
+    base = prose(1)
+    data = [
+        (0, base, "en", "a", 1), (1, base + " \n", "en", "a", 1), (2, base.replace(" ", "  "), "en", None, 1), (3, None, None, None, None), (4, "", "en", "b", 0),
+        (5, " \t\n", None, "b", 3), (6, prose(2, 20000), "en", "b", None), (7, prose(3), "en", "a", 9), (7, prose(3), "en", "a", 9), (None, prose(4), "en", "a", 9),
+        (None, None, None, None, None), (9, "!!! 123 ...", "en", "c", 2), (10, prose(1, 59) + " other", "en", "c", 2),
+    ]
+    df = spark.createDataFrame(data, SCHEMA)
+    for c in CLASH.split(", "):
+        df = df.selectExpr("*", f"7 AS {c.split()[0]}")
+    return df
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def strip(text):
+    return re.sub(r"[\x20\x09-\x0D]", "", text or "")
+
+
+def test_exact_dedup_groups(odd, empty):
+    got = exact_dedup.duplicate_groups(odd).collect()
+    data = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    groups = collections.defaultdict(list)
+    for d, t in data:
+        groups[strip(t)].append((-len(t or ""), d is None, d or 0))
+    assert len(got) == len(data)
+    for r in got:
+        own = next(g for t, g in groups.items() if hashlib.sha256(t.encode()).hexdigest() == r["text_sha256"])
+        first = min(own)
+        assert (r["group_size"], r["keep_id"]) == (len(own), None if first[1] else first[2])
+    kept = collections.Counter(r["text_sha256"] for r in got if r["kept"])
+    assert set(kept.values()) == {1} and len(kept) == len(groups)
+    assert exact_dedup.duplicate_groups(empty).count() == 0
+
+
+def test_exact_dedup_rows(odd, empty):
+    out = exact_dedup.exact_dedup(odd)
+    assert out.columns == odd.columns
+    assert len({strip(r["text"]) for r in odd.collect()}) == out.count() == len({strip(r["text"]) for r in out.collect()})
+    assert exact_dedup.exact_dedup(empty).count() == 0
+
+
+def test_exact_dedup_filter_is_safe(spark):
+    """Every repeated digest is flagged, however full the filter is."""
+    df = spark.range(4000).selectExpr("sha2(cast(id % 3000 as string), 256) AS h", "id")
+    for bits in (1 << 15, 1 << 18):
+        flagged = exact_dedup.possibly_repeated(df, "h", exact_dedup.repeat_filter(df, "h", bits), bits, "maybe")
+        assert flagged.filter("id % 3000 < 1000 and not maybe").count() == 0
+    assert flagged.filter("not maybe").count() > 1500
+
+
+def test_near_duplicates_against_brute_force(spark):
+    r = random.Random(5)
+    data, base = [], [w for w in prose(10, 150).split()]
+    for k in range(160):  # one crowded group whose copies differ from each other more than from the original
+        own = list(base)
+        for _ in range(r.randrange(9)):
+            own[r.randrange(len(own))] = f"x{r.randrange(10**6)}"
+        data.append((k, " ".join(own)))
+    data += [(1000 + k, prose(k + 50, r.choice([1, 3, 5, 40]))) for k in range(40)]
+    data += [(2000 + k, data[k][1].upper()) for k in range(0, 160, 7)] + [(3000, None), (3001, ""), (3002, "")]
+    got = {x["doc_id"]: (x["class_id"], x["class_size"]) for x in minhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()}
+    bags = {}
+    for d, t in data:
+        w = (t or "").lower().split()
+        bags[d] = collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else None
+    root = {d: d for d in bags}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(bags, 2):
+        if bags[a] and bags[b] and 5 * sum((bags[a] & bags[b]).values()) >= 4 * sum((bags[a] | bags[b]).values()):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    sizes = collections.Counter(map(find, bags))
+    assert got == {d: (find(d), sizes[find(d)]) for d in bags}
+
+
+def test_near_dedup_rows(odd, empty):
+    out = minhash.near_dedup(odd)
+    assert out.columns == odd.columns
+    ids = [r["doc_id"] for r in out.collect()]
+    assert 0 in ids and not {1, 2} & set(ids) and ids.count(None) == 2 and {3, 4, 5, 6} <= set(ids)
+    assert minhash.near_dedup(empty).count() == 0
+
+
+def test_dart_signatures_estimate_similarity():
+    r = np.random.default_rng(3)
+    base = r.integers(0, 2**63, 400, dtype=np.uint64)
+    base = np.r_[base, base[:100]]
+    for share in (0.05, 0.2, 0.5):
+        diffs = []
+        for _ in range(20):
+            other = base.copy()
+            k = int(len(base) * share)
+            other[r.choice(len(base), k, replace=False)] = r.integers(0, 2**63, k, dtype=np.uint64)
+            a, b = minhash.signatures([base, other])
+            diffs.append((a == b).mean() - minhash.similarity(np.sort(base), np.sort(other)))
+        assert abs(np.mean(diffs)) < 0.03
+    assert (minhash.signatures([np.empty(0, np.uint64)]) == np.iinfo(np.uint64).max).all()
+
+
+def _vectors(spark, n, dim, seed, copies=0):
+    r = np.random.default_rng(seed)
+    data = [(i, [float(x) for x in r.normal(size=dim)]) for i in range(n)] + [(n + i, [0.5] * dim) for i in range(copies)]
+    return spark.createDataFrame(data, "vec_id long, embedding array<double>"), data
+
+
+def test_knn_against_brute_force(spark):
+    df, data = _vectors(spark, 300, 8, 1, copies=40)
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in knn.top_k(df, df.filter("vec_id % 50 = 0")).collect()}
+    v = {i: np.floor(np.array(x) * 256).astype(int) for i, x in data}
+    want = {}
+    for q in [i for i in v if i % 50 == 0]:
+        best = sorted((-int(v[q] @ v[i]), i) for i in v if i != q)[:5]
+        want |= {(q, k + 1): (i, -s) for k, (s, i) in enumerate(best)}
+    assert got == want
+
+
+def test_knn_odd_rows(spark):
+    bad = [(0, [1.0, 2.0]), (50, None), (100, [1.0, None]), (150, [float("nan"), 1.0]), (200, [float("inf"), 1.0]), (1, [3.0, 1.0]), (1, [3.0, 1.0]), (2, [1.0]), (None, [1.0, 1.0]), (3, [])]
+    df = spark.createDataFrame(bad, "vec_id long, embedding array<double>").selectExpr("*", "1 AS score", "2 AS cell", "3 AS d")
+    assert [tuple(r) for r in knn.top_k(df, df.filter("vec_id % 50 = 0")).collect()] == [(0, 1, 1, 256 * 768 + 512 * 256)]
+    none = df.filter("vec_id < 0")
+    assert knn.top_k(none, none).count() == 0
+
+
+def test_language_profiles(spark, odd, empty):
+    de = "der die und ist nicht das ein auf mit sich des dem zu den von wird werden einen schule strasse freund"
+    en = "the and is not that a on with itself of to from will become one school street friend this have"
+    r = random.Random(1)
+    data = [(i, " ".join(r.choice(x.split()) for _ in range(40)), n, "s", 1) for i in range(80) for n, x in (("de", de), ("en", en))]
+    profiles = language.learn_profiles(spark.createDataFrame(data, SCHEMA))
+    out = language.identified(spark.createDataFrame(data, SCHEMA), profiles)
+    assert out.filter("lang <> lang_pred").count() == 0 and out.filter("score < 0 or score > 1").count() == 0
+    odd_out = {(x["doc_id"], x["text"]): x["lang_pred"] for x in language.identified(odd.drop("score"), profiles).collect()}
+    assert odd_out[(3, None)] == odd_out[(4, "")] == odd_out[(9, "!!! 123 ...")] == "und"
+    nothing = language.learn_profiles(empty)
+    assert nothing.languages == [] and nothing.predict("words") == ("und", 0.0)
+    assert language.identified(empty, profiles).count() == 0
+
+
+def test_language_grams_by_hand():
+    grams, counts = language.gram_counts("Ab, ab!")
+    text = {"".join(chr(g >> s & 0x1FFFFF) for s in (42, 21, 0) if g >> s & 0x1FFFFF): n for g, n in zip(grams.tolist(), counts.tolist())}
+    assert text == {"a": 2, "b": 2, " a": 2, "ab": 2, "b ": 2, " ab": 2, "ab ": 2}
+
+
+def test_licences_against_brute_force(spark, odd, empty):
+    texts = ["Released under the MIT License.", "x\nLicensed under the Apache License, Version 2.0!\ny", "all RIGHTS reserved", "All rights", None, "", "Licensed under CC BY-NC 4.0.\nThis work is licensed under the GNU General Public License, version 3."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "1 AS score", "'x' AS licence", "1 AS line")
+    got = {r["doc_id"]: (r["licence"], r["line"], r["n_matches"]) for r in licences.scanned(df).collect()}
+    assert got == {0: ("MIT", 0, 1), 1: ("Apache-2.0", 1, 2), 2: ("LicenseRef-proprietary", 0, 1), 3: (None, None, 0), 4: (None, None, 0), 5: (None, None, 0), 6: ("GPL-3.0", 1, 2)}
+    assert licences.scanned(odd).count() == odd.count() and licences.scanned(empty).count() == 0
+    units = [t for t in texts if t] + [" ".join(licences.TEMPLATES[3][1].split()[:5] + ["now"])]
+    for t in units:
+        for line in t.split("\n"):
+            own = set(licences.template_bigrams(line))
+            for _, template in licences.TEMPLATES:
+                theirs = set(licences.template_bigrams(template))
+                if own and 2 * len(own & theirs) >= 0.8 * (len(own) + len(theirs)):
+                    low, high = licences.bounds(len(theirs), 0.8)
+                    assert low <= len(own) <= high
+
+
+PAGE = """<!DOCTYPE html><html><head><title>Not text</title><script>var a = "<p>no</p>";</script><style>p{}</style></head><body><nav><ul><li><a href="/a">One</a></li><li><a href="/b">Two</a></li></ul></nav>
+<div class="ad">Buy things now, they are good.</div><article><h1>The &amp; title</h1><p>First   paragraph with <b>bold</b>
+and <a href="x">linked</a> words, long enough to be prose.</p><p>Second one &#8212; also with words.</p></article><footer>&copy; someone</footer></body></html>"""
+
+
+def test_html_blocks():
+    found = html_text.blocks(PAGE)
+    assert [t for _, t, _ in found] == ["One", "Two", "Buy things now, they are good.", "The & title", "First paragraph with bold and linked words, long enough to be prose.", "Second one — also with words.", "© someone"]
+    assert html_text.blocks(None) == html_text.blocks("") == html_text.blocks("<script>x") == []
+    assert [p[-1] for p, _, _ in html_text.blocks("<p><b>a<br><p>b<li>c<li>d")] == ["p", "p", "li", "li"]
+
+
+def test_html_extraction(spark):
+    model = html_text.fit([PAGE] * 3)
+    data = [(1, "u", PAGE), (2, "u", None), (3, "u", ""), (3, "u", ""), (4, "u", "<p>" + prose(1, 30000) + ".")]
+    df = spark.createDataFrame(data, "page_id long, url string, html string").selectExpr("*", "1 AS path", "2 AS z")
+    got = html_text.extracted(df, model).collect()
+    one = next(r for r in got if r["page_id"] == 1)
+    assert one["text"] == "The & title\nFirst paragraph with bold and linked words, long enough to be prose.\nSecond one — also with words." and one["n_chars"] == len(one["text"])
+    assert [(r["text"], r["n_chars"]) for r in got if r["page_id"] in (2, 3)] == [("", 0)] * 3
+    assert html_text.extracted(df.filter("page_id > 9"), model).count() == 0
+
+
+def test_html_labeller_learns_other_layouts():
+    model = html_text.fit([PAGE] * 3)
+    r, right, total = random.Random(123), 0, 0
+    for _ in range(120):
+        page, label = html_text._layouts([prose(k) for k in range(10)], r)
+        x, mask = html_text.padded([html_text.Vectors().page(page)])
+        right += int(((model.scores(x, mask)[:, 0] > 0) == (np.array(label) == 1)).sum())
+        total += len(label)
+    assert right / total > 0.95
+
+
+def test_lstm_gradients():
+    r = np.random.default_rng(0)
+    model = html_text.Labeller()
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    x, mask = r.normal(size=(5, 2, html_text.WIDTH)), np.array([[1, 1], [1, 1], [1, 1], [1, 0], [1, 0]], float)
+    weight = r.normal(size=(5, 2, html_text.HIDDEN))
+
+    def loss():
+        return float((model._pass(x, mask, "b", None).astype(np.float64) * weight).sum())
+
+    kept, grad = [], {}
+    model._pass(x, mask, "b", kept)
+    model._back(x, weight, "b", kept, grad)
+    for at in ((0, 3), (html_text.WIDTH + 1, 30), (5, 65)):
+        model.p["Wb"][at] += 1e-3
+        up = loss()
+        model.p["Wb"][at] -= 2e-3
+        down = loss()
+        model.p["Wb"][at] += 1e-3
+        assert abs((up - down) / 2e-3 - grad["Wb"][at]) < 0.02 * max(1.0, abs(grad["Wb"][at]))
+
+
+def test_line_matches_against_brute_force(spark):
+    r = random.Random(8)
+    pool = [prose(k, r.choice([1, 2, 4, 8, 20, 60])) for k in range(40)]
+    data = []
+    for d in range(120):
+        lines = []
+        for _ in range(r.randrange(6)):
+            words = r.choice(pool).split()
+            for _ in range(r.choice([0, 0, 1, 3])):
+                words[r.randrange(len(words))] = f"y{r.randrange(50)}"
+            lines.append(" ".join(words) if r.random() < 0.9 else "")
+        data.append((d, "\n".join(lines)))
+    data += [(500, None), (501, ""), (502, "The same\nthe  SAME\r\n\nother")]
+    df = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "1 AS key", "2 AS line")
+    got = {x["doc_id"]: (x["n_lines"], x["n_links"], list(x["removed"]), list(x["earliest"])) for x in line_dedup.line_matches(df).collect()}
+    lines = {(d, i): frozenset(re.findall(r"[^ \t\n\x0b\x0c\r]+", line.lower())) for d, t in data for i, line in enumerate((t or "").split("\n"))}
+    sets = {s for s in lines.values() if s}
+    like = {s: {o for o in sets if 5 * len(s & o) >= 4 * len(s | o)} for s in sets}
+    first = {}
+    for at in sorted(lines):
+        first.setdefault(lines[at], at)
+    want = {}
+    for d, t in data:
+        own = [(i, lines[(d, i)]) for i in range(len((t or "").split("\n")))]
+        gone = [(i, min(first[o] for o in like[s])[0]) for i, s in own if s and min(first[o] for o in like[s]) < (d, i)]
+        want[d] = (len(own), sum(len(like[s]) - 1 for _, s in own if s), [i for i, _ in gone], [e for _, e in gone])
+    assert got == want
+
+
+def test_line_dedup_rows(odd, empty):
+    out = line_dedup.line_dedup(odd)
+    assert out.columns == odd.columns and out.count() == odd.count()
+    text = {(r["doc_id"], r["source"]): r["text"] for r in out.collect()}
+    assert text[(1, "a")] == "" and text[(3, None)] is None and text[(0, "a")] == prose(1)
+    assert line_dedup.line_dedup(empty).count() == 0
+
+
+def test_line_pieces_split_long_texts(monkeypatch):
+    monkeypatch.setattr(line_dedup, "PIECE", 50)
+    texts = [prose(1, 100).replace(" ", "\n"), None, "", "a\n" * 200, prose(2, 30)]
+    seen = collections.Counter()
+    joined = []
+    for own, sizes, text in line_dedup.pieces(texts):
+        assert text.count("\n") + 1 == sum(sizes)
+        seen.update(dict(zip(own, [0] * len(own))))
+        for i, n in zip(own, sizes):
+            seen[i] += n
+        joined.append(text)
+    assert [seen[i] for i in range(5)] == [len((t or "").split("\n")) for t in texts]
+
+
+def test_mixing_meets_targets(spark):
+    r = random.Random(4)
+    data = [(i, " ".join(["w"] * r.randrange(1, 60)), "en", f"s{min(i % 9, 4)}" if i % 11 else None, 1) for i in range(3000)]
+    plan = mixing.mix(spark.createDataFrame(data, SCHEMA).repartition(5)).collect()
+    by = collections.defaultdict(list)
+    for x in plan:
+        by[x["source"]].append(x)
+    total = sum(x["size"] for x in plan)
+    names = sorted(by, key=lambda s: (s is None, s or ""))
+    weights = dict(zip(names, itertools.cycle((3, 1, 2))))
+    sizes = {s: sum(x["size"] for x in by[s]) for s in names}
+    target, clamped = {}, set()
+    while True:
+        rest = 1.5 * total - sum(2 * sizes[s] for s in clamped)
+        share = {s: rest * weights[s] / sum(weights[t] for t in names if t not in clamped) for s in names if s not in clamped}
+        more = {s for s, v in share.items() if v > 2 * sizes[s]}
+        if not more:
+            break
+        clamped |= more
+    target = share | {s: 2.0 * sizes[s] for s in clamped}
+    for s in names:
+        assert by[s][0]["source_size"] == sizes[s] and by[s][0]["target"] == pytest.approx(target[s])
+        assert abs(sum(x["taken"] for x in by[s]) - target[s]) <= 60
+    assert all(x["taken"] <= 2 * x["size"] for x in plan)
+    again = mixing.mix(spark.createDataFrame(data[::-1], SCHEMA)).collect()
+    assert sorted((x["doc_id"], x["taken"]) for x in again) == sorted((x["doc_id"], x["taken"]) for x in plan)
+
+
+def test_mixing_odd_rows(odd, empty):
+    assert mixing.mix(odd).count() == odd.count() and mixing.mix(empty).count() == 0
+    out = mixing.mixed_documents(odd)
+    assert out.columns == odd.columns and out.count() > 0 and mixing.mixed_documents(empty).count() == 0
+
+
+def test_pieces_equal_the_library():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
+    library, own, r = sentencepiece.SentencePieceProcessor(model_file=path), pieces.piece_model(path), random.Random(2)
+    texts = ["", " ", "  ", "▁▁a▁", "\n\n x\t\x00", "日本語 𝒳 é", "a" * 3000, " " * 1500, "<s> <0x41>", "ab" * 700, prose(1, 500)]
+    texts += ["".join(r.choice(["th", "e", "er", " ", "in", "  ", "    ", "0", "12", "\n", "é", "▁", "日", "ion"]) for _ in range(r.randint(1, 50))) for _ in range(1500)]
+    for text, ids in zip(texts, own.encode_batch(texts)):
+        ids = np.frombuffer(ids, "<u4")
+        assert ids.tolist() == library.encode(text, add_bos=True, add_eos=True)
+        assert own.decode(ids) == library.decode(ids.tolist())
+    for _ in range(1500):
+        ids = [r.randrange(400) for _ in range(r.randrange(12))]
+        assert own.decode(np.array(ids, "<u4")) == library.decode(ids)
+
+
+def test_pieces_odd_rows(spark, odd, empty):
+    pytest.importorskip("public_tokenizers")
+    got = {r["doc_id"]: r for r in pieces.encoded(odd, keep_ids=True).collect()}
+    assert got[3]["n_tokens"] == got[4]["n_tokens"] == 2 and list(got[3]["ids"]) == [1, 2]
+    assert got[0]["decoded_sha256"] == hashlib.sha256(prose(1).encode()).hexdigest()
+    assert pieces.encoded(empty).count() == 0
+
+
+def test_toxicity_learns(spark, odd, empty):
+    r = random.Random(6)
+    data = [(i, prose(i, 30) + (" you horrid fool " + prose(i + 1, 5) if i % 5 == 0 else ""), "en", "s", 1) for i in range(400)]
+    docs = spark.createDataFrame(data, SCHEMA)
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(400)] + [(None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
+    sample, counts = toxicity.labelled_sample(docs, labels)
+    model = toxicity.fit(sample, counts)
+    out = {x["doc_id"]: x["score"] for x in toxicity.scored(docs, model).collect()}
+    assert all((out[i] >= 0.3) == (i % 5 == 0) for i in out)
+    assert toxicity.scored(odd.drop("score"), model).filter("score >= 0 and score <= 1").count() == odd.count()
+    assert toxicity.scored(empty, model).count() == 0
+    sample, counts = toxicity.labelled_sample(empty, labels.filter("doc_id < 0"))
+    assert toxicity.fit(sample, counts).score("anything") == pytest.approx(0.5)
+    del r
