@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import scalars as X
@@ -43,7 +42,7 @@ CASES = (
 )
 RENAMES = (("CTL", "LUMN"), ("SYMC", "GEN"))
 
-_CASE = T.StructType.fromDDL("symbol string, categories array<string>, roles array<string>, event_type string, event_date date, place int")
+_CASE = "symbol string, categories array<string>, roles array<string>, event_type string, event_date date, place int"
 _FACTS = "company_name active delisted_date has_alpaca_asset symbol_identity_conflict".split()
 
 

@@ -97,7 +97,7 @@ def ticker_symbols(cells: DataFrame) -> DataFrame:
     """Distinct symbols under a ticker header of any table; a cell may list several."""
     found = _columns(cells, {"at": TICKER_HEADERS}).filter("at is not null")
     own = cells.join(found, ["doc", "table_no"]).filter("col_no = at")
-    values = own.select(X.symbol(F.explode(F.split("text", r"[,/\s]+"))).alias("symbol"))
+    values = own.select(F.explode(F.split("text", r"[,/\s]+")).alias("value")).select(X.symbol("value").alias("symbol"))
     return values.filter(F.col("symbol").isNotNull() & ~F.col("symbol").isin("N/A", "NA", "TICKER", "SYMBOL")).distinct()
 
 
