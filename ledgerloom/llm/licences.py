@@ -3,7 +3,8 @@
 Units of a document are its lines and, if it has several, the whole text. A unit's distinct word bigrams A and a
 template's B match if 2 |A and B| / (|A| + |B|) reaches the threshold. Only units whose size lies within the bounds that
 the threshold sets for some template are looked at, and a unit meets a template only through one of the template's
-rarest bigrams: a matching unit must hold one of them, since it may miss only so many.
+rarest bigrams: a matching unit must hold one of them, since it may miss only so many. So documents without the longer
+word of any of these bigrams are passed over before any bigram is made.
 """
 
 from __future__ import annotations
@@ -57,11 +58,16 @@ def template_bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
+def words(text: Column) -> Column:
+    """The words of a text in lower case: runs of letters and digits."""
+    return F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), " ")
+
+
 def bigrams(text: Column) -> Column:
-    """The distinct word bigrams of a text: lower case, words are runs of letters and digits."""
-    words = F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), " ")
-    following = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), following, lambda a, b: F.concat(a, F.lit(" "), b)))
+    """The distinct word bigrams of a text."""
+    own = words(text)
+    following = F.slice(own, F.lit(2), F.greatest(F.size(own) - 1, F.lit(0)))
+    return F.array_distinct(F.zip_with(F.slice(own, F.lit(1), F.greatest(F.size(own) - 1, F.lit(0))), following, lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
 def bounds(size: int, similar: float) -> tuple[int, int]:
@@ -98,7 +104,8 @@ def licence_matches(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rare = spark.createDataFrame(rows, "gram string, template int, low int, high int")
     full = spark.createDataFrame(own, "template int, licence string, theirs array<string>")
     low, high = min((r[2] for r in rows), default=0), max((r[3] for r in rows), default=-1)
-    units = _units(docs, text, doc_id)
+    telling = sorted({max(g.split(), key=lambda w: (len(w), w)) for g, *_ in rows})
+    units = _units(docs.filter(F.arrays_overlap(words(F.col(text).cast("string")), F.array(*[F.lit(w) for w in telling]))), text, doc_id)
     # a unit of n distinct bigrams has n + 1 words, 2 n + 1 characters at least; longer repetitive ones stay
     sized = units.filter(F.length("unit") > 2 * low).select("doc_id", "line", bigrams(F.col("unit")).alias("grams")).withColumn("n", F.size("grams")).filter(F.col("n").between(low, high))
     met = sized.select("doc_id", "line", "n", F.explode("grams").alias("gram")).join(F.broadcast(rare), "gram").filter(F.col("n").between(F.col("low"), F.col("high")))
