@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import scalars as X
+from ..sources.tables import written
 from .validate import require_columns
 
 #: Longest chain of renames that is followed; each step of the recursion joins once more.
@@ -56,8 +57,9 @@ def chains(master: DataFrame, changes: DataFrame, snapshot: dt.date) -> DataFram
     default = steps.groupBy("cursor", "boundary").agg(best.alias("e")).select("cursor", "boundary", F.col("e.old").alias("old"), F.col("e.day").alias("day"))
     own = master.select("security_id", F.col("symbol").alias("old")).distinct()
     preferred = steps.join(own, "old").groupBy("security_id", "cursor", "boundary").agg(F.count(F.lit(1)).alias("n"), F.first("old").alias("p_old"), F.first("day").alias("p_day")).filter("n = 1").drop("n")
+    # every level of the recursion reads the edges again, so they are written down
     for name, df in (("walk_roots", roots), ("walk_default", default), ("walk_preferred", preferred)):
-        df.createOrReplaceTempView(f"ledgerloom_{name}")
+        written(df, name).createOrReplaceTempView(f"ledgerloom_{name}")
     spark.conf.set("spark.sql.cteRecursionLevelLimit", str(MAX_STEPS + 2))
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     return spark.sql(
@@ -81,15 +83,17 @@ def symbol_episodes(master: DataFrame, changes: DataFrame, snapshot: dt.date, hi
     require_columns(master, "security_id symbol company_name active delisted_date is_price_coverage_eligible exclusion_reason symbol_identity_conflict share_class_figi composite_figi cik primary_exchange".split(), "security master")
     master = master.withColumn("symbol", X.symbol("symbol")).withColumn("delisted_date", F.col("delisted_date").cast("date"))
     walk = chains(master, changes, snapshot)
-    # a symbol met twice keeps its deepest dates
-    starts = walk.groupBy("security_id", F.col("cursor").alias("symbol")).agg(F.max_by("day", "step").alias("chain_from"))
-    ends = walk.groupBy("security_id", F.col("old").alias("symbol")).agg(F.max_by(F.date_sub("day", 1), "step").alias("chain_to"))
+    # each step dates the end of its old symbol and the start of its cursor; a symbol met twice keeps its deepest dates
+    start = F.struct(F.col("cursor").alias("symbol"), F.col("day").alias("since"), F.lit(None).cast("date").alias("until"))
+    stop = F.struct(F.col("old").alias("symbol"), F.lit(None).cast("date").alias("since"), F.date_sub("day", 1).alias("until"))
+    bounds = walk.select("security_id", "step", F.inline(F.array(start, stop)))
+    deepest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("step")))
+    dated = written(bounds.groupBy("security_id", "symbol").agg(deepest("since").alias("chain_from"), deepest("until").alias("chain_to")), "episode-chains")
     end = terminals(master)
     rows = master.groupBy("security_id", "symbol").agg(
         F.max_by(F.struct("delisted_date", "is_price_coverage_eligible", "exclusion_reason", "symbol_identity_conflict", "composite_figi", "primary_exchange", "company_name", "share_class_figi", "cik"), F.struct("active", "delisted_date")).alias("own")
     )
-    symbols = rows.select("security_id", "symbol").unionByName(starts.select("security_id", "symbol")).unionByName(ends.select("security_id", "symbol")).distinct()
-    frame = symbols.join(rows, ["security_id", "symbol"], "left").join(starts, ["security_id", "symbol"], "left").join(ends, ["security_id", "symbol"], "left")
+    frame = rows.join(dated, ["security_id", "symbol"], "full_outer")
     representative = rows.withColumnRenamed("symbol", "terminal").withColumnRenamed("own", "rep").join(end, ["security_id", "terminal"])
     frame = frame.join(representative, "security_id")
     current = F.when(F.col("is_single"), F.col("terminal"))

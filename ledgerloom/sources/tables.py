@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,3 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not hasattr(shared_dir, "own"):
         shared_dir.own = tempfile.mkdtemp(prefix="ledgerloom-")
     return shared_dir.own
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read back: what was costly to compute is computed once."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
