@@ -7,7 +7,8 @@ of their weighted Jaccard similarity, at a cost that does not grow with coordina
 
 Equal token sequences collapse first. Distinct ones meet in the buckets of BANDS bands. A bucket does not emit all
 its pairs: its most connected document leads it, every other member is paired with the leader, and after the first
-round of exact verification only members that are not yet in the leader's class are paired further.
+round of exact verification only members outside the leader's class meet the others: inside tasks, in blocks of BLOCK
+documents, which return no more links than they connect.
 """
 
 from __future__ import annotations
@@ -26,13 +27,15 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
 SIZE = BANDS * ROWS
-#: Signature agreement below which a pair is not verified: five standard deviations under SIMILARITY.
-ESTIMATE = 0.65
+#: Signature agreement below which a pair is not verified: four standard deviations under SIMILARITY.
+ESTIMATE = 0.685
 #: Darts wanted for a signature: with so many an empty coordinate is rare (and then more are thrown).
 DARTS = SIZE * (np.log(SIZE) + 3)
 #: Rank shells: the first ends at 2^FIRST_SHELL, each further one at twice the rank before.
 FIRST_SHELL = -6
 BROADCAST_IDS = 1_000_000
+#: Members of a bucket that one task compares with as many others.
+BLOCK = 128
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -194,19 +197,24 @@ def _only(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(wanted) if ids.count() <= BROADCAST_IDS else wanted, F.col(column) == F.col("__id"), "left_semi")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, text: str, doc_id: str, similar: float) -> DataFrame:
-    """The pairs (a, b) whose exact weighted Jaccard similarity reaches `similar`.
-
-    Only documents that a pair names are read on; each travels as its sorted shingles (32 bits each), once a pair.
-    """
+def _bags(docs: DataFrame, ids: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """(id, own): the sorted shingles (32 bits each) of the documents of ids."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
         for batch in batches:
             yield pd.DataFrame({"id": batch["id"], "own": [np.sort((shingles(t, words) >> np.uint64(32)).astype(np.uint32)).tobytes() for t in batch["text"]]})
 
-    named = _only(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")), "id", _named(pairs))
-    bags = staged(named.mapInPandas(cut, "id long, own binary").dropDuplicates(["id"]), "near-bags")
+    named = _only(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")), "id", ids)
+    return staged(named.mapInPandas(cut, "id long, own binary").dropDuplicates(["id"]), "near-bags")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, text: str, doc_id: str, similar: float) -> DataFrame:
+    """The pairs (a, b) whose exact weighted Jaccard similarity reaches `similar`.
+
+    Only documents that a pair names are read on; each travels as its sorted shingles (32 bits each), once a pair.
+    """
+    bags = _bags(docs, _named(pairs), text, doc_id)
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -222,16 +230,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, doc_id: str, similar
 def connected(links: DataFrame, name: str = "near") -> DataFrame:
     """(id, class): the smallest id of every id's component, by rounds of smallest-neighbour links and shortcuts."""
     edges = staged(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), f"{name}-edges")
-    while not edges.isEmpty():
+    while True:
+        # done if every id is linked to one smaller id at most, and that one to none
+        smaller = edges.groupBy(F.col("b").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+        roots = edges.select(F.col("a").alias("id")).distinct().withColumn("root", F.lit(True))
+        if smaller.join(roots, "id", "left").filter("n > 1 or root").isEmpty():
+            break
         # every id finds the smallest of itself and its neighbours; all its neighbours and itself are linked to that one
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = staged(both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")), f"{name}-low")
         linked = both.join(low, "a").select(F.least("b", "low").alias("a"), F.greatest("b", "low").alias("b"))
         edges = staged(linked.unionByName(low.select(F.col("low").alias("a"), F.col("a").alias("b"))).filter("a < b").distinct(), f"{name}-edges")
-        # done if every id is linked to one smaller id at most, and that one to none
-        smaller = edges.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-        if smaller.filter("n > 1").isEmpty() and edges.select("a").join(smaller.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
-            break
     return edges.select(F.col("b").alias("id"), F.col("a").alias("class")).unionByName(edges.select(F.col("a").alias("id"), F.col("a").alias("class")).distinct())
 
 
@@ -246,7 +255,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     groups = staged(features.filter("seq is not null").groupBy("seq").agg(F.min("doc_id").alias("rep")), "near-groups")
     one = groups.select(F.col("rep").alias("__rep"), F.col("seq").alias("__seq"))
     reps = features.select("doc_id", "seq", "bands").join(one, (F.col("doc_id") == F.col("__rep")) & (F.col("seq") == F.col("__seq")), "left_semi")
-    bands = staged(reps.select("doc_id", F.explode("bands").alias("band")).distinct(), "near-bands")
+    bands = staged(reps.select("doc_id", F.posexplode("bands").alias("slot", "band")).distinct(), "near-bands")
     shared = staged(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-buckets")
     members = staged(bands.join(shared, "band"), "near-members")
     weight = staged(members.groupBy("doc_id").agg(F.sum("n").alias("weight")), "near-weights")
@@ -254,35 +263,107 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     lead = staged(lead.select("band", F.col("first.lead").alias("lead")), "near-leads")
     rays = members.join(lead, "band").filter("doc_id <> lead").select(F.least("doc_id", "lead").alias("a"), F.greatest("doc_id", "lead").alias("b")).distinct()
     links = _linked(staged(rays, "near-rays"), features, docs, text, doc_id, similar)
-    links = _completed(members, lead, links, features, docs, text, doc_id, similar)
+    links = _completed(members, lead, weight, links, features, docs, text, doc_id, similar)
     classes = connected(links)
     of_rep = groups.join(classes.withColumnRenamed("id", "rep"), "rep", "left").select("seq", F.coalesce("class", "rep").alias("class_rep"))
     return _members(features.select("doc_id", "seq").distinct(), staged(of_rep, "near-classes"))
 
 
+def _signatures_of(features: DataFrame, ids: DataFrame) -> DataFrame:
+    return staged(_only(features.select("doc_id", "sig"), "doc_id", ids).dropDuplicates(["doc_id"]), "near-sigs")
+
+
 def _linked(pairs: DataFrame, features: DataFrame, docs: DataFrame, text: str, doc_id: str, similar: float) -> DataFrame:
     """Those of the pairs (a, b) that are similar: signatures first, then exactly."""
-    sig = staged(_only(features.select("doc_id", "sig"), "doc_id", _named(pairs)).dropDuplicates(["doc_id"]), "near-sigs")
+    sig = _signatures_of(features, _named(pairs))
     a = sig.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a"))
     b = sig.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b"))
     plausible = staged(_plausible(pairs.join(a, "a").join(b, "b").select("a", "sig_a", "b", "sig_b")), "near-pairs")
     return staged(_verified(plausible, docs, text, doc_id, similar), "near-links")
 
 
-def _completed(members: DataFrame, lead: DataFrame, links: DataFrame, features: DataFrame, docs: DataFrame, text: str, doc_id: str, similar: float) -> DataFrame:
+def _starred(links: DataFrame, weight: DataFrame) -> DataFrame:
+    """(doc_id, class): of every linked document the most connected one among itself and those it is linked to."""
+    ends = links.select(F.col("a").alias("x"), F.col("b").alias("doc_id")).unionByName(links.select(F.col("b").alias("x"), F.col("a").alias("doc_id")))
+    best = ends.join(weight, "doc_id").groupBy("x").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("id"))).alias("best")).withColumnRenamed("x", "doc_id")
+    own = F.struct("weight", (-F.col("doc_id")).alias("id"))
+    return best.join(weight, "doc_id").select("doc_id", (-F.greatest("best", own)["id"]).alias("class"))
+
+
+def _completed(members: DataFrame, lead: DataFrame, weight: DataFrame, links: DataFrame, features: DataFrame, docs: DataFrame, text: str, doc_id: str, similar: float) -> DataFrame:
     """links plus those between members of one bucket that the leaders' links leave in different classes.
 
-    A member outside its leader's class meets the bucket's members of other classes; members inside the leader's
-    class need not meet each other, as they are connected already.
+    A class here is a document with those linked to it. A member outside its leader's class meets the bucket's members
+    of other classes; members inside need not meet each other, as they are connected already. Two documents meet in the
+    first bucket that they share only: if both are inside there, they are of one class.
     """
-    classes = staged(connected(links, "near-first").withColumnRenamed("id", "doc_id"), "near-first")
-    tagged = members.join(classes, "doc_id", "left").select("band", "doc_id", F.coalesce("class", "doc_id").alias("class"))
+    classes = staged(_starred(links, weight), "near-stars")
+    tagged = members.join(classes, "doc_id", "left").select("band", "slot", "doc_id", F.coalesce("class", "doc_id").alias("class"))
     lead_class = lead.join(classes.withColumnRenamed("doc_id", "lead"), "lead", "left").select("band", F.coalesce("class", "lead").alias("lead_class"))
-    tagged = staged(tagged.join(staged(lead_class, "near-lead-classes"), "band"), "near-tagged")
-    outside = staged(tagged.filter("class <> lead_class").select("band", F.col("doc_id").alias("x"), F.col("class").alias("class_x")), "near-outside")
-    everyone = tagged.select("band", F.col("doc_id").alias("y"), F.col("class").alias("class_y"))
-    pairs = outside.join(everyone, "band").filter("class_x <> class_y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return links.unionByName(_linked(staged(pairs, "near-rest"), features, docs, text, doc_id, similar))
+    tagged = staged(tagged.join(staged(lead_class, "near-lead-classes"), "band").withColumn("outside", F.col("class") != F.col("lead_class")), "near-tagged")
+    sizes = tagged.groupBy("band").agg(F.count(F.lit(1)).alias("n_all"), F.count_if("outside").alias("n_outside")).filter("n_outside > 0")
+    sizes = staged(sizes, "near-open")
+    if sizes.isEmpty():
+        return links
+    crowd = staged(tagged.join(sizes, "band").select("band", "slot", "doc_id", "class", "outside", "n_all", "n_outside"), "near-crowds")
+    ids = staged(crowd.select(F.col("doc_id").alias("id")).distinct(), "near-ids")
+    return links.unionByName(_met_in_blocks(crowd, _signatures_of(features, ids), _bags(docs, ids, text, doc_id), similar))
+
+
+def _unrepeated(own: np.ndarray) -> np.ndarray:
+    """Sorted shingles with the number of their occurrence, so that repeats are told apart; ascending."""
+    starts = np.maximum.accumulate(np.where(np.r_[True, own[1:] != own[:-1]], np.arange(len(own)), 0))
+    return own.astype(np.uint64) << np.uint64(32) | (np.arange(len(own)) - starts).astype(np.uint64)
+
+
+def _met_in_blocks(crowd: DataFrame, sig: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
+    """Links between the outside members and all members of each bucket that connect different classes.
+
+    A task compares one block of outside members with one block of members: signatures first, then shingles exactly.
+    Classes that it has connected are not compared again, so it returns fewer links than its blocks have members.
+    """
+    full = crowd.join(sig, "doc_id").join(bags.withColumnRenamed("id", "doc_id"), "doc_id")
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("long")
+    spread = lambda n: F.pmod(F.xxhash64("doc_id"), blocks(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1))
+    columns = ["band", "xb", "yb", "side", "slot", "doc_id", "class", "sig", "own"]
+    xs = full.filter("outside").withColumns({"side": F.lit(0), "xb": spread("n_outside")}).withColumn("yb", every("n_all"))
+    ys = full.withColumns({"side": F.lit(1), "yb": spread("n_all")}).withColumn("xb", every("n_outside"))
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while root.get(c, c) != c:
+                root[c] = c = root.get(root[c], root[c])
+            return c
+
+        x, y = rows[rows["side"] == 0], rows[rows["side"] == 1]
+        out: list[tuple[int, int]] = []
+        if len(x) and len(y):
+            theirs = np.frombuffer(b"".join(y["sig"]), np.uint32).reshape(len(y), SIZE)
+            y_ids, y_class = y["doc_id"].tolist(), y["class"].tolist()
+            y_own = [_unrepeated(np.frombuffer(b, np.uint32)) for b in y["own"]]
+            slot = int(rows["slot"].iloc[0])
+            for i, c, sig_i, own_i in zip(x["doc_id"], x["class"], x["sig"], x["own"]):
+                equal = theirs == np.frombuffer(sig_i, np.uint32)
+                first = equal.reshape(len(y), BANDS, ROWS).all(axis=2).argmax(axis=1) == slot
+                near = [j for j in np.flatnonzero(first & (equal.mean(axis=1) >= ESTIMATE)).tolist() if find(c) != find(y_class[j])]
+                if not near:
+                    continue
+                mine = _unrepeated(np.frombuffer(own_i, np.uint32))
+                sizes = np.array([len(y_own[j]) for j in near])
+                flat = np.concatenate([y_own[j] for j in near])
+                hits = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat
+                common = np.add.reduceat(hits.astype(np.int64), np.cumsum(sizes) - sizes)
+                for j, k, n in zip(near, common.tolist(), sizes.tolist()):
+                    if k >= similar * (len(mine) + n - k) - 1e-9 and find(c) != find(y_class[j]):
+                        root[find(c)] = find(y_class[j])
+                        out.append((min(i, y_ids[j]), max(i, y_ids[j])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+    met = xs.select(*columns).unionByName(ys.select(*columns)).groupBy("band", "xb", "yb").applyInPandas(meet, "a long, b long")
+    return staged(met.distinct(), "near-met")
 
 
 def _members(ids: DataFrame, of_rep: DataFrame) -> DataFrame:
