@@ -98,8 +98,8 @@ def licence_matches(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     for _, _, grams in own:
         for g in grams:
             count[g] = count.get(g, 0) + 1
-    # bigrams of long words in few templates are rare in other texts
-    order = lambda g: (count[g], -min(map(len, g.split())), g)
+    # bigrams with a long word are rare in other texts
+    order = lambda g: (-max(map(len, g.split())), count[g], g)
     rows = [(g, k, *bounds(len(b), similar)) for k, _, b in own for g in sorted(b, key=order)[: len(b) - math.ceil(len(b) * similar / (2 - similar) - 1e-9) + 1]]
     rare = spark.createDataFrame(rows, "gram string, template int, low int, high int")
     full = spark.createDataFrame(own, "template int, licence string, theirs array<string>")
