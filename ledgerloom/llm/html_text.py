@@ -385,8 +385,11 @@ def extracted(pages: DataFrame, model: Labeller, page: str = "html") -> DataFram
 
 def training_pages(pages: DataFrame, page: str = "html", page_id: str = "page_id") -> list[str]:
     """At most TRAIN_PAGES pages of at most TRAIN_CHARS characters, those of the smallest hashes of their ids."""
-    some = pages.select(F.col(page).alias("p"), F.xxhash64(F.col(page_id).cast("string")).alias("h")).filter(F.length("p").between(1, TRAIN_CHARS))
-    return [r["p"] for r in some.orderBy("h", "p").limit(TRAIN_PAGES).collect()]
+    # ids and hashes are ranked first, so that the ranking moves no pages
+    ranked = pages.filter(F.length(page).between(1, TRAIN_CHARS)).select(F.col(page_id).cast("string").alias("id"), F.xxhash64(F.col(page_id).cast("string")).alias("h"))
+    ids = [r["id"] for r in ranked.filter("id is not null").orderBy("h", "id").limit(TRAIN_PAGES).collect()]
+    some = pages.filter(F.col(page_id).cast("string").isin(ids) & F.length(page).between(1, TRAIN_CHARS)).select(F.col(page).alias("p"))
+    return sorted(r["p"] for r in some.limit(2 * TRAIN_PAGES).collect())[:TRAIN_PAGES]
 
 
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
