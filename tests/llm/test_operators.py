@@ -375,3 +375,15 @@ def test_toxicity_learns(spark, odd, empty):
     sample, counts = toxicity.labelled_sample(empty, labels.filter("doc_id < 0"))
     assert toxicity.fit(sample, counts).score("anything") == pytest.approx(0.5)
     del r
+
+
+def test_line_links_are_all_counted(spark):
+    """Variants of one line: each is linked to every other, whatever their number; classes follow links and equal lines."""
+    base = [f"w{i}" for i in range(18)]
+    data = [(d, " ".join(base + [f"own{d}"]) + (f"\nshared by {d // 2} two" if d > 7 else "")) for d in range(12)]
+    data += [(50, "nothing like it"), (51, "far away\nshared by 5 two"), (60, "Nothing  LIKE it"), (61, None), (62, "")]
+    got = {x["doc_id"]: (x["class_id"], x["n_links"], list(x["removed"])) for x in line_dedup.line_matches(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert {d: got[d][:2] for d in range(12)} == {d: (0, 11) for d in range(12)}
+    assert got[0][2] == [] and all(0 in got[d][2] for d in range(1, 12))
+    assert got[51] == (0, 0, [1]) and got[50] == (50, 0, []) and got[60] == (50, 0, [0])
+    assert got[61] == (61, 0, []) and got[62] == (62, 0, [])
