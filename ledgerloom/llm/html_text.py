@@ -28,15 +28,17 @@ HIDDEN = 20
 #: Pages that the training reads at most, and the longest page (characters) it takes.
 TRAIN_PAGES, TRAIN_CHARS = 150, 100_000
 ROUNDS = 14
-_NO_TEXT = "script|style|noscript|template|title|textarea|select|svg|iframe|object|canvas|audio|video|math"
+_NO_TEXT = "script|style|noscript|template|title|textarea|select|svg|iframe|object|canvas|audio|video"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>"
-    rf"|<(?P<skip>{_NO_TEXT})\b(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=skip)\s*>|\Z)"
+    rf"|<svg(?=[\s/])(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+(?<=/)>"
+    rf"|<(?P<skip>{_NO_TEXT})(?=[\s/>])(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=skip)\s*>|\Z)"
     rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
+_MATH = frozenset("math maction annotation annotation-xml menclose merror mfrac mi mlabeledtr mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
+_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split()) | _MATH
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _PARAGRAPH_ENDS = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _SIBLINGS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt", ("dl",)), "dd": ("dd", ("dl",)), "tr": ("tr", ("table",)), "td": ("td", ("tr", "table")), "th": ("th", ("tr", "table")), "option": ("option", ("select",))}

@@ -387,3 +387,13 @@ def test_line_links_are_all_counted(spark):
     assert got[0][2] == [] and all(0 in got[d][2] for d in range(1, 12))
     assert got[51] == (0, 0, [1]) and got[50] == (50, 0, []) and got[60] == (50, 0, [0])
     assert got[61] == (61, 0, []) and got[62] == (62, 0, [])
+
+
+def test_html_custom_elements_and_math_lose_no_text():
+    """Tags that only begin like a tag without text, self-closed svg, and MathML."""
+    texts = lambda page: [t for _, t, _ in html_text.blocks(page)]
+    for tag in ("video-player", "svg-icon", "title-bar", "object-list", "script-x", "math-view"):
+        assert texts(f"<p>Before.</p><{tag} a='1'>own</{tag}><p>After.</p>") == ["Before.", "own", "After."]
+    assert texts('<p>Before <svg viewBox="0 0 1 1"/> after.</p><p>More <svg/>text.</p><p>End.</p>') == ["Before after.", "More text.", "End."]
+    assert texts("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds, <math/> always.</p>") == ["So x=2 holds, always."]
+    assert texts("<p>a</p><svg\nwidth='1'><text>no</text></svg><VIDEO>no</VIDEO><title >no</title ><p>b</p>") == ["a", "b"]
