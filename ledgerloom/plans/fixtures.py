@@ -65,16 +65,16 @@ SELECT CAST(o_orderkey AS STRING) AS provider_event_id,
   CASE WHEN o_orderkey % 2 = 0 THEN 'P' || CAST(o_custkey + 1 AS STRING) ELSE NULL END AS related_symbol,
   CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING) AS rate
 FROM orders""",
-    # every customer is a security with one symbol; three customers share a symbol modulo 200
+    # every customer is a security with one symbol; two customers share a symbol, so symbols grow with the table
     "v_master": """
-SELECT 'S' || CAST(c_custkey AS STRING) AS security_id, 'C' || CAST(c_custkey % 200 AS STRING) AS symbol, c_name AS company_name,
+SELECT 'S' || CAST(c_custkey AS STRING) AS security_id, 'C' || CAST(c_custkey - c_custkey % 2 AS STRING) AS symbol, c_name AS company_name,
   c_custkey % 4 <> 0 AS active, CASE WHEN c_custkey % 4 = 0 THEN DATE '1998-01-01' + CAST(c_custkey % 900 AS INT) ELSE NULL END AS delisted_date,
   c_custkey % 7 <> 0 AS is_price_coverage_eligible, CASE WHEN c_custkey % 7 = 0 THEN 'ineligible_exchange' ELSE NULL END AS exclusion_reason,
-  c_custkey >= 200 AS symbol_identity_conflict, 'F' || CAST(c_custkey AS STRING) AS share_class_figi, CAST(NULL AS STRING) AS composite_figi,
+  count(*) OVER (PARTITION BY c_custkey - c_custkey % 2) > 1 AS symbol_identity_conflict, 'F' || CAST(c_custkey AS STRING) AS share_class_figi, CAST(NULL AS STRING) AS composite_figi,
   CAST(c_custkey AS STRING) AS cik, 'XNYS' AS primary_exchange, CAST(NULL AS STRING) AS sector, c_mktsegment AS industry,
   'asset-' || CAST(c_custkey AS STRING) AS alpaca_asset_id, 'active' AS alpaca_status, TRUE AS alpaca_tradable, c_custkey % 9 = 0 AS is_known_reit,
   DATE '2001-01-01' + CAST(c_custkey % 300 AS INT) AS last_updated_utc, c_custkey % 5 <> 0 AS has_alpaca_asset
-FROM customer WHERE c_custkey < 400""",
+FROM customer""",
 }
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
