@@ -17,7 +17,7 @@ from ..functions import scalars as X
 from ..sources.tables import written
 from .validate import require_columns
 
-#: Longest chain of renames that is followed; each step of the recursion joins once more.
+#: Steps of a walk at which Spark raises an error instead of cutting it; each step of the recursion joins once more.
 MAX_STEPS = 500
 
 
@@ -44,7 +44,8 @@ def chains(master: DataFrame, changes: DataFrame, snapshot: dt.date) -> DataFram
     """(security_id, step, cursor, old, day): the name changes on each security's way back, step from 1.
 
     At a cursor symbol the latest change into it before the boundary date is taken, unless exactly one such change
-    comes from a symbol of the same security. A walk ends after a change into a symbol seen before.
+    comes from a symbol of the same security. A walk ends after a change into a symbol seen before or where no change is
+    left; one of more than MAX_STEPS steps is an error.
     """
     spark = master.sparkSession
     events = _states(changes, snapshot)
@@ -72,7 +73,7 @@ def chains(master: DataFrame, changes: DataFrame, snapshot: dt.date) -> DataFram
             array_append(w.seen, coalesce(p.p_old, d.old)), array_contains(w.seen, coalesce(p.p_old, d.old))
           FROM walk w JOIN ledgerloom_walk_default d ON d.cursor = w.next_cursor AND d.boundary = w.next_boundary
           LEFT JOIN ledgerloom_walk_preferred p ON p.security_id = w.security_id AND p.cursor = w.next_cursor AND p.boundary = w.next_boundary
-          WHERE NOT w.stopped AND w.step < {MAX_STEPS})
+          WHERE NOT w.stopped)
         SELECT security_id, step, cursor, old, day FROM walk WHERE step > 0
         """
     )

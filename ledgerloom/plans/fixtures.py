@@ -53,8 +53,8 @@ SELECT 'P' || CAST(l_partkey AS STRING) AS symbol, CAST(l_shipdate AS DATE) AS d
 FROM lineitem WHERE l_linenumber <> 7 GROUP BY l_partkey, CAST(l_shipdate AS DATE)""",
     "v_name_changes": """
 SELECT CAST(o_orderkey AS STRING) AS event_id, CAST(o_orderdate AS DATE) AS process_date,
-  'C' || CAST(o_custkey % 200 AS STRING) AS old_symbol, 'C' || CAST((o_custkey + 1 + o_orderkey % 3) % 200 AS STRING) AS new_symbol
-FROM orders WHERE o_orderkey % 20 = 0""",
+  'C' || CAST(o_custkey - o_custkey % 2 AS STRING) AS old_symbol, 'C' || CAST(o_custkey - o_custkey % 2 + 2 + 2 * (o_orderkey % 3) AS STRING) AS new_symbol
+FROM orders""",
     "v_actions": """
 SELECT CAST(o_orderkey AS STRING) AS provider_event_id,
   CASE o_orderkey % 8 WHEN 0 THEN 'forward_split' WHEN 1 THEN 'reverse_split' WHEN 2 THEN 'cash_dividend' WHEN 3 THEN 'cash_merger' WHEN 4 THEN 'name_change' WHEN 5 THEN 'spin_off' WHEN 6 THEN 'unit_split' ELSE 'stock_dividend' END AS action_type,

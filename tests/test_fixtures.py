@@ -1,5 +1,10 @@
 """The views read their tables whole."""
 
+import datetime as dt
+
+import pytest
+
+from ledgerloom.operators import episodes as E
 from ledgerloom.plans.fixtures import view
 
 
@@ -11,3 +16,21 @@ def test_master_has_every_customer(spark, tmp_path):
     assert {r["security_id"] for r in found} == {f"S{k}" for k in range(2001)}
     assert len({r["symbol"] for r in found}) == 1001
     assert [r["security_id"] for r in found if not r["conflict"]] == ["S2000"]
+
+
+def test_name_changes_have_every_order(spark, tmp_path):
+    """Orders whose key is no multiple of 20 count, and symbols go beyond 200."""
+    spark.range(1, 1501).selectExpr("id AS o_orderkey", "id AS o_custkey", "DATE '1998-01-01' AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    found = view(spark, str(tmp_path), "v_name_changes").collect()
+    assert len(found) == 1500 and len({r["old_symbol"] for r in found}) == 751 and all(r["old_symbol"] != r["new_symbol"] for r in found)
+
+
+def test_long_walks_are_not_cut(spark, monkeypatch):
+    """A walk beyond the step limit is an error; below it, it ends where no change is left."""
+    day = dt.date(2000, 1, 1)
+    master = spark.createDataFrame([("s1", "N12", True, None)], "security_id string, symbol string, active boolean, delisted_date date")
+    changes = spark.createDataFrame([(f"e{k:02}", day + dt.timedelta(days=k), f"N{k}", f"N{k + 1}") for k in range(12)], "event_id string, process_date date, old_symbol string, new_symbol string")
+    assert E.chains(master, changes, dt.date(2002, 1, 1)).count() == 12
+    monkeypatch.setattr(E, "MAX_STEPS", 5)
+    with pytest.raises(Exception, match="RECURSION_LEVEL_LIMIT_EXCEEDED"):
+        E.chains(master, changes, dt.date(2002, 1, 1)).collect()
