@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 Name = str | Column
 
-#: Parts of a parameter name that mark its value as secret.
+# Parts of a parameter name that mark its value as secret.
 SENSITIVE = "api_key|apikey|secret|token|authorization"
-#: Symbols that a name change may carry; CUSIP-like pseudo-symbols begin with a digit and fail.
+# Fixed value: symbols that a name change may carry; CUSIP-like pseudo-symbols begin with a digit and fail.
 SYMBOL_PATTERN = r"^[A-Z][A-Z0-9.\-]{0,14}$"
+# Action types that change the share count, and those that end a company.
 SPLIT_TYPES = ("forward_split", "reverse_split", "unit_split")
 MERGER_TYPES = ("cash_merger", "stock_merger", "stock_and_cash_merger")
 

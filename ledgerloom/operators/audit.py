@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,26 +19,18 @@ COMPARISON_SYMBOLS = ("AAPL", "GE", "NVDA")
 CATEGORIES = ("active", "recent_delisting", "older_delisting", "acquisition", "ticker_change", "ticker_reuse", "forward_split", "reverse_split")
 
 
-@dataclass(frozen=True)
-class Case:
-    symbol: str
-    categories: str
-    roles: str
-    event_type: str | None = None
-    event_date: dt.date | None = None
-
-
-# Well-known cases that every audit looks at, and renames (old, new).
+# Well-known cases that every audit looks at (symbol, categories, roles, event type, event date).
 CASES = (
-    Case("AAPL", "active forward_split", "full_window event_both_sides", "forward_split", dt.date(2020, 8, 31)),
-    Case("NVDA", "active forward_split", "full_window event_both_sides", "forward_split", dt.date(2024, 6, 10)),
-    Case("GE", "active reverse_split", "full_window event_both_sides", "reverse_split", dt.date(2021, 8, 2)),
-    Case("AMC", "active reverse_split", "full_window event_both_sides", "reverse_split", dt.date(2023, 8, 24)),
-    Case("TWTR", "acquisition", "expected_end", "acquisition"),
-    Case("ATVI", "acquisition", "expected_end", "acquisition"),
-    Case("CERN", "acquisition", "expected_end", "acquisition"),
-    Case("WORK", "acquisition", "expected_end", "acquisition"),
+    ("AAPL", ["active", "forward_split"], ["full_window", "event_both_sides"], "forward_split", dt.date(2020, 8, 31)),
+    ("NVDA", ["active", "forward_split"], ["full_window", "event_both_sides"], "forward_split", dt.date(2024, 6, 10)),
+    ("GE", ["active", "reverse_split"], ["full_window", "event_both_sides"], "reverse_split", dt.date(2021, 8, 2)),
+    ("AMC", ["active", "reverse_split"], ["full_window", "event_both_sides"], "reverse_split", dt.date(2023, 8, 24)),
+    ("TWTR", ["acquisition"], ["expected_end"], "acquisition", None),
+    ("ATVI", ["acquisition"], ["expected_end"], "acquisition", None),
+    ("CERN", ["acquisition"], ["expected_end"], "acquisition", None),
+    ("WORK", ["acquisition"], ["expected_end"], "acquisition", None),
 )
+# Renames (old, new).
 RENAMES = (("CTL", "LUMN"), ("SYMC", "GEN"))
 
 _CASE = "symbol string, categories array<string>, roles array<string>, event_type string, event_date date, place int"
@@ -52,7 +43,7 @@ def sampled(rows: DataFrame, category: str, count: int) -> DataFrame:
     return rows.orderBy(rank, "security_id", "symbol").limit(count)
 
 
-def audit_sample(master: DataFrame, end: dt.date, episodes: DataFrame | None = None, history_start: dt.date = S.HISTORY_START, cases: tuple[Case, ...] = CASES, renames: tuple[tuple[str, str], ...] = RENAMES) -> DataFrame:
+def audit_sample(master: DataFrame, end: dt.date, episodes: DataFrame | None = None, history_start: dt.date = S.HISTORY_START, cases: tuple[tuple, ...] = CASES, renames: tuple[tuple[str, str], ...] = RENAMES) -> DataFrame:
     """One row per (security, symbol) of the sample: what is known of it, its categories and the roles it is checked in."""
     require_columns(master, ["security_id", "symbol", *_FACTS, "is_price_coverage_eligible"], "security master")
     spark = master.sparkSession
@@ -62,7 +53,7 @@ def audit_sample(master: DataFrame, end: dt.date, episodes: DataFrame | None = N
     def entries(rows: DataFrame, order: int, categories: Column, roles: Column, event_type: Column, event_date: Column, place: Column | None = None) -> DataFrame:
         return rows.select("security_id", "symbol", *_FACTS, categories.alias("categories"), roles.alias("roles"), event_type.cast("string").alias("event_type"), event_date.cast("date").alias("event_date"), F.struct(F.lit(order).alias("kind"), (F.lit(0) if place is None else place).cast("int").alias("place"), "security_id", "symbol").alias("ordinal"))
 
-    known = spark.createDataFrame([(c.symbol, c.categories.split(), c.roles.split(), c.event_type, c.event_date, i) for i, c in enumerate(cases)], _CASE)
+    known = spark.createDataFrame([(*case, i) for i, case in enumerate(cases)], _CASE)
     met = master.join(F.broadcast(known), "symbol")
     parts = [entries(met, 0, F.col("categories"), F.col("roles"), F.col("event_type"), F.coalesce("event_date", "delisted_date"), F.col("place"))]
     pairs = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(renames)], "symbol string, new string, place int")

@@ -26,6 +26,8 @@ TICKERS = Dataset("reference.tickers", "reference", "replace_snapshot", "alpaca_
 EXCLUSIONS = Dataset("reference.universe_exclusions", "reference", "replace_snapshot", "us_common_stock_universe_exclusions", ["security_id", "symbol"], entity="security_id", sort=["symbol", "security_id"])
 EPISODES = Dataset("reference.symbol_episodes", "reference", "replace_snapshot", "historical_symbol_identity_timeline", ["episode_id"], entity="security_id", sort=["security_id", "symbol_valid_from", "symbol"])
 ACTIONS = Dataset("reference.corporate_actions", "reference", "overlapping_incremental_replace", "alpaca_us_corporate_actions_from_2016", ["provider_event_id"], "process_date", "security_id", ["process_date", "action_type", "provider_event_id"])
+SPLIT_REFRESH = Dataset("reference.split_refresh", "reference", "replace_snapshot", "splits_whose_bar_history_must_be_read_again", ["provider_event_id"], sort=["provider_event_id"])
+APPLIED_SPLITS = Dataset("market.daily_bars.applied_splits", "market", "replace_snapshot", "splits_that_the_bar_history_holds", ["provider_event_id"], sort=["provider_event_id"])
 HISTORICAL = Dataset("market.daily_bars.historical", "market", "incremental_merge", "episode_bounded_raw_and_split_adjusted_daily_bars", ["symbol", "date"], "date", "security_id", ["symbol", "date"])
 QUARANTINE = Dataset("market.daily_bars.identity_quarantine", "market", "incremental_merge", "unmapped_or_ambiguous_alpaca_daily_bars", ["symbol", "date"], "date", "symbol", ["symbol", "date"])
 AUDIT = Dataset("reference.alpaca_coverage_audit", "reference", "replace_snapshot", "historical_coverage_audit_sample", ["sample_id"], entity="security_id", sort=["symbol", "security_id"])
@@ -78,7 +80,7 @@ def run_symbol_episodes(spark: SparkSession, name_changes: str, directory: str,
 
 
 def run_corporate_actions(spark: SparkSession, pages: str, directory: str, snapshot: dt.date, overlap_days: int = A.OVERLAP_DAYS, history_start: dt.date = S.HISTORY_START) -> dict[str, str]:
-    """Merge landed action pages into corporate_actions; the metadata lists the splits whose bars must be refreshed."""
+    """Merge landed action pages into corporate_actions; split_refresh lists the splits whose bars must be read again."""
     require_at_least(overlap_days, 1, "overlap_days")
     episodes = required_table(spark, f"{directory}/symbol_episodes.parquet", "symbol episodes")
     symbols = _row(episodes.agg(F.count_distinct("symbol").alias("symbol_count"), F.sha2(F.array_join(F.array_sort(F.collect_set(F.upper("symbol"))), "\n"), 256).alias("symbols_sha256")))
@@ -89,13 +91,14 @@ def run_corporate_actions(spark: SparkSession, pages: str, directory: str, snaps
     start = A.refresh_start(existing, end, overlap_days, history_start)
     fresh = A.corporate_actions(P.action_rows(P.landed_pages(spark, pages)), episodes, snapshot).filter(F.col("process_date") >= F.lit(start)).persist()
     table = A.merged(existing, fresh, start)
-    changed = sorted(r[0] for r in A.changed_splits(existing, fresh).collect())  # splits of one refresh window
+    changed = A.changed_splits(existing, fresh).persist()
     counts = {r["action_type"]: r["events"] for r in M.action_counts(table).collect()}
-    extra = {"snapshot_date": snapshot.isoformat(), "refresh_start_date": start.isoformat(), "refresh_end_date": end.isoformat(), "overlap_days": overlap_days, "action_type_counts": counts, "split_history_refresh_event_count": len(changed), "split_history_refresh_event_ids": changed} | symbols
+    extra = {"snapshot_date": snapshot.isoformat(), "refresh_start_date": start.isoformat(), "refresh_end_date": end.isoformat(), "overlap_days": overlap_days, "action_type_counts": counts, "split_history_refresh_event_count": changed.count()} | symbols
     extra |= _row(M.flag_counts(table, matched_event_count="security_id is not null", unmatched_event_count="security_id is null"))
     try:
-        return publish({"corporate_actions": (table, ACTIONS, extra)}, directory)
+        return publish({"corporate_actions": (table, ACTIONS, extra), "split_refresh": (changed, SPLIT_REFRESH, {"snapshot_date": snapshot.isoformat()})}, directory)
     finally:
+        changed.unpersist()
         fresh.unpersist()
 
 
@@ -109,23 +112,34 @@ def plan_daily_bars(spark: SparkSession, mode: str, directory: str, bars_directo
     if mode != "update":
         return symbols.withColumn("start_date", F.lit(start or history_start))
     required_table(spark, f"{bars_directory}/historical.parquet", "daily-bar history")
-    known = bar_state(spark, f"{bars_directory}/historical.metadata.json").first()
-    if known["max_date"] is None:
+    last = bar_state(spark, f"{bars_directory}/historical.metadata.json").first()["max_date"]
+    if last is None:
         raise ValueError("historical metadata has no max_date")
-    pending = _pending(spark, directory, known["applied_split_event_ids"])
-    return B.update_plan(symbols, known["max_date"], pending.filter("symbol is not null"), start, overlap_days, history_start)
+    pending = _pending(spark, directory, _applied(spark, bars_directory))
+    return B.update_plan(symbols, last, pending.filter("symbol is not null"), start, overlap_days, history_start)
 
 
-def _pending(spark: SparkSession, directory: str, applied: list[str]) -> DataFrame:
-    if not is_published(spark, directory, "corporate_actions"):
-        return spark.createDataFrame([], "provider_event_id string, symbol string")
-    refresh = metadata(spark, f"{directory}/corporate_actions.metadata.json", "split_history_refresh_event_ids array<string>").select(F.explode("split_history_refresh_event_ids").alias("provider_event_id"))
-    done = spark.createDataFrame([(i,) for i in applied], "provider_event_id string")
-    return B.pending_splits(refresh, done, spark.read.parquet(f"{directory}/corporate_actions.parquet"))
+_EVENT = "provider_event_id string"
 
 
-def run_daily_bars(spark: SparkSession, mode: str, raw_pages: str, split_pages: str, directory: str, bars_directory: str, snapshot: dt.date, overlap_days: int = B.OVERLAP_DAYS, start: dt.date | None = None, history_start: dt.date = S.HISTORY_START) -> dict[str, str]:
-    """Publish bars and their quarantine from landed raw and split-adjusted pages; an update replaces planned ranges."""
+def _applied(spark: SparkSession, bars_directory: str) -> DataFrame:
+    """The ledger of applied splits (provider_event_id)."""
+    found = is_published(spark, bars_directory, "applied_splits")
+    return spark.read.parquet(f"{bars_directory}/applied_splits.parquet") if found else spark.createDataFrame([], _EVENT)
+
+
+def _pending(spark: SparkSession, directory: str, applied: DataFrame) -> DataFrame:
+    """(provider_event_id, symbol): splits to read again that are not applied."""
+    if not is_published(spark, directory, "split_refresh"):
+        return spark.createDataFrame([], f"{_EVENT}, symbol string")
+    return B.pending_splits(spark.read.parquet(f"{directory}/split_refresh.parquet"), applied, spark.read.parquet(f"{directory}/corporate_actions.parquet"))
+
+
+def run_daily_bars(spark: SparkSession, mode: str, raw_pages: str, split_pages: str, directory: str, bars_directory: str, snapshot: dt.date, overlap_days: int = B.OVERLAP_DAYS, start: dt.date | None = None, history_start: dt.date = S.HISTORY_START, end: dt.date | None = None) -> dict[str, str]:
+    """Publish bars and their quarantine from landed raw and split-adjusted pages; an update replaces planned ranges.
+
+    end: the last day asked for, by default the last weekday before the snapshot; a given one also bounds the bars.
+    """
     require_at_least(overlap_days, 1, "overlap_days")
     plan = plan_daily_bars(spark, mode, directory, bars_directory, overlap_days, start, history_start).persist()
     if plan.isEmpty():
@@ -134,27 +148,29 @@ def run_daily_bars(spark: SparkSession, mode: str, raw_pages: str, split_pages:
     sides = [B.one_bar_per_day(P.bar_rows(P.landed_pages(spark, path), side)) for path, side in ((raw_pages, "raw"), (split_pages, "split_adjusted"))]
     since = plan.select(F.col("symbol").alias("__s"), "start_date")
     pairs = B.paired(*sides).join(since, F.col("symbol") == F.col("__s"), "left").filter("start_date is null or date >= start_date").drop("__s", "start_date")
+    if end is not None:
+        pairs = pairs.filter(F.col("date") <= F.lit(end))
     bars = B.as_bars(B.mapped_bars(pairs, tickers, plan, history_start), snapshot).persist()
     good, bad = B.safe(bars), B.quarantined(bars)
     if mode == "update":
         good = B.replaced(spark.read.parquet(f"{bars_directory}/historical.parquet"), good, plan)
         bad = B.replaced(spark.read.parquet(f"{bars_directory}/identity_quarantine.parquet"), bad, plan)
-    extra = {"snapshot_date": snapshot.isoformat(), "requested_end_date": _row(spark.range(1).select(F.date_sub(F.lit(snapshot), 1).alias("d")))["d"].isoformat(), "requested_start_date": _row(plan.agg(F.min("start_date").alias("d")))["d"].isoformat(), "input_symbol_count": plan.count()}
-    extra["requested_end_date"] = latest_session(spark, snapshot).isoformat()
+    asked = _row(plan.agg(F.min("start_date").alias("d"), F.count(F.lit(1)).alias("n")))
+    base = {"snapshot_date": snapshot.isoformat()}
+    extra = base | {"requested_start_date": asked["d"].isoformat(), "requested_end_date": (end or latest_session(spark, snapshot)).isoformat(), "input_symbol_count": asked["n"]}
+    tables = {}
     if mode == "pilot":
-        gate = _row(B.pilot_gate(good, bad))
         names = ("pilot", "pilot_identity_quarantine")
-        extra |= gate
+        extra |= _row(B.mapped_gate(bars))
     else:
         names = ("historical", "identity_quarantine")
-        known = bar_state(spark, f"{bars_directory}/historical.metadata.json").first()["applied_split_event_ids"] if mode == "update" else []
-        pending = [r[0] for r in _pending(spark, directory, known).select("provider_event_id").distinct().collect()] if mode == "update" else []
-        done = set(known) | set(pending)
-        if mode == "backfill" and is_published(spark, directory, "corporate_actions"):
-            done = {r[0] for r in B.all_split_ids(spark.read.parquet(f"{directory}/corporate_actions.parquet")).collect()}
-        extra |= _row(B.bar_metrics(good)) | {"applied_split_event_ids": sorted(done)}
+        known = _applied(spark, bars_directory)
+        actions = spark.read.parquet(f"{directory}/corporate_actions.parquet") if is_published(spark, directory, "corporate_actions") else None
+        done = known if actions is None else B.applied_after(mode, known, _pending(spark, directory, known), actions)
+        tables["applied_splits"] = (done, APPLIED_SPLITS, base)
+        extra |= _row(B.bar_metrics(good)) | {"applied_split_event_count": done.count()}
     try:
-        return publish({names[0]: (good, HISTORICAL, extra), names[1]: (bad, QUARANTINE, {"snapshot_date": snapshot.isoformat()} | _row(B.bar_metrics(bad)))}, bars_directory)
+        return publish({names[0]: (good, HISTORICAL, extra), names[1]: (bad, QUARANTINE, base | _row(B.bar_metrics(bad)))} | tables, bars_directory)
     finally:
         bars.unpersist()
         plan.unpersist()

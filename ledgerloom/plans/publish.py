@@ -1,7 +1,9 @@
 """Landing raw pages and publishing tables with their metadata.
 
-A table is written to a staging directory next to its target and renamed, so a reader sees the old or the new table.
-Several tables are staged together before the first is renamed. A rename is atomic for one directory only.
+A table is written to a staging directory next to its target. Then the published one is renamed aside, the staged one
+takes its place and the old one is deleted: a crash between these steps loses nothing, and the next publish or
+``recovered`` puts the old table back. Several tables are staged together before the first is renamed. A rename is
+atomic for one directory only, and not at all in object stores, where a table format is the right sink.
 """
 
 from __future__ import annotations
@@ -41,14 +43,29 @@ def _store(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def recovered(spark: SparkSession, target: str) -> None:
+    """Put back the table that a broken publish left aside."""
+    fs, to = _store(spark, target)
+    _, aside = _store(spark, f"{target}.previous")
+    if fs.exists(aside):
+        if fs.exists(to):
+            fs.delete(aside, True)
+        elif not fs.rename(aside, to):
+            raise OSError(f"cannot put back {target}")
+
+
 def _rename(spark: SparkSession, source: str, target: str) -> None:
+    recovered(spark, target)
     fs, to = _store(spark, target)
-    if fs.exists(to):
-        fs.delete(to, True)
+    _, aside = _store(spark, f"{target}.previous")
     if to.getParent() is not None:
         fs.mkdirs(to.getParent())
-    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), to):
+    if fs.exists(to) and not fs.rename(to, aside):
+        raise OSError(f"cannot move {target} aside")
+    if not fs.rename(_store(spark, source)[1], to):
+        recovered(spark, target)
         raise OSError(f"cannot publish {target}")
+    fs.delete(aside, True)
 
 
 def state(df: DataFrame, dataset: Dataset, required: list[str], extra: DataFrame | None = None) -> dict:

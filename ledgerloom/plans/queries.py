@@ -198,8 +198,7 @@ def bars_metrics(spark: SparkSession, d: str) -> DataFrame:
     *_BAR_VIEWS,
 )
 def pilot_gate(spark: SparkSession, d: str) -> DataFrame:
-    bars = _mapped(spark, d)
-    return B.pilot_gate(B.safe(bars), B.quarantined(bars))
+    return B.mapped_gate(_mapped(spark, d))
 
 
 @query("""
@@ -532,7 +531,12 @@ def canonical_payloads(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- coverage audit
 
-_CASES = tuple(U.Case(f"P{k}", c, r, t, day) for k, c, r, t, day in ((1, "active forward_split", "full_window event_both_sides", "forward_split", dt.date(1998, 6, 1)), (2, "active reverse_split", "full_window event_both_sides", "reverse_split", dt.date(1999, 6, 1)), (3, "acquisition", "expected_end", "acquisition", None), (6, "acquisition", "expected_end", "acquisition", None)))
+_CASES = (
+    ("P1", ["active", "forward_split"], ["full_window", "event_both_sides"], "forward_split", dt.date(1998, 6, 1)),
+    ("P2", ["active", "reverse_split"], ["full_window", "event_both_sides"], "reverse_split", dt.date(1999, 6, 1)),
+    ("P3", ["acquisition"], ["expected_end"], "acquisition", None),
+    ("P6", ["acquisition"], ["expected_end"], "acquisition", None),
+)
 _AUDIT_END = dt.date(2001, 10, 31)
 _AUDIT_MASTER = """
 , am AS (SELECT 'S' || CAST(p_partkey AS VARCHAR) AS security_id, 'P' || CAST(p_partkey % 1900 AS VARCHAR) AS symbol, p_name AS company_name, p_partkey % 3 <> 0 AS active,
@@ -714,3 +718,6 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     for _ in range(2):
         ingest(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint", "event_id long, user_id long, value double", file_format="parquet", max_files=2)
     return ingested(spark, f"{base}/table").groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), F.sum(F.floor(F.col("value") * 100)).alias("cents"))
+
+
+from . import landed_queries  # noqa: E402, F401  (registers its queries)

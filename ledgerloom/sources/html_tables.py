@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 
+# Headers of the columns that are read, and texts of a symbol cell that name no symbol.
 TICKER_HEADERS = ("rtc ticker", "ticker", "ticker symbol", "symbol")
 SYMBOL_HEADERS = ("symbol", "ticker")
 SECTOR_HEADERS = ("gics sector", "sector")
 INDUSTRY_HEADERS = ("gics sub-industry", "gics sub industry", "sub-industry", "industry")
+NO_TICKERS = ("N/A", "NA", "TICKER", "SYMBOL")
+NO_SYMBOLS = ("SYMBOL", "TICKER")
 CELL = "doc string, table_no int, row_no int, col_no int, text string"
 
 
@@ -98,7 +101,7 @@ def ticker_symbols(cells: DataFrame) -> DataFrame:
     found = _columns(cells, {"at": TICKER_HEADERS}).filter("at is not null")
     own = cells.join(found, ["doc", "table_no"]).filter("col_no = at")
     values = own.select(F.explode(F.split("text", r"[,/\s]+")).alias("value")).select(X.symbol("value").alias("symbol"))
-    return values.filter(F.col("symbol").isNotNull() & ~F.col("symbol").isin("N/A", "NA", "TICKER", "SYMBOL")).distinct()
+    return values.filter(F.col("symbol").isNotNull() & ~F.col("symbol").isin(*NO_TICKERS)).distinct()
 
 
 def classifications(cells: DataFrame) -> DataFrame:
@@ -110,7 +113,7 @@ def classifications(cells: DataFrame) -> DataFrame:
     own = cells.join(found, ["doc", "table_no"])
     text = lambda at: F.max(F.when(F.col("col_no") == F.col(at), F.col("text")))
     rows = own.groupBy("doc", "table_no", "row_no").agg(X.symbol(text("s")).alias("symbol"), text("c").alias("sector"), text("i").alias("industry"), F.max("col_no").alias("last"), F.first("s").alias("s"), F.first("c").alias("c"), F.first("i").alias("i"))
-    rows = rows.filter((F.col("last") >= F.greatest("s", "i", F.coalesce("c", F.lit(0)))) & F.col("symbol").isNotNull() & ~F.col("symbol").isin("SYMBOL", "TICKER"))
+    rows = rows.filter((F.col("last") >= F.greatest("s", "i", F.coalesce("c", F.lit(0)))) & F.col("symbol").isNotNull() & ~F.col("symbol").isin(*NO_SYMBOLS))
     first = rows.groupBy("doc").agg(F.min("table_no").alias("table_no"))
     rows = rows.join(first, ["doc", "table_no"]).withColumn("symbol_join_key", X.join_key("symbol"))
     best = F.min_by(F.struct("symbol", F.coalesce("sector", F.lit("")).alias("sector"), "industry"), F.struct("doc", "row_no"))

@@ -1,7 +1,8 @@
 """Landed provider pages (JSON lines) as rows.
 
-A landed page keeps its place: `file` and `page_no` (from the landing schema, or the line's order in its file) and the
-position inside the page order rows where a rule says that the last occurrence counts.
+A landed page keeps its place: `page_no` (its file's name, its block of the file and its line's order) and the position
+inside the page order rows where a rule says that the last occurrence counts. Files are named so that later ones sort
+later (a date leads the name).
 """
 
 from __future__ import annotations
@@ -34,12 +35,14 @@ ACTION_TYPES = {
 
 
 def landed_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(file, page_no, body) of the JSON lines under path, compressed or not.
+    """(file, page_no, body) of the JSON lines under path, compressed or not; blank lines are skipped.
 
-    A file is read by one task at a time, as gzip cannot be split, so page numbers follow its lines.
+    page_no is ordered by file name, then by the place in the file, however Spark packs or splits files into tasks: the
+    lines of one block of a file are read by one task in their order.
     """
-    lines = spark.read.option("maxPartitionBytes", "1g").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("body"))
-    return lines.withColumn("page_no", F.monotonically_increasing_id()).filter(F.length(F.trim("body")) > 0).select("file", "page_no", "body")
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select(at.alias("page_no"), F.col("value").alias("body"))
+    return lines.filter(F.length(F.trim("body")) > 0).select("page_no.file", "page_no", "body")
 
 
 def _checked(condition: Column, message: Column | str) -> Column:

@@ -35,15 +35,17 @@ def metadata(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def bar_state(spark: SparkSession, path: str) -> DataFrame:
-    """(max_date, applied_split_event_ids) of a published bar table."""
-    return metadata(spark, path, "max_date string, applied_split_event_ids array<string>").select(F.to_date("max_date").alias("max_date"), F.coalesce("applied_split_event_ids", F.array()).cast("array<string>").alias("applied_split_event_ids"))
+    """(max_date) of a published bar table."""
+    return metadata(spark, path, "max_date string").select(F.to_date("max_date").alias("max_date"))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a temporary one only where none is set."""
+    """The folder that driver and executors share (spark.checkpoint.dir); on one machine a temporary one if none is set."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not hasattr(shared_dir, "own"):
         shared_dir.own = tempfile.mkdtemp(prefix="ledgerloom-")
     return shared_dir.own

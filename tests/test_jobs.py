@@ -49,28 +49,30 @@ def test_jobs_end_to_end(spark, tmp_path):
     split = {"id": "s", "process_date": "2026-09-01", "symbol": "AAA", "old_rate": "1", "new_rate": "2"}
     acts = land(tmp_path / "a1.jsonl.gz", {"corporate_actions": {"forward_splits": [split]}})
     jobs.run_corporate_actions(spark, acts, ref, SNAP)
-    assert meta(ref, "corporate_actions")["split_history_refresh_event_ids"] == ["s"] and meta(ref, "corporate_actions")["refresh_start_date"] == "2016-01-01"
+    ids = lambda directory, name: sorted(r["provider_event_id"] for r in spark.read.parquet(f"{directory}/{name}.parquet").collect())
+    assert ids(ref, "split_refresh") == ["s"] and meta(ref, "corporate_actions")["split_history_refresh_event_count"] == 1 and meta(ref, "corporate_actions")["refresh_start_date"] == "2016-01-01"
 
     bar = lambda d, c: {"t": f"{d}T04:00:00Z", "o": c, "h": c, "l": c, "c": c, "v": 10, "vw": c, "n": 1}
     raw = land(tmp_path / "raw.jsonl.gz", {"bars": {"AAA": [bar("2020-01-02", 8), bar("2026-09-10", 4)], "OLD": [bar("2020-01-03", 8)]}})
     adj = land(tmp_path / "adj.jsonl.gz", {"bars": {"AAA": [bar("2020-01-02", 4), bar("2026-09-10", 4)], "OLD": [bar("2020-01-03", 4)]}})
     jobs.run_daily_bars(spark, "backfill", raw, adj, ref, bars, SNAP)
     m = meta(bars, "historical")
-    assert (m["row_count"], m["split_adjustment_difference_count"], m["applied_split_event_ids"], m["max_date"]) == (2, 1, ["s"], "2026-09-10")
+    assert (m["row_count"], m["split_adjustment_difference_count"], m["applied_split_event_count"], m["max_date"]) == (2, 1, 1, "2026-09-10")
+    assert ids(bars, "applied_splits") == ["s"]
     assert meta(bars, "identity_quarantine")["row_count"] == 1
 
     jobs.run_corporate_actions(spark, acts, ref, SNAP)
-    assert meta(ref, "corporate_actions")["split_history_refresh_event_ids"] == [] and meta(ref, "corporate_actions")["refresh_start_date"] == "2026-08-02"
+    assert ids(ref, "split_refresh") == [] and meta(ref, "corporate_actions")["refresh_start_date"] == "2026-08-02"
     again = land(tmp_path / "a2.jsonl.gz", {"corporate_actions": {"forward_splits": [split | {"new_rate": "3"}, split | {"id": "t", "process_date": "2026-09-02"}]}})
     jobs.run_corporate_actions(spark, again, ref, SNAP)
-    assert meta(ref, "corporate_actions")["split_history_refresh_event_ids"] == ["s", "t"]
+    assert ids(ref, "split_refresh") == ["s", "t"]
     plan = {r["symbol"]: str(r["start_date"]) for r in jobs.plan_daily_bars(spark, "update", ref, bars).collect()}
     assert plan == {"AAA": "2016-01-01", "OLD": "2026-09-03"}  # t is pending, s was applied
     raw2 = land(tmp_path / "raw2.jsonl.gz", {"bars": {"AAA": [bar("2020-01-02", 9), bar("2026-09-11", 3)]}})
     adj2 = land(tmp_path / "adj2.jsonl.gz", {"bars": {"AAA": [bar("2020-01-02", 3), bar("2026-09-11", 3)]}})
     jobs.run_daily_bars(spark, "update", raw2, adj2, ref, bars, SNAP + dt.timedelta(days=1))
     rows = sorted((str(r["date"]), r["raw_close"]) for r in spark.read.parquet(f"{bars}/historical.parquet").collect())
-    assert rows == [("2020-01-02", 9.0), ("2026-09-11", 3.0)] and meta(bars, "historical")["applied_split_event_ids"] == ["s", "t"]
+    assert rows == [("2020-01-02", 9.0), ("2026-09-11", 3.0)] and ids(bars, "applied_splits") == ["s", "t"]
     assert meta(bars, "identity_quarantine")["row_count"] == 1
     with pytest.raises(ValueError, match="mode"):
         jobs.run_daily_bars(spark, "sometimes", raw, adj, ref, bars, SNAP)

@@ -284,7 +284,7 @@ def test_bar_update(spark, rows):
 
 
 def audit_case(spark):
-    names = [c.symbol for c in U.CASES]
+    names = [case[0] for case in U.CASES]
     held = [(f"s{k}", n, k < 4, None if k < 4 else "2022-10-27", True) for k, n in enumerate(names)]
     held += [("x1", "SYMC", False, "2019-11-05", True), ("x1", "GEN", True, None, True), ("x2", "CTL", False, "2020-09-18", True), ("x2", "LUMN", True, None, True)]
     held += [(f"r{k}", f"R{k}", False, f"202{4 + k % 2}-0{1 + k % 8}-15", True) for k in range(9)] + [(f"o{k}", f"O{k}", False, f"201{7 + k % 2}-0{1 + k % 8}-15", True) for k in range(9)]
