@@ -9,38 +9,42 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import scalars as X
+from ..sources.tables import written
 from .validate import require_action_keys, require_at_least
 
 OVERLAP_DAYS = 30
-#: Which payload fields name the primary and the related side of an event; all other types use `symbol`.
-_SIDES = {
-    "acquiree acquirer": X.MERGER_TYPES,
-    "old new": ("name_change", "unit_split"),
-    "source new": ("spin_off", "rights_distribution"),
-}
+# The fields of a payload that are read, and which of them name the primary and the related side of an event
+# (`<side>_symbol`, `<side>_cusip`); types that are not listed use `symbol` and `new_symbol`.
+FIELDS = (
+    "id", "process_date", "effective_date", "ex_date", "record_date", "payable_date", "symbol", "cusip", "old_symbol", "old_cusip", "new_symbol", "new_cusip",
+    "acquiree_symbol", "acquiree_cusip", "acquirer_symbol", "acquirer_cusip", "source_symbol", "source_cusip",
+    "rate", "old_rate", "new_rate", "source_rate", "acquiree_rate", "acquirer_rate", "cash_rate", "currency", "sub_type", "special", "foreign",
+)
+PRIMARY_SIDES = (("acquiree", X.MERGER_TYPES), ("old", ("name_change", "unit_split")), ("source", ("spin_off", "rights_distribution")))
+RELATED_SIDES = (("acquirer", X.MERGER_TYPES),)
 
 
 def _routed(kind: str) -> tuple[Column, Column]:
-    """Primary and related `symbol` or `cusip` of an action by its type."""
-    field = lambda name: F.get_json_object("raw", f"$.{name}")
-    plain = field("symbol") if kind == "symbol" else X.first_true(field("cusip"), field("old_cusip"))
-    primary, related = plain, field(f"new_{kind}")
-    for sides, types in _SIDES.items():
-        a, b = sides.split()
-        chosen = F.col("action_type").isin(*types)
-        primary = F.when(chosen, field(f"{a}_{kind}")).otherwise(primary)
-        related = F.when(chosen, field(f"{b}_{kind}")).otherwise(related)
+    """Primary and related `symbol` or `cusip` of a parsed payload by its action type."""
+    primary = F.col("__p.symbol") if kind == "symbol" else X.first_true(F.col("__p.cusip"), F.col("__p.old_cusip"))
+    related = F.col(f"__p.new_{kind}")
+    for side, types in PRIMARY_SIDES:
+        primary = F.when(F.col("action_type").isin(*types), F.col(f"__p.{side}_{kind}")).otherwise(primary)
+    for side, types in RELATED_SIDES:
+        related = F.when(F.col("action_type").isin(*types), F.col(f"__p.{side}_{kind}")).otherwise(related)
     tidy = X.symbol if kind == "symbol" else X.clean
     return tidy(primary), tidy(related)
 
 
 def parsed_actions(rows: DataFrame) -> DataFrame:
-    """Rows (page_no, pos, action_type, raw JSON) with typed fields, event dates and payload hashes."""
-    field = lambda name: F.get_json_object("raw", f"$.{name}")
+    """Rows (page_no, pos, action_type, raw JSON) with typed fields, event dates and payload hashes. Each payload is parsed once."""
+    field = lambda name: F.col(f"__p.{name}")
     primary, related = _routed("symbol")
     cusip, other_cusip = _routed("cusip")
-    out = rows.select(
-        *[c for c in ("page_no", "pos") if c in rows.columns],
+    landed = [c for c in ("page_no", "pos") if c in rows.columns]
+    parsed = rows.select(*landed, "action_type", "raw", F.from_json("raw", ", ".join(f"{name} string" for name in FIELDS)).alias("__p"))
+    out = parsed.select(
+        *landed,
         X.clean(field("id")).alias("provider_event_id"),
         "action_type",
         *[X.utc_date(field(d)).alias(d) for d in ("process_date", "effective_date", "ex_date", "record_date", "payable_date")],
@@ -58,13 +62,14 @@ def parsed_actions(rows: DataFrame) -> DataFrame:
     return out.withColumns({"event_date": X.event_date("effective_date", "ex_date", "payable_date", "process_date"), "raw_payload_sha256": X.sha256("raw_payload_json")})
 
 
-def matched_identity(events: DataFrame, episodes: DataFrame, symbol: str, day: str, security: str, status: str) -> DataFrame:
-    """events plus the security that carried a symbol on a day, and how sure that is.
+def _asked(events: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """The distinct (__symbol, __day) that events ask for, by the names of their (symbol, day) columns."""
+    each = F.array(*[F.struct(F.col(s).alias("__symbol"), F.col(d).alias("__day")) for s, d in pairs])
+    return events.select(F.inline(each)).filter("__symbol is not null and __symbol <> ''").distinct()
 
-    Each distinct (symbol, day) is matched once and joined back, so an event never multiplies and a symbol with many
-    events costs one match per day.
-    """
-    asked = events.select(F.col(symbol).alias("__symbol"), F.col(day).alias("__day")).filter("__symbol is not null and __symbol <> ''").distinct()
+
+def _identities(asked: DataFrame, episodes: DataFrame) -> DataFrame:
+    """(__symbol, __day, __status, __security): the security that carried a symbol on a day, and how sure that is."""
     e = episodes.select(F.upper("symbol").alias("__e_symbol"), "security_id", "symbol_valid_from", "symbol_valid_to", F.coalesce("is_episode_mapping_eligible", F.lit(False)).alias("fine"))
     met = asked.join(e, F.col("__symbol") == F.col("__e_symbol"), "left")
     dated = F.col("__e_symbol").isNotNull() & X.within("__day", "symbol_valid_from", "symbol_valid_to")
@@ -76,17 +81,35 @@ def matched_identity(events: DataFrame, episodes: DataFrame, symbol: str, day: s
         F.count_if(dated & ~F.col("fine")).alias("unfit"),
     )
     word = F.when(F.col("episodes") == 0, "unmatched_symbol").when(F.col("dated") == 0, "unmatched_date").when(F.col("securities") != 1, "ambiguous").when(F.col("unfit") > 0, "identity_quarantine").otherwise("matched")
-    found = found.select("__symbol", "__day", word.alias(status), F.when(word == "matched", F.col("security")).alias(security))
+    return found.select("__symbol", "__day", word.alias("__status"), F.when(word == "matched", F.col("security")).alias("__security"))
+
+
+def _with_identity(events: DataFrame, found: DataFrame, symbol: str, day: str, security: str, status: str) -> DataFrame:
     # an event without a date is matched by null-safe equality, as the days were grouped
-    joined = events.join(found, (F.col(symbol) == F.col("__symbol")) & F.col(day).eqNullSafe(F.col("__day")), "left").drop("__symbol", "__day")
+    named = found.withColumnsRenamed({"__status": status, "__security": security})
+    joined = events.join(named, (F.col(symbol) == F.col("__symbol")) & F.col(day).eqNullSafe(F.col("__day")), "left").drop("__symbol", "__day")
     return joined.withColumn(status, F.coalesce(status, F.lit("not_applicable")))
 
 
+def matched_identity(events: DataFrame, episodes: DataFrame, symbol: str, day: str, security: str, status: str) -> DataFrame:
+    """events plus the security that carried a symbol on a day, and how sure that is.
+
+    Each distinct (symbol, day) is matched once and joined back, so an event never multiplies and a symbol with many
+    events costs one match per day.
+    """
+    return _with_identity(events, _identities(_asked(events, (symbol, day)), episodes), symbol, day, security, status)
+
+
 def identified_actions(parsed: DataFrame, episodes: DataFrame, snapshot: dt.date) -> DataFrame:
-    """Parsed actions with both identities: the primary on its match date, the related on the event date."""
+    """Parsed actions with both identities: the primary on its match date, the related on the event date.
+
+    What both sides ask for is looked up together and written down, as two joins read it.
+    """
     dated = parsed.withColumn("match_date", X.match_date("action_type", "event_date"))
-    one = matched_identity(dated, episodes, "primary_symbol", "match_date", "security_id", "identity_match_status")
-    two = matched_identity(one, episodes, "related_symbol", "event_date", "related_security_id", "related_identity_match_status")
+    primary, related = ("primary_symbol", "match_date"), ("related_symbol", "event_date")
+    found = written(_identities(_asked(dated, primary, related), episodes), "action-identities")
+    one = _with_identity(dated, found, *primary, "security_id", "identity_match_status")
+    two = _with_identity(one, found, *related, "related_security_id", "related_identity_match_status")
     return two.withColumn("snapshot_date", F.lit(snapshot))
 
 
@@ -98,10 +121,13 @@ def one_per_event(actions: DataFrame) -> DataFrame:
 
 
 def corporate_actions(rows: DataFrame, episodes: DataFrame, snapshot: dt.date) -> DataFrame:
-    """The corporate-action table of landed action rows. Actions without id or process date fail."""
-    parsed = parsed_actions(rows)
+    """The corporate-action table of landed action rows. Actions without id or process date fail.
+
+    The parsed rows are written down: checks, look-ups and the table itself read columns, not payloads.
+    """
+    parsed = written(parsed_actions(rows), "actions-parsed")
     require_action_keys(parsed)
-    out = one_per_event(identified_actions(parsed, episodes, snapshot))
+    out = identified_actions(one_per_event(parsed), episodes, snapshot)
     return out.select(*[F.col(f.name).cast(f.dataType) for f in S.ACTIONS.fields])
 
 

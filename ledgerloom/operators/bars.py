@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -86,36 +86,57 @@ def pilot_symbols(tickers: DataFrame, wanted: tuple[str, ...] = PILOT_SYMBOLS) -
     return tickers.filter(F.upper("provider_symbol").isin(*wanted)).select(F.upper("provider_symbol").alias("symbol"), place.cast("int").alias("place")).distinct()
 
 
-def bar_metrics(bars: DataFrame) -> DataFrame:
-    """One row: rows, symbols, securities, date range, rows with repeated keys, missing sides, differing closes.
+def _measured(bars: DataFrame, counted: Column, others: dict[str, Column]) -> DataFrame:
+    """One row of the measures of the counted bars and of sums over all bars, from one pass over them.
 
-    Duplicates are counted over the whole table: keys are counted first, everything else rides on the same shuffle.
+    Bars are counted by key first; a key's securities (usually one) ride along and are told apart in the last step.
     """
     differs = F.abs(F.col("raw_close") - F.col("split_adjusted_close")) > DIFFERENCE
     per_key = bars.groupBy("symbol", "date").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("raw_close").isNull() | F.col("split_adjusted_close").isNull()).alias("missing"),
-        F.count_if(differs).alias("differing"),
+        F.count_if(counted).alias("n"),
+        F.count_if(counted & (F.col("raw_close").isNull() | F.col("split_adjusted_close").isNull())).alias("missing"),
+        F.count_if(counted & differs).alias("differing"),
+        F.collect_set(F.when(counted, F.col("security_id"))).alias("securities"),
+        *[F.count_if(c).alias(name) for name, c in others.items()],
     )
-    totals = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-        F.count_distinct("symbol").alias("symbol_count"),
-        F.min("date").cast("string").alias("min_date"),
-        F.max("date").cast("string").alias("max_date"),
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("duplicate_key_count"),
-        F.coalesce(F.sum("missing"), F.lit(0)).alias("missing_adjustment_pair_count"),
-        F.coalesce(F.sum("differing"), F.lit(0)).alias("split_adjustment_difference_count"),
+    each = per_key.select("*", F.posexplode_outer("securities").alias("at", "security_id"))
+    own = F.coalesce(F.col("at"), F.lit(0)) == 0  # a key counts once, with its first security
+    total = lambda c, condition=F.lit(True): F.coalesce(F.sum(F.when(own & condition, F.col(c))), F.lit(0)).alias(c)
+    here = F.col("n") > 0
+    return each.agg(
+        total("n").alias("row_count"),
+        F.count_distinct(F.when(here, F.col("symbol"))).alias("symbol_count"),
+        F.min(F.when(here, F.col("date"))).cast("string").alias("min_date"),
+        F.max(F.when(here, F.col("date"))).cast("string").alias("max_date"),
+        total("n", F.col("n") > 1).alias("duplicate_key_count"),
+        total("missing").alias("missing_adjustment_pair_count"),
+        total("differing").alias("split_adjustment_difference_count"),
+        F.count_distinct("security_id").alias("security_id_count"),
+        *[total(name) for name in others],
     )
-    securities = bars.agg(F.count_distinct("security_id").alias("security_id_count"))
-    return totals.crossJoin(F.broadcast(securities))  # one row each
+
+
+def bar_metrics(bars: DataFrame) -> DataFrame:
+    """One row: rows, symbols, securities, date range, rows with repeated keys, missing sides, differing closes.
+
+    Duplicates are counted over the whole table.
+    """
+    return _measured(bars, F.lit(True), {})
+
+
+_PASSED = "row_count > 0 and duplicate_key_count = 0 and missing_adjustment_pair_count = 0 and split_adjustment_difference_count > 0 and quarantine_row_count > 0"
 
 
 def pilot_gate(bars: DataFrame, quarantine: DataFrame) -> DataFrame:
     """One row of both tables' counts, and whether the pilot passed."""
-    m = bar_metrics(bars)
     q = quarantine.agg(F.count(F.lit(1)).alias("quarantine_row_count"))
-    passed = F.expr("row_count > 0 and duplicate_key_count = 0 and missing_adjustment_pair_count = 0 and split_adjustment_difference_count > 0 and quarantine_row_count > 0")
-    return m.crossJoin(F.broadcast(q)).withColumn("pilot_passed", passed)
+    return bar_metrics(bars).crossJoin(F.broadcast(q)).withColumn("pilot_passed", F.expr(_PASSED))  # one row each
+
+
+def mapped_gate(mapped: DataFrame) -> DataFrame:
+    """pilot_gate of mapped bars that are not yet split into safe and quarantined ones: they are read once."""
+    fine = F.col("identity_status") == "mapped"
+    return _measured(mapped, fine, {"quarantine_row_count": ~fine}).withColumn("pilot_passed", F.expr(_PASSED))
 
 
 def update_plan(symbols: DataFrame, previous_max: dt.date, pending_symbols: DataFrame, start: dt.date | None = None, overlap_days: int = OVERLAP_DAYS, history_start: dt.date = S.HISTORY_START) -> DataFrame:
