@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +48,26 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def _hand_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, and at the end of its partition unused memory goes back to the system: Spark keeps idle Python workers."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        _hand_back()
+
+    return whole
+
+
 def crc_mod4(doc_id: Column) -> Column:
     """crc32 of the id's decimal text, modulo 4; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4
