@@ -7,6 +7,11 @@ words at once, compacts, and retires words in which no pair remains. The ids equ
 
 A merge may be applied to all its occurrences at once only if no pair that the merged piece can form has the same or
 a better rank. For the few pieces where one has, only the leftmost occurrence is merged in a round.
+
+Words may be very long (scripts without blanks, encoded data). They are cut where two characters meet that no piece holds
+side by side, as no merge can cross such a place. What is still longer than LONG_WORD symbols is merged in rounds of its
+own that touch only the places of the smallest rank, so that their cost grows with the merges and not with rounds times
+length.
 """
 
 from __future__ import annotations
@@ -17,18 +22,19 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import small_batches, table, trimmed
 
 SPACE = "▁"
 #: Words kept in a worker's cache before it starts anew.
-CACHE_WORDS = 200_000
-#: Words of more symbols are merged one by one with a heap: rounds over them would cost their length squared.
+CACHE_WORDS = 100_000
+#: Words of more symbols are cut, and merged in rounds of their own where they cannot be cut.
 LONG_WORD = 1000
 _NONE = np.iinfo(np.int32).max
 
@@ -87,6 +93,7 @@ class PieceModel:
             for part in (key >> 32, key & 0xFFFFFFFF):
                 if part in own and rank <= own[part]:
                     self.alone[part] = True
+        self.joined = np.unique(np.array([ord(a) << 21 | ord(b) for name in symbol for a, b in zip(name, name[1:])], np.int64))
         inner = any(SPACE in name.lstrip(SPACE) for name in symbol) or self.char[10] >= 0
         self.words = re.compile(r"(?s).+" if inner else r" *[^ \n]+| +|\n")
         self.cache: dict[str, bytes] = {}
@@ -98,32 +105,66 @@ class PieceModel:
         hit = (self.keys[at] == keys) & (a >= 0) & (b >= 0)
         return np.where(hit, self.rank[at], _NONE), self.made[at]
 
-    def _heap(self, symbols: list[int]) -> list[int]:
-        """One long word: best rank first, then leftmost, over a linked list."""
+    def _long(self, symbols: np.ndarray) -> np.ndarray:
+        """One long word in rounds: the places of the smallest rank are merged from the left, then their neighbours ranked."""
         n = len(symbols)
-        after, before, live = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        ranks, made = self._ranked(np.array(symbols[:-1], np.int64), np.array(symbols[1:], np.int64))
-        heap = [(int(r), i, symbols[i], symbols[i + 1], int(m)) for i, (r, m) in enumerate(zip(ranks, made)) if r != _NONE]
-        heapq.heapify(heap)
-
-        def push(i: int, j: int) -> None:
-            if i >= 0 and j < n and symbols[i] >= 0 and symbols[j] >= 0:
-                key = symbols[i] << 32 | symbols[j]
-                at = int(np.searchsorted(self.keys, key))
-                if at < len(self.keys) and self.keys[at] == key:
-                    heapq.heappush(heap, (int(self.rank[at]), i, symbols[i], symbols[j], int(self.made[at])))
-
-        while heap:
-            _, i, a, b, m = heapq.heappop(heap)
-            j = after[i]
-            if not live[i] or symbols[i] != a or j >= n or symbols[j] != b:
+        after, before, live = np.arange(1, n + 1), np.arange(-1, n - 1), np.ones(n, bool)
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def wait(at: np.ndarray) -> None:
+            at = at[(at >= 0) & (at < n)]
+            at = at[after[at] < n]
+            rank, _ = self._ranked(symbols[at], symbols[after[at]])
+            at, rank = at[rank != _NONE], rank[rank != _NONE]
+            order = np.argsort(rank, kind="stable")
+            at, rank = at[order], rank[order]
+            starts = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]][: len(rank)])
+            for r, places in zip(rank[starts].tolist(), np.split(at, starts[1:])):
+                if r not in waiting:
+                    heapq.heappush(ranks, r)
+                waiting.setdefault(r, []).append(places)
+
+        wait(np.arange(n))
+        while ranks:
+            r = heapq.heappop(ranks)
+            at = np.unique(np.concatenate(waiting.pop(r)))
+            at = at[live[at] & (after[at] < n)]
+            rank, made = self._ranked(symbols[at], symbols[after[at]])
+            at, made = at[rank == r], made[rank == r]
+            if not len(at):
+                continue
+            index = np.arange(len(at))
+            touches = np.r_[False, after[at[:-1]] == at[1:]]  # shares a symbol with the place before
+            run = np.maximum.accumulate(np.where(touches, 0, index))
+            take = (index - run) % 2 == 0
+            if self.alone[made].any():
+                take &= index == 0
+                if len(at) > 1:
+                    wait(at[1:])
+            at, made = at[take], made[take]
+            gone = after[at]
+            symbols[at], live[gone], after[at] = made, False, after[gone]
+            inside = after[at] < n
+            before[after[at][inside]] = at[inside]
+            wait(np.unique(np.concatenate([before[at], at])))
+        return symbols[live]
+
+    def _cut(self, words: list[str]) -> tuple[list[str], list[int]]:
+        """Parts of the words and how many each has: long ones end where no piece holds two characters side by side."""
+        parts, counts = [], []
+        for w in words:
+            if len(w) <= LONG_WORD:
+                parts.append(w)
+                counts.append(1)
                 continue
-            symbols[i], live[j], after[i] = m, False, after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            push(before[i], i)
-            push(i, after[i])
-        return [s for s, x in zip(symbols, live) if x]
+            c = np.frombuffer(w.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+            pair = c[:-1] << 21 | c[1:]
+            known = self.joined[np.minimum(np.searchsorted(self.joined, pair), len(self.joined) - 1)] == pair if len(self.joined) else np.zeros(len(pair), bool)
+            ends = [0, *(np.flatnonzero(~known) + 1).tolist(), len(w)]
+            parts += [w[a:b] for a, b in zip(ends, ends[1:])]
+            counts.append(len(ends) - 1)
+        return parts, counts
 
     def _merge(self, words: list[str]) -> list[bytes]:
         """The ids of each word as little-endian 32-bit integers."""
@@ -134,8 +175,8 @@ class PieceModel:
         word = np.repeat(np.arange(len(words)), lengths)
         done: list[tuple[np.ndarray, np.ndarray]] = []
         for w in np.flatnonzero(lengths > LONG_WORD):
-            merged = self._heap(symbols[word == w].tolist())
-            done.append((np.full(len(merged), w), np.array(merged, np.int64)))
+            merged = self._long(symbols[word == w])
+            done.append((np.full(len(merged), w), merged))
         live = lengths[word] <= LONG_WORD
         word, symbols = word[live], symbols[live]
         rank, made = np.full(len(word), _NONE, np.int32), np.zeros(len(word), np.int32)
@@ -196,7 +237,9 @@ class PieceModel:
             self.cache.clear()
         new = [w for w in {w for words in split for w in words} if w not in self.cache]
         if new:
-            self.cache.update(zip(new, self._merge([w.replace(" ", SPACE) for w in new])))
+            parts, counts = self._cut([w.replace(" ", SPACE) for w in new])
+            merged = iter(self._merge(parts))
+            self.cache.update((w, b"".join(islice(merged, n))) for w, n in zip(new, counts))
         head, tail = (int(i).to_bytes(4, "little") for i in (self.bos, self.eos))
         return [head + b"".join(map(self.cache.__getitem__, words)) + tail for words in split]
 
@@ -248,8 +291,9 @@ def encoded(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", model:
             if keep_ids:
                 out["ids"] = [x.astype(np.int32) for x in arrays]
             yield pd.DataFrame(out)
+        pieces.cache.clear()
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInPandas(run, schema)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInPandas(trimmed(run), schema)
 
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
