@@ -5,8 +5,9 @@ clamped and the excess is shared again by weight until none is above. Each round
 table, so only the level (one number) passes through the driver, however many sources there are.
 
 Sampling: a source at ratio r of its size takes every document floor(r) times and a seeded fraction once more.
-The fraction is cut on the documents' seeded hashes where the words taken reach the target: a histogram of
-``BUCKETS`` hash ranges per source finds the range that holds the cut, and only that range's rows are ordered.
+The fraction is cut on the documents' seeded hashes where the words taken reach the target: a histogram of hash ranges
+per source finds the range that holds the cut, and only that range's rows are ordered. There are more ranges for more
+rows, so that a range stays small even if one source holds most rows.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from .common import staged, table, uniform53
 
 WORD = r"[^ \t\n\x0B\f\r]+"
 SEED = 2024
-BUCKETS = 4096
-_RANGE = (1 << 52) // BUCKETS
+#: Hash ranges of a source at least, and the rows that one of them holds about.
+LEAST_RANGES, RANGE_ROWS = 4096, 50_000
 #: Source tables of at most so many rows are broadcast; larger ones are joined by a shuffle.
 BROADCAST_SOURCES = 100_000
 
@@ -73,7 +74,9 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     """
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words(F.col(text)).alias("size"))
     draw = uniform53(seed, F.col("doc_id"))
-    slim = staged(slim.withColumn("draw", draw).withColumn("bucket", F.floor(F.col("draw") / _RANGE)), "mix-sizes")
+    slim = staged(slim.withColumn("draw", draw), "mix-sizes")
+    ranges = max(LEAST_RANGES, 1 << (slim.count() // RANGE_ROWS).bit_length())
+    slim = slim.withColumn("bucket", F.floor(F.col("draw") / ((1 << 52) // ranges)))
     sums = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
     ranked = numbered(sums, "source")
     weight = F.element_at(F.array(*[F.lit(int(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
