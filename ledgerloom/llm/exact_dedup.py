@@ -3,8 +3,8 @@
 Pass one counts filter slots: every row's hash names ``HASHES`` slots of one 4 KiB block, the slot counts are
 summed map side, and the slots hit twice or more become bitmaps. Pass two tests every row against the broadcast
 bitmaps: a row with an unshared slot is certainly unique and passes straight through; only the others shuffle.
-The filter holds at most ``MAX_BITS`` bits whatever the corpus size. On a corpus beyond it more unique rows
-are shuffled, never fewer repeated ones, so results do not change.
+The filter grows with the corpus, 16 bits a row. Up to ``BROADCAST_BITS`` its bitmaps are broadcast; a larger one is
+joined block by block, which moves digests once, but never texts of rows that it clears.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from .common import BLANKS, staged, table
 
 BLOCK_BITS = 32_768
 HASHES = 2
-MIN_BITS, MAX_BITS = 1 << 18, 1 << 27
+#: Least bits of the filter, and how many are broadcast at most (16 MiB).
+MIN_BITS, BROADCAST_BITS = 1 << 18, 1 << 27
 #: Groups with at least this share of the rows are joined by broadcast: there are at most so many of them.
 HOT_GROUPS = 1000
 
@@ -27,8 +28,8 @@ def normalised(text: Column) -> Column:
 
 
 def filter_bits(rows: int) -> int:
-    """16 bits a row, a power of two between the bounds."""
-    return min(MAX_BITS, max(MIN_BITS, 1 << max(0, 16 * rows - 1).bit_length()))
+    """16 bits a row, a power of two."""
+    return max(MIN_BITS, 1 << max(0, 16 * rows - 1).bit_length())
 
 
 def _places(digest: Column, bits: int) -> tuple[Column, list[Column]]:
@@ -46,10 +47,10 @@ def repeat_filter(rows: DataFrame, digest: str, bits: int) -> DataFrame:
 
 
 def possibly_repeated(rows: DataFrame, digest: str, bitmaps: DataFrame, bits: int, flag: str) -> DataFrame:
-    """rows plus a boolean that is true for every repeated digest and for few others; nothing shuffles."""
+    """rows plus a boolean that is true for every repeated digest and for few others; nothing shuffles up to BROADCAST_BITS."""
     block, places = _places(F.col(digest), bits)
     bm = bitmaps.select(F.col("block").alias("__block"), F.col("bitmap").alias("__bitmap"))
-    with_map = rows.join(F.broadcast(bm), block == F.col("__block"), "left")
+    with_map = rows.join(F.broadcast(bm) if bits <= BROADCAST_BITS else bm, block == F.col("__block"), "left")
 
     def is_set(place: Column) -> Column:
         byte = F.conv(F.hex(F.substring(F.col("__bitmap"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
@@ -117,7 +118,13 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     keep = maybe.groupBy(digest).agg(F.min(first).alias("first")).select(
         F.col(digest).alias("__keep_digest"), F.col("first.doc_id").alias("__keep_id"), (-F.col("first.n")).alias("__keep_n")
     )
-    flagged = possibly_repeated(docs.withColumn(digest, F.sha2(normalised(F.col(text)), 256)), digest, bitmaps, bits, flag)
+    whole = docs.withColumn(digest, F.sha2(normalised(F.col(text)), 256))
+    if bits <= BROADCAST_BITS:
+        flagged = possibly_repeated(whole, digest, bitmaps, bits, flag)
+    else:  # which rows the filter leaves was found on their digests
+        left = maybe.select(F.col("doc_id").alias("__maybe_id"), F.col(digest).alias("__maybe_digest")).distinct()
+        met = whole.join(left, F.col(doc_id).eqNullSafe(F.col("__maybe_id")) & (F.col(digest) == F.col("__maybe_digest")), "left")
+        flagged = met.withColumn(flag, F.col("__maybe_digest").isNotNull())
     alone = flagged.filter(~F.col(flag)).select(*columns)
     stays = flagged.filter(flag).join(
         keep,
