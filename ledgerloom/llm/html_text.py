@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import small_batches, table, trimmed
 
 PATH_SIZE, WORD_SIZE, MEASURES = 48, 24, 8
 WIDTH = PATH_SIZE + WORD_SIZE + MEASURES
@@ -46,23 +46,40 @@ Block = tuple[tuple[str, ...], str, float]
 
 
 def blocks(page: str | None) -> list[Block]:
-    """(tag path with class names, text, share of the text inside links) of every block that has text, in order."""
+    """(tag path with class names, text, share of the text inside links) of every block that has text, in order.
+
+    An inline element whose class names it as surroundings (an advert inside a paragraph) is a block of its own, in front
+    of the one it stands in, which goes on behind it.
+    """
     stack: list[tuple[str, str]] = []
     parts: list[str] = []
     found: list[Block] = []
     linked = total = depth = 0
+    #: Open inline blocks: tag, open tags of that name, height of the stack, and what was read of the block around.
+    inner: list[list] = []
 
     def flush() -> None:
         nonlocal linked, total
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
         if text:
-            found.append((tuple(x[1] for x in stack if x[0] not in _INLINE), text, linked / max(1, total)))
+            found.append((tuple(x[1] for x in stack), text, linked / max(1, total)))
         parts.clear()
         linked = total = 0
 
+    def leave(height: int) -> None:
+        """End the inline blocks that began at this height of the stack or above."""
+        nonlocal linked, total
+        while inner and inner[-1][2] >= height:
+            flush()
+            _, _, at, kept, linked, total = inner.pop()
+            del stack[at:]
+            parts[:] = kept
+
     def close(names: tuple[str, ...], until: tuple[str, ...] = ()) -> None:
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in names:
+                leave(k)
+                flush()
                 del stack[k:]
                 return
             if stack[k][0] in until:
@@ -82,12 +99,21 @@ def blocks(page: str | None) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
-        inline = tag in _INLINE
         if tag == "a":
             depth = max(0, depth - 1) if m["close"] else depth + 1
         if tag == "br":
             parts.append(" ")
-        if inline:
+        names = "" if m["close"] or tag in _VOID or m["rest"].endswith("/") else " ".join(x for g in _NAMES.findall(m["rest"]) for x in g if x).lower()
+        if tag in _INLINE:
+            if inner and inner[-1][0] == tag and tag not in _VOID and not m["rest"].endswith("/"):
+                inner[-1][1] += -1 if m["close"] else 1
+                if not inner[-1][1]:
+                    leave(inner[-1][2])
+            elif names and _OTHER_NAMES.search(names.replace("_", "-")):
+                inner.append([tag, 1, len(stack), list(parts), linked, total])
+                parts.clear()
+                linked = total = 0
+                stack.append((tag, f"{tag} {names}"))
             continue
         flush()
         if m["close"]:
@@ -99,8 +125,8 @@ def blocks(page: str | None) -> list[Block]:
             if tag in _SIBLINGS:
                 close((_SIBLINGS[tag][0],), _SIBLINGS[tag][1])
             if tag not in _VOID and not m["rest"].endswith("/"):
-                names = " ".join(x for g in _NAMES.findall(m["rest"]) for x in g if x).lower()
                 stack.append((tag, f"{tag} {names}" if names else tag))
+    leave(0)
     flush()
     return found
 
@@ -372,26 +398,36 @@ def main_text(pages: list[str | None], model: Labeller, vectors: Vectors) -> lis
 
 
 def extracted(pages: DataFrame, model: Labeller, page: str = "html") -> DataFrame:
-    """pages plus text and n_chars (code points). Null or empty html gives empty text; nothing shuffles."""
+    """pages plus text and n_chars (code points). Null or empty html gives empty text; nothing shuffles.
+
+    Columns of pages that are named text or n_chars are replaced; all others, repeated rows too, stay. An empty table
+    gives no rows.
+    """
     small_batches(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast(model)  # some 100 KB
-    vectors = Vectors()
 
-    @F.pandas_udf("string")
-    def extract(column: pd.Series) -> pd.Series:
-        return pd.Series(main_text(column.tolist(), shared.value, vectors), dtype=object)
+    def extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        vectors = Vectors()
+        for column in batches:
+            yield pd.Series(main_text(column.tolist(), shared.value, vectors), dtype=object)
 
-    found = pages.withColumn("text", extract(F.col(page).cast("string")))
+    found = pages.withColumn("text", F.pandas_udf(trimmed(extract), "string", F.PandasUDFType.SCALAR_ITER)(F.col(page).cast("string")))
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def training_pages(pages: DataFrame, page: str = "html", page_id: str = "page_id") -> list[str]:
-    """At most TRAIN_PAGES pages of at most TRAIN_CHARS characters, those of the smallest hashes of their ids."""
+    """At most TRAIN_PAGES distinct pages of at most TRAIN_CHARS characters, those of the smallest hashes of their ids.
+
+    Pages that repeat an id are ordered by a hash of their html, so that any order of the rows gives the same pages. Null
+    ids and null or empty pages are not read.
+    """
+    own, mark = F.col(page_id).cast("string"), F.xxhash64(F.col(page).cast("string"))
+    fine = pages.filter(F.length(page).between(1, TRAIN_CHARS) & own.isNotNull())
     # ids and hashes are ranked first, so that the ranking moves no pages
-    ranked = pages.filter(F.length(page).between(1, TRAIN_CHARS)).select(F.col(page_id).cast("string").alias("id"), F.xxhash64(F.col(page_id).cast("string")).alias("h"))
-    ids = [r["id"] for r in ranked.filter("id is not null").orderBy("h", "id").limit(TRAIN_PAGES).collect()]
-    some = pages.filter(F.col(page_id).cast("string").isin(ids) & F.length(page).between(1, TRAIN_CHARS)).select(F.col(page).alias("p"))
-    return sorted(r["p"] for r in some.limit(2 * TRAIN_PAGES).collect())[:TRAIN_PAGES]
+    ranked = fine.select(own.alias("id"), F.xxhash64(own).alias("h"), mark.alias("mark")).distinct()
+    wanted = [(r["id"], r["mark"]) for r in ranked.orderBy("h", "id", "mark").limit(TRAIN_PAGES).collect()]
+    some = fine.filter(own.isin([w[0] for w in wanted]) & mark.isin([w[1] for w in wanted])).select(own.alias("id"), mark.alias("mark"), F.col(page).alias("p")).dropDuplicates(["id", "mark"])
+    return sorted(r["p"] for r in some.collect() if (r["id"], r["mark"]) in set(wanted))
 
 
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
