@@ -14,14 +14,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, small_batches, staged, table, uniform53
+from .common import held_out, small_batches, staged, table, trimmed, uniform53
 
 ORDERS = (3, 4, 5)
 BITS = 20
 #: Expected number of labelled rows of each class that the fit reads (drawn by a hash of doc_id).
 TRAIN_PER_CLASS = 3000
-#: Features the regression weighs: those with the strongest evidence, present in at least MIN_DOCS training texts.
-FEATURES = 8000
+#: Features the regression weighs: those with the strongest evidence, present in at least MIN_DOCS training texts. As many
+#: as PER_ROW for each training row of the rarer class, within these bounds: few rows cannot tell more features apart.
+LEAST_FEATURES, FEATURES, PER_ROW = 500, 8000, 3
 MIN_DOCS = 5
 THRESHOLD = 0.3
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -99,8 +100,9 @@ def fit(labelled: DataFrame, counts: dict[int, int]) -> Model:
     sums = sample.mapInPandas(count, "gram long, negative long, positive long").groupBy("gram").agg(F.sum("negative").alias("negative"), F.sum("positive").alias("positive"))
     p, q = (F.col("positive") + 1) / F.lit(n[1] + 2.0), (F.col("negative") + 1) / F.lit(n[0] + 2.0)
     ratio = F.log(p / q)
+    most = min(FEATURES, max(LEAST_FEATURES, PER_ROW * min(n[0], n[1])))
     evidence = F.abs(ratio) * F.sqrt(F.col("positive") + F.col("negative"))
-    best = sums.filter(F.col("positive") + F.col("negative") >= MIN_DOCS).select("gram", ratio.alias("ratio"), evidence.alias("evidence")).orderBy(F.desc("evidence"), "gram").limit(FEATURES).collect()
+    best = sums.filter(F.col("positive") + F.col("negative") >= MIN_DOCS).select("gram", ratio.alias("ratio"), evidence.alias("evidence")).orderBy(F.desc("evidence"), "gram").limit(most).collect()
     best.sort(key=lambda r: r["gram"])
     features, ratios = np.array([r["gram"] for r in best], np.int64), np.array([r["ratio"] for r in best])
     place = np.full(1 << BITS, -1, np.int32)
@@ -120,14 +122,18 @@ def fit(labelled: DataFrame, counts: dict[int, int]) -> Model:
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs plus score; a null text counts as empty. Nothing shuffles."""
+    """docs plus score; a null text counts as empty. Nothing shuffles.
+
+    A column of docs that is named score is replaced; all others, repeated rows too, stay. An empty table gives no rows.
+    """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 4 MB whatever the corpus
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t) for t in texts], dtype=float)
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([shared.value.score(t) for t in texts], dtype=float)
 
+    score = F.pandas_udf(trimmed(scores), "double", F.PandasUDFType.SCALAR_ITER)
     return docs.withColumn("score", score(F.col(text).cast("string")))
 
 
