@@ -16,32 +16,48 @@ from ledgerloom.llm.minhash import near_dedup
 from ledgerloom.llm.mixing import mixed_documents
 from ledgerloom.llm.pieces import encoded
 
+#: Least score (1 at out-of-place distance 0, 0 at the largest) at which a document is of the nearest language.
+LANGUAGE_SCORE = 0.25
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any language (null texts, no letters) go; a missing lang becomes the predicted one."""
+    """Documents that are far from every language's profile go, and those without a letter (null and empty texts too).
+
+    lang becomes the nearest language; other columns, whatever their names, and repeated rows stay as they are.
+    """
     profiles = learn_profiles(docs.filter(~held_out(F.col("doc_id"))))
     slim = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
-    kept = identified(slim, profiles).filter(F.col("lang_pred") != UNDETERMINED)
-    return kept.select(*[F.coalesce("row.lang", "lang_pred").alias(c) if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])
+    kept = identified(slim, profiles).filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LANGUAGE_SCORE))
+    return kept.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that are equal without white space stays."""
+    """One document of each group of texts that are equal without white space stays.
+
+    Null texts count as empty; of a group the longest original text stays, then the smallest doc_id, and rows that repeat
+    both collapse to one.
+    """
     return exact_dedup(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays."""
+    """One document of each class of near duplicates stays, that of the smallest doc_id.
+
+    Texts without words, null ones too, are classes of their own; rows with a null doc_id stay.
+    """
     return near_dedup(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the target weights of the sources ask for."""
+    """Each document as often as the target weights of the sources ask for, as whole rows.
+
+    A null source is a source of its own, the last; texts without words follow their source's whole repetitions.
+    """
     return mixed_documents(docs)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 and the ids themselves."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and the ids themselves, one row per input row; a null text is empty."""
     return encoded(docs, keep_ids=True)
 
 
