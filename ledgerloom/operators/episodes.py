@@ -2,12 +2,13 @@
 
 Name changes are walked backwards from a security's last symbol. A step's outcome depends only on the name change that
 was taken (its old symbol is the next cursor, its date the next boundary), so both choices of every step are
-precomputed as edges between name changes, and the walk is a recursive query over edges instead of a loop per security.
+precomputed as edges between name changes, and all securities walk them together, several steps in each Spark job.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from ..functions import scalars as X
 from ..sources.tables import written
 from .validate import require_columns
 
-#: Steps of a walk at which Spark raises an error instead of cutting it; each step of the recursion joins once more.
-MAX_STEPS = 500
+#: Steps of all walks that one job takes; jobs go on until no walk is open.
+STEPS = 6
 
 
 def one_per_event(changes: DataFrame) -> DataFrame:
@@ -45,9 +46,8 @@ def chains(master: DataFrame, changes: DataFrame, snapshot: dt.date) -> DataFram
 
     At a cursor symbol the latest change into it before the boundary date is taken, unless exactly one such change
     comes from a symbol of the same security. A walk ends after a change into a symbol seen before or where no change is
-    left; one of more than MAX_STEPS steps is an error.
+    left, however long it is: every step goes back in time.
     """
-    spark = master.sparkSession
     events = _states(changes, snapshot)
     roots = terminals(master).select("security_id", F.col("terminal").alias("cursor"), F.date_add(F.lit(snapshot), 1).alias("boundary"))
     # a state is (cursor, boundary); those that can occur: the roots, and each event's (old, day)
@@ -58,25 +58,40 @@ def chains(master: DataFrame, changes: DataFrame, snapshot: dt.date) -> DataFram
     default = steps.groupBy("cursor", "boundary").agg(best.alias("e")).select("cursor", "boundary", F.col("e.old").alias("old"), F.col("e.day").alias("day"))
     own = master.select("security_id", F.col("symbol").alias("old")).distinct()
     preferred = steps.join(own, "old").groupBy("security_id", "cursor", "boundary").agg(F.count(F.lit(1)).alias("n"), F.first("old").alias("p_old"), F.first("day").alias("p_day")).filter("n = 1").drop("n")
-    # every level of the recursion reads the edges again, so they are written down
-    for name, df in (("walk_roots", roots), ("walk_default", default), ("walk_preferred", preferred)):
-        written(df, name).createOrReplaceTempView(f"ledgerloom_{name}")
-    spark.conf.set("spark.sql.cteRecursionLevelLimit", str(MAX_STEPS + 2))
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    return spark.sql(
-        f"""
-        WITH RECURSIVE walk(security_id, step, cursor, old, day, next_cursor, next_boundary, seen, stopped) AS (
-          SELECT security_id, 0, CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS DATE), cursor, boundary, array(cursor), FALSE
-          FROM ledgerloom_walk_roots
-          UNION ALL
-          SELECT w.security_id, w.step + 1, w.next_cursor, coalesce(p.p_old, d.old), coalesce(p.p_day, d.day), coalesce(p.p_old, d.old), coalesce(p.p_day, d.day),
-            array_append(w.seen, coalesce(p.p_old, d.old)), array_contains(w.seen, coalesce(p.p_old, d.old))
-          FROM walk w JOIN ledgerloom_walk_default d ON d.cursor = w.next_cursor AND d.boundary = w.next_boundary
-          LEFT JOIN ledgerloom_walk_preferred p ON p.security_id = w.security_id AND p.cursor = w.next_cursor AND p.boundary = w.next_boundary
-          WHERE NOT w.stopped)
-        SELECT security_id, step, cursor, old, day FROM walk WHERE step > 0
-        """
-    )
+    default, preferred = written(default, "walk-default"), written(preferred, "walk-preferred")
+    walks = roots.select("security_id", "cursor", "boundary", F.array("cursor").alias("seen"), F.lit(0).alias("step"))
+    parts: list[DataFrame] = []
+    while True:
+        ended = F.lit(False).alias("ended")
+        none = F.array().cast("array<struct<step:int,cursor:string,old:string,day:date>>").alias("taken")
+        here = written(_taken(walks.select("*", ended, none), default, preferred), "walk")
+        parts.append(here.select("security_id", F.inline("taken")))
+        walks = here.filter("not ended").select("security_id", "cursor", "boundary", "seen", "step")
+        if walks.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _taken(walks: DataFrame, default: DataFrame, preferred: DataFrame) -> DataFrame:
+    """Open walks STEPS steps later, with the changes they took; ended ones stay where they are."""
+    d = default.select(F.col("cursor").alias("d_cursor"), F.col("boundary").alias("d_boundary"), F.col("old").alias("d_old"), F.col("day").alias("d_day"))
+    p = preferred.select(F.col("security_id").alias("p_security"), F.col("cursor").alias("p_cursor"), F.col("boundary").alias("p_boundary"), "p_old", "p_day")
+    for _ in range(STEPS):
+        open_ = ~F.col("ended")
+        met = walks.join(d, open_ & (F.col("cursor") == F.col("d_cursor")) & (F.col("boundary") == F.col("d_boundary")), "left")
+        met = met.join(p, open_ & (F.col("security_id") == F.col("p_security")) & (F.col("cursor") == F.col("p_cursor")) & (F.col("boundary") == F.col("p_boundary")), "left")
+        old, day, moves = F.coalesce("p_old", "d_old"), F.coalesce("p_day", "d_day"), F.col("d_old").isNotNull()
+        entry = F.struct((F.col("step") + 1).alias("step"), "cursor", old.alias("old"), day.alias("day"))
+        walks = met.select(
+            "security_id",
+            F.coalesce(old, "cursor").alias("cursor"),
+            F.coalesce(day, "boundary").alias("boundary"),
+            F.when(moves, F.array_append("seen", old)).otherwise(F.col("seen")).alias("seen"),
+            (F.col("step") + moves.cast("int")).alias("step"),
+            (~moves | F.array_contains("seen", old)).alias("ended"),
+            F.when(moves, F.array_append("taken", entry)).otherwise(F.col("taken")).alias("taken"),
+        )
+    return walks
 
 
 def symbol_episodes(master: DataFrame, changes: DataFrame, snapshot: dt.date, history_start: dt.date = S.HISTORY_START) -> DataFrame:
