@@ -132,7 +132,7 @@ _MAPPED = (
 , h AS (SELECT p.symbol, p.date, count(e.episode_id) AS n, min(e.security_id) AS security_id, min(e.episode_id) AS episode_id, bool_and(e.is_episode_mapping_eligible) AS fine
   FROM p LEFT JOIN v_episodes e ON e.symbol = p.symbol AND p.date >= coalesce(e.symbol_valid_from, DATE '1996-01-01') AND (e.symbol_valid_to IS NULL OR p.date <= e.symbol_valid_to)
   GROUP BY 1, 2)
-, m AS (SELECT p.*, CASE WHEN n = 1 THEN security_id END AS security_id, CASE WHEN n = 1 THEN episode_id END AS episode_id,
+, m AS (SELECT p.*, count(*) OVER (PARTITION BY p.symbol, p.date) AS copies, CASE WHEN n = 1 THEN security_id END AS security_id, CASE WHEN n = 1 THEN episode_id END AS episode_id,
     CASE WHEN pair <> 'both' THEN 'missing_adjustment_pair' WHEN n > 1 THEN 'ambiguous_episode_overlap' WHEN n = 1 AND fine THEN 'mapped' WHEN n = 1 THEN 'identity_quarantine' ELSE 'outside_symbol_episode' END AS identity_status
   FROM p JOIN h ON p.symbol = h.symbol AND p.date = h.date)"""
 )
@@ -182,7 +182,7 @@ def bars_unexpected(spark: SparkSession, d: str) -> DataFrame:
 
 
 _METRICS = """count(*) AS row_count, count(DISTINCT symbol) AS symbol_count, CAST(min(date) AS VARCHAR) AS min_date, CAST(max(date) AS VARCHAR) AS max_date,
-  0 AS duplicate_key_count, count_if(raw_close IS NULL OR split_adjusted_close IS NULL) AS missing_adjustment_pair_count,
+  CAST(count_if(copies > 1) AS BIGINT) AS duplicate_key_count, count_if(raw_close IS NULL OR split_adjusted_close IS NULL) AS missing_adjustment_pair_count,
   count_if(abs(raw_close - split_adjusted_close) > 1e-9) AS split_adjustment_difference_count, count(DISTINCT security_id) AS security_id_count"""
 
 
@@ -635,12 +635,14 @@ def coverage_report(spark: SparkSession, d: str) -> DataFrame:
     _plain_with(
         _REPORT
         + """
-, de2 AS (SELECT *, list_contains(roles, 'expected_end') AND NOT list_contains(roles, 'ambiguous') AS del FROM rr)
+, de2 AS (SELECT *, list_contains(roles, 'expected_end') AND NOT list_contains(roles, 'ambiguous') AS del, contains(sample_categories, 'ticker_change') AS changed, CAST(NULL AS DATE) AS valid_from FROM rr)
 , su AS (SELECT count_if(del AND bar_count > 0 AND NOT list_contains(failures, 'truncated_end')) AS delisted_coverage_count, count_if(del) AS delisted_sample_count, count_if(bar_count > 0) > 0 AS sip_access_verified,
-    count_if(compared) > 0 AND count_if(compared AND NOT coalesce(ratio > 1, FALSE)) = 0 AS sip_volume_exceeds_iex, FALSE AS symbol_remapping_observed, FALSE AS ticker_change_coverage_adequate FROM de2)
+    count_if(compared) > 0 AND count_if(compared AND NOT coalesce(ratio > 1, FALSE)) = 0 AS sip_volume_exceeds_iex, count_if(list_contains(failures, 'returned_under_different_symbol')) > 0 AS symbol_remapping_observed,
+    count_if(changed) > 0 AND count_if(changed AND NOT (bar_count > 0 AND valid_from IS NOT NULL AND len(list_filter(list_concat(failures, warnings), lambda x: x <> 'bars_outside_episode')) = 0)) = 0 AS ticker_change_coverage_adequate FROM de2)
 , sv AS (SELECT *, CASE WHEN delisted_sample_count > 0 THEN round(CAST(delisted_coverage_count AS DOUBLE) / delisted_sample_count, 6) END AS delisted_coverage_pct FROM su)
-SELECT *, 'blocked' AS backfill_recommendation, array_to_string(list_filter([CASE WHEN NOT sip_access_verified THEN 'sip_access_not_verified' END, CASE WHEN coalesce(delisted_coverage_pct, 0) < 0.8 THEN 'delisted_coverage_below_80_pct' END,
-  CASE WHEN NOT sip_volume_exceeds_iex THEN 'sip_volume_not_confirmed_against_iex' END, 'ticker_change_coverage_inadequate'], lambda x: x IS NOT NULL), ';') AS backfill_recommendation_reason FROM sv"""
+, bl AS (SELECT *, list_filter([CASE WHEN NOT sip_access_verified THEN 'sip_access_not_verified' END, CASE WHEN coalesce(delisted_coverage_pct, 0) < 0.8 THEN 'delisted_coverage_below_80_pct' END,
+  CASE WHEN NOT sip_volume_exceeds_iex THEN 'sip_volume_not_confirmed_against_iex' END, CASE WHEN symbol_remapping_observed THEN 'symbol_remapping_observed' END, CASE WHEN NOT ticker_change_coverage_adequate THEN 'ticker_change_coverage_inadequate' END], lambda x: x IS NOT NULL) AS b FROM sv)
+SELECT * EXCLUDE (b), CASE WHEN len(b) > 0 THEN 'blocked' ELSE 'proceed' END AS backfill_recommendation, CASE WHEN len(b) > 0 THEN array_to_string(b, ';') ELSE 'audit_gate_passed' END AS backfill_recommendation_reason FROM bl"""
     )
 )
 def coverage_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -685,13 +687,14 @@ def action_pages(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("action_type").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("SELECT 'sip' AS feed, 'P' || CAST(l_partkey AS VARCHAR) AS requested, count(*) AS bars, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS volume FROM lineitem WHERE l_linenumber < 4 GROUP BY 1, 2")
+@query("SELECT CASE WHEN l_linenumber < 4 THEN 'sip' ELSE 'iex' END AS feed, 'P' || CAST(l_partkey AS VARCHAR) AS requested, count(*) AS bars, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS volume FROM lineitem GROUP BY 1, 2")
 def audit_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Line items as audit envelopes, scanned again."""
+    """All line items as audit envelopes of two feeds, scanned again."""
     bar = F.struct(F.col("l_shipdate").cast("date").cast("string").alias("t"), F.col("l_quantity").cast("long").alias("v"))
-    own = table(spark, d, "lineitem").filter("l_linenumber < 4").groupBy(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("s")).agg(F.collect_list(bar).alias("b"))
-    body = F.to_json(F.struct(F.struct(F.array("s").alias("symbols"), F.lit("sip").alias("feed")).alias("request"), F.struct(F.create_map("s", "b").alias("bars")).alias("response")))
-    observations, _ = P.audit_rows(own.select(F.xxhash64("s").alias("page_no"), body.alias("body")))
+    feed = F.when(F.col("l_linenumber") < 4, "sip").otherwise("iex").alias("feed")
+    own = table(spark, d, "lineitem").groupBy(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("s"), feed).agg(F.collect_list(bar).alias("b"))
+    body = F.to_json(F.struct(F.struct(F.array("s").alias("symbols"), "feed").alias("request"), F.struct(F.create_map("s", "b").alias("bars")).alias("response")))
+    observations, _ = P.audit_rows(own.select(F.xxhash64("s", "feed").alias("page_no"), body.alias("body")))
     return observations.groupBy("feed", "requested").agg(F.count(F.lit(1)).alias("bars"), F.sum("volume").alias("volume"))
 
 
