@@ -277,6 +277,20 @@ def episodes_inferred(spark: SparkSession, d: str) -> DataFrame:
     return E.symbol_episodes(_securities(spark, d), changes, SNAPSHOT, FLOOR).select("security_id", "symbol", "symbol_valid_from", "symbol_valid_to", "episode_status")
 
 
+@query("""
+SELECT 'P' || CAST(p_partkey AS VARCHAR) || '.A' AS symbol, CASE p_partkey % 3 WHEN 0 THEN 'normalized_symbol' WHEN 1 THEN 'exact_symbol' ELSE 'no_current_asset' END AS status,
+  CASE p_partkey % 3 WHEN 0 THEN 'provider_symbol_spelling_differs' WHEN 2 THEN 'no_current_alpaca_asset' END AS coverage_reason, CASE WHEN p_partkey % 3 <> 2 THEN 'asset-' || CAST(p_partkey AS VARCHAR) END AS asset FROM part""")
+def master_spellings(spark: SparkSession, d: str) -> DataFrame:
+    """Listings whose asset is spelled alike, otherwise, or missing."""
+    part, k = table(spark, d, "part"), F.col("p_partkey").cast("string")
+    text = {c: F.lit(None).cast("string") for c in ("cik", "composite_figi", "type", "market", "locale", "currency_name", "primary_exchange", "delisted_utc", "last_updated_utc")}
+    listings = part.select(F.concat(F.lit("P"), k, F.lit(".A")).alias("ticker"), F.col("p_name").alias("name"), F.concat(F.lit("F"), k).alias("share_class_figi"), F.lit("true").alias("active"), *[c.alias(n) for n, c in text.items()])
+    spelled = F.concat(F.lit("p"), k, F.when(F.expr("p_partkey % 3 = 0"), "-a").otherwise(".a"))
+    assets = part.filter("p_partkey % 3 <> 2").select(F.concat(F.lit("asset-"), k).alias("id"), spelled.alias("symbol"), F.lit("NYSE").alias("exchange"), F.lit("active").alias("status"), F.lit("true").alias("tradable"))
+    master = I.security_master(listings, P.normalised_assets(assets), SNAPSHOT, None, None, FLOOR)
+    return master.select("symbol", F.col("alpaca_asset_match_status").alias("status"), "coverage_reason", F.col("alpaca_asset_id").alias("asset"))
+
+
 # ---- published tables
 
 
