@@ -65,18 +65,18 @@ def water_fill(sources: DataFrame, total: float, max_epochs: float) -> DataFrame
     return sources.withColumn("target", F.when(F.col("weight") * level >= cap, cap).otherwise(share))
 
 
-def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights: tuple[int, ...] = (3, 1, 2), epochs: float = 1.5, max_epochs: float = 2.0, seed: int = SEED) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, copies, taken.
+def _joined(left: DataFrame, source: str, right: DataFrame, few: bool) -> DataFrame:
+    """left with right's row of its source (null is a source too); right is broadcast if it has few rows."""
+    return left.join(F.broadcast(right) if few else right, F.col(source).eqNullSafe(F.col("__source"))).drop("__source")
 
-    Sources in code-point order, null last, weigh `weights` in turn and share `epochs` times all words. A null text
-    has no words and is taken as often as its source's whole repetitions say. Rows that repeat a doc_id within a
-    source share one draw. Sources without words get target 0; an empty table gives no rows.
-    """
+
+def _planned(docs: DataFrame, text: str, source: str, doc_id: str, weights: tuple[int, ...], epochs: float, max_epochs: float, seed: int) -> tuple[DataFrame, DataFrame, int, bool]:
+    """Sizes and draws of all rows; of each source its size, target, whole repetitions and the hash range in which the
+    next repetition is cut; the number of ranges; whether the sources are few."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words(F.col(text)).alias("size"))
-    draw = uniform53(seed, F.col("doc_id"))
-    slim = staged(slim.withColumn("draw", draw), "mix-sizes")
-    ranges = max(LEAST_RANGES, 1 << (slim.count() // RANGE_ROWS).bit_length())
-    slim = slim.withColumn("bucket", F.floor(F.col("draw") / ((1 << 52) // ranges)))
+    slim = staged(slim.withColumn("draw", uniform53(seed, F.col("doc_id"))), "mix-sizes")
+    n_ranges = max(LEAST_RANGES, 1 << (slim.count() // RANGE_ROWS).bit_length())
+    slim = slim.withColumn("bucket", _range(F.col("draw"), n_ranges))
     sums = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
     ranked = numbered(sums, "source")
     weight = F.element_at(F.array(*[F.lit(int(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
@@ -86,34 +86,59 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     filled = water_fill(ranked, epochs * facts.words, max_epochs).drop("weight")
     ratio = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
     filled = filled.withColumn("whole", F.floor(ratio)).withColumn("more", F.col("target") - F.col("whole") * F.col("source_size"))
-    same = lambda left, right: left.join(F.broadcast(right) if few else right, left["source"].eqNullSafe(right["__source"])).drop("__source")
 
     # The first hash range in which the words of a further repetition reach what is left of the target.
     ranges = slim.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     running = Window.partitionBy("source").orderBy("bucket")
     ranges = ranges.withColumn("until", F.sum("words").over(running)).withColumn("before", F.col("until") - F.col("words"))
-    ranges = same(ranges, filled.select(F.col("source").alias("__source"), "more"))
+    ranges = _joined(ranges, "source", filled.select(F.col("source").alias("__source"), "more"), few)
     cut = ranges.filter(F.col("until") > F.col("more")).groupBy("source").agg(F.min(F.struct("bucket", "before")).alias("cut"))
     cut = cut.select(F.col("source").alias("__source"), F.col("cut.bucket").alias("cut"), F.col("cut.before").alias("before"))
     plan = filled.join(cut, filled["source"].eqNullSafe(cut["__source"]), "left").drop("__source")
-    plan = staged(plan.withColumnRenamed("source", "__source"), "mix-plan")
-    rows = same(slim, plan)
-    inside = F.coalesce(F.col("bucket") == F.col("cut"), F.lit(False))
-    sure = rows.filter(~inside).withColumn("extra", F.coalesce(F.col("bucket") < F.col("cut"), F.lit(False)))
+    return slim, staged(plan.withColumnRenamed("source", "__source"), "mix-plan"), n_ranges, few
+
+
+def _range(draw: Column, n_ranges: int) -> Column:
+    return F.floor(draw / ((1 << 52) // n_ranges))
+
+
+def _edge(slim: DataFrame, plan: DataFrame, few: bool) -> DataFrame:
+    """The rows of each source's cut range, with extra: whether they are taken once more."""
     order = Window.partitionBy("source").orderBy("draw", "doc_id")
+    rows = _joined(slim, "source", plan, few).filter("bucket = cut").withColumn("reached", F.col("before") + F.sum("size").over(order))
     # half of the document that crosses the cut must lie below it: the nearest whole number of documents
-    edge = rows.filter(inside).withColumn("reached", F.col("before") + F.sum("size").over(order))
-    edge = edge.withColumn("extra", F.col("reached") - F.col("size") / 2.0 <= F.col("more")).drop("reached")
-    copies = (F.col("whole") + F.col("extra").cast("int")).cast("int")
-    out = sure.unionByName(edge).withColumn("copies", copies)
+    return rows.withColumn("extra", F.col("reached") - F.col("size") / 2.0 <= F.col("more")).drop("reached")
+
+
+def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights: tuple[int, ...] = (3, 1, 2), epochs: float = 1.5, max_epochs: float = 2.0, seed: int = SEED) -> DataFrame:
+    """One row per input row: doc_id, source, size, source_size, target, copies, taken.
+
+    Sources in code-point order, null last, weigh `weights` in turn and share `epochs` times all words. A null text
+    has no words and is taken as often as its source's whole repetitions say. Rows that repeat a doc_id within a
+    source share one draw. Sources without words get target 0; an empty table gives no rows; other columns, whatever
+    their names, are not read.
+    """
+    slim, plan, _, few = _planned(docs, text, source, doc_id, weights, epochs, max_epochs, seed)
+    sure = _joined(slim, "source", plan, few).filter("cut is null or bucket <> cut").withColumn("extra", F.coalesce(F.col("bucket") < F.col("cut"), F.lit(False)))
+    out = sure.unionByName(_edge(slim, plan, few)).withColumn("copies", (F.col("whole") + F.col("extra").cast("int")).cast("int"))
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **options: object) -> DataFrame:
-    """docs with each row as often as mix() takes it (0 to max_epochs times), all columns as they were."""
-    plan = mix(docs, text, source, doc_id, **options)
-    plan = plan.filter("copies > 0").select(F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("copies").alias("__mix_copies")).distinct()
-    taken = docs.join(plan, F.col(doc_id).eqNullSafe(F.col("__mix_id")) & F.col(source).eqNullSafe(F.col("__mix_source")))
+def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights: tuple[int, ...] = (3, 1, 2), epochs: float = 1.5, max_epochs: float = 2.0, seed: int = SEED) -> DataFrame:
+    """docs with each row as often as mix() takes it (0 to max_epochs times), all columns as they were.
+
+    Nulls, empty texts and empty tables count as in mix(); rows that repeat doc_id and source are taken alike, as often as
+    the first of them in the order of draws. Texts stay where they are: only rows of a source's cut range are joined by
+    doc_id.
+    """
+    slim, plan, n_ranges, few = _planned(docs, text, source, doc_id, weights, epochs, max_epochs, seed)
+    own = plan.select("__source", F.col("whole").alias("__mix_whole"), F.col("cut").alias("__mix_cut"))
+    rows = _joined(docs, source, own, few).withColumn("__mix_bucket", _range(uniform53(seed, F.col(doc_id)), n_ranges))
+    inside = F.coalesce(F.col("__mix_bucket") == F.col("__mix_cut"), F.lit(False))
+    sure = rows.filter(~inside).withColumn("__mix_extra", F.coalesce(F.col("__mix_bucket") < F.col("__mix_cut"), F.lit(False)))
+    edge = _edge(slim, plan, few).groupBy(F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source")).agg(F.max("extra").alias("__mix_extra"))
+    met = rows.filter(inside).join(edge, F.col(doc_id).eqNullSafe(F.col("__mix_id")) & F.col(source).eqNullSafe(F.col("__mix_source"))).drop("__mix_id", "__mix_source")
+    taken = sure.unionByName(met).withColumn("__mix_copies", (F.col("__mix_whole") + F.col("__mix_extra").cast("int")).cast("int")).filter("__mix_copies > 0")
     repeated = taken.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
     return repeated.select(*docs.columns)
 
