@@ -6,9 +6,9 @@ them, and every signature coordinate keeps its earliest dart. Coordinates of two
 of their weighted Jaccard similarity, at a cost that does not grow with coordinates times shingles.
 
 Equal token sequences collapse first. Distinct ones meet in the buckets of BANDS bands. A bucket does not emit all
-its pairs: its most connected document leads it, every other member is paired with the leader, and after the first
-round of exact verification only members outside the leader's class meet the others: inside tasks, in blocks of BLOCK
-documents, which return no more links than they connect.
+its pairs: its most connected document leads it and every other member is paired with the leader. After exact
+verification the links of all buckets together give classes, and only members outside their leader's class meet the
+others: inside tasks, in blocks of BLOCK documents, which return no more links than they connect.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged, table
+from .common import small_batches, staged, table, trimmed
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -50,7 +50,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Words:
     """64-bit hashes of words, kept for the words that a worker has seen."""
 
-    def __init__(self, most: int = 300_000) -> None:
+    def __init__(self, most: int = 100_000) -> None:
         self.known: dict[str, int] = {}
         self.most = most
 
@@ -165,7 +165,7 @@ def _features(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                 }
             )
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInPandas(run, "doc_id long, seq binary, bands array<long>, sig binary")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInPandas(trimmed(run), "doc_id long, seq binary, bands array<long>, sig binary")
 
 
 def _alike(a: pd.Series, b: pd.Series) -> np.ndarray:
@@ -183,7 +183,7 @@ def _plausible(pairs: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.loc[_alike(batch["sig_a"], batch["sig_b"]) >= ESTIMATE, ["a", "b"]]
 
-    return pairs.mapInPandas(run, "a long, b long")
+    return pairs.mapInPandas(trimmed(run), "a long, b long")
 
 
 def _named(pairs: DataFrame) -> DataFrame:
@@ -206,7 +206,7 @@ def _bags(docs: DataFrame, ids: DataFrame, text: str, doc_id: str) -> DataFrame:
             yield pd.DataFrame({"id": batch["id"], "own": [np.sort((shingles(t, words) >> np.uint64(32)).astype(np.uint32)).tobytes() for t in batch["text"]]})
 
     named = _only(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")), "id", ids)
-    return staged(named.mapInPandas(cut, "id long, own binary").dropDuplicates(["id"]), "near-bags")
+    return staged(named.mapInPandas(trimmed(cut), "id long, own binary").dropDuplicates(["id"]), "near-bags")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, text: str, doc_id: str, similar: float) -> DataFrame:
@@ -224,7 +224,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, doc_id: str, similar
 
     with_a = pairs.join(bags.select(F.col("id").alias("a"), F.col("own").alias("own_a")), "a")
     both = with_a.join(bags.select(F.col("id").alias("b"), F.col("own").alias("own_b")), "b")
-    return both.mapInPandas(check, "a long, b long")
+    return both.mapInPandas(trimmed(check), "a long, b long")
 
 
 def connected(links: DataFrame, name: str = "near") -> DataFrame:
@@ -263,8 +263,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     lead = staged(lead.select("band", F.col("first.lead").alias("lead")), "near-leads")
     rays = members.join(lead, "band").filter("doc_id <> lead").select(F.least("doc_id", "lead").alias("a"), F.greatest("doc_id", "lead").alias("b")).distinct()
     links = _linked(staged(rays, "near-rays"), features, docs, text, doc_id, similar)
-    links = _completed(members, lead, weight, links, features, docs, text, doc_id, similar)
-    classes = connected(links)
+    classes = connected(_completed(members, lead, links, features, docs, text, doc_id, similar))
     of_rep = groups.join(classes.withColumnRenamed("id", "rep"), "rep", "left").select("seq", F.coalesce("class", "rep").alias("class_rep"))
     return _members(features.select("doc_id", "seq").distinct(), staged(of_rep, "near-classes"))
 
@@ -282,32 +281,25 @@ def _linked(pairs: DataFrame, features: DataFrame, docs: DataFrame, text: str, d
     return staged(_verified(plausible, docs, text, doc_id, similar), "near-links")
 
 
-def _starred(links: DataFrame, weight: DataFrame) -> DataFrame:
-    """(doc_id, class): of every linked document the most connected one among itself and those it is linked to."""
-    ends = links.select(F.col("a").alias("x"), F.col("b").alias("doc_id")).unionByName(links.select(F.col("b").alias("x"), F.col("a").alias("doc_id")))
-    best = ends.join(weight, "doc_id").groupBy("x").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("id"))).alias("best")).withColumnRenamed("x", "doc_id")
-    own = F.struct("weight", (-F.col("doc_id")).alias("id"))
-    return best.join(weight, "doc_id").select("doc_id", (-F.greatest("best", own)["id"]).alias("class"))
+def _completed(members: DataFrame, lead: DataFrame, links: DataFrame, features: DataFrame, docs: DataFrame, text: str, doc_id: str, similar: float) -> DataFrame:
+    """Links that connect what links connect and what links between members of one bucket in different classes connect.
 
-
-def _completed(members: DataFrame, lead: DataFrame, weight: DataFrame, links: DataFrame, features: DataFrame, docs: DataFrame, text: str, doc_id: str, similar: float) -> DataFrame:
-    """links plus those between members of one bucket that the leaders' links leave in different classes.
-
-    A class here is a document with those linked to it. A member outside its leader's class meets the bucket's members
-    of other classes; members inside need not meet each other, as they are connected already. Two documents meet in the
-    first bucket that they share only: if both are inside there, they are of one class.
+    A class is a component of links. A member outside its leader's class meets the bucket's members of other classes;
+    members inside need not meet each other, as they are connected already. Two documents meet in the first bucket that
+    they share only: if both are inside there, they are of one class.
     """
-    classes = staged(_starred(links, weight), "near-stars")
+    classes = staged(connected(links, "near-first").withColumnRenamed("id", "doc_id"), "near-first-classes")
+    known = classes.filter("doc_id <> class").select(F.col("class").alias("a"), F.col("doc_id").alias("b"))
     tagged = members.join(classes, "doc_id", "left").select("band", "slot", "doc_id", F.coalesce("class", "doc_id").alias("class"))
     lead_class = lead.join(classes.withColumnRenamed("doc_id", "lead"), "lead", "left").select("band", F.coalesce("class", "lead").alias("lead_class"))
     tagged = staged(tagged.join(staged(lead_class, "near-lead-classes"), "band").withColumn("outside", F.col("class") != F.col("lead_class")), "near-tagged")
     sizes = tagged.groupBy("band").agg(F.count(F.lit(1)).alias("n_all"), F.count_if("outside").alias("n_outside")).filter("n_outside > 0")
     sizes = staged(sizes, "near-open")
     if sizes.isEmpty():
-        return links
+        return known
     crowd = staged(tagged.join(sizes, "band").select("band", "slot", "doc_id", "class", "outside", "n_all", "n_outside"), "near-crowds")
     ids = staged(crowd.select(F.col("doc_id").alias("id")).distinct(), "near-ids")
-    return links.unionByName(_met_in_blocks(crowd, _signatures_of(features, ids), _bags(docs, ids, text, doc_id), similar))
+    return known.unionByName(_met_in_blocks(crowd, _signatures_of(features, ids), _bags(docs, ids, text, doc_id), similar))
 
 
 def _unrepeated(own: np.ndarray) -> np.ndarray:
