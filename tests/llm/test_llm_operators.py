@@ -130,6 +130,13 @@ def test_near_dedup_rows(odd, empty):
     assert minhash.near_dedup(empty).count() == 0
 
 
+def test_near_dedup_of_repeated_ids(spark):
+    """Rows that repeat a doc_id with different texts stay or go together."""
+    a, b = prose(1, 80), prose(2, 80)
+    df = spark.createDataFrame([(1, a), (2, a + " more"), (2, b), (3, prose(3, 80)), (3, prose(4, 80)), (None, a)], "doc_id long, text string")
+    assert sorted((r["doc_id"] for r in minhash.near_dedup(df).collect()), key=str) == [1, 3, 3, None]
+
+
 def test_dart_signatures_estimate_similarity():
     r = np.random.default_rng(3)
     base = r.integers(0, 2**63, 400, dtype=np.uint64)
@@ -550,6 +557,8 @@ def test_mixing_meets_targets(spark, monkeypatch):
     assert all(x["taken"] <= 2 * x["size"] for x in plan)
     again = mixing.mix(spark.createDataFrame(data[::-1], SCHEMA)).collect()
     assert sorted((x["doc_id"], x["taken"]) for x in again) == sorted((x["doc_id"], x["taken"]) for x in plan)
+    whole = collections.Counter(r["doc_id"] for r in mixing.mixed_documents(spark.createDataFrame(data, SCHEMA)).collect())
+    assert {x["doc_id"]: x["copies"] for x in plan if x["copies"]} == whole
     monkeypatch.setattr(mixing, "LEAST_RANGES", 4)  # ranges change the work, not the rows
     again = mixing.mix(spark.createDataFrame(data, SCHEMA)).collect()
     assert sorted((x["doc_id"], x["taken"]) for x in again) == sorted((x["doc_id"], x["taken"]) for x in plan)
@@ -559,6 +568,10 @@ def test_mixing_odd_rows(odd, empty):
     assert mixing.mix(odd).count() == odd.count() and mixing.mix(empty).count() == 0
     out = mixing.mixed_documents(odd)
     assert out.columns == odd.columns and out.count() > 0 and mixing.mixed_documents(empty).count() == 0
+    taken = collections.Counter((r["doc_id"], r["source"], r["text"]) for r in out.collect())
+    plan = {(r["doc_id"], r["source"]): r["copies"] for r in mixing.mix(odd).collect()}
+    rows = collections.Counter((r["doc_id"], r["source"], r["text"]) for r in odd.collect())
+    assert all(taken[k] == n * plan[k[:2]] for k, n in rows.items() if k[0] not in (7, None)) and sum(taken.values()) == out.count()
 
 
 def test_pieces_equal_the_library():
