@@ -5,7 +5,8 @@ has, that begin where one of the template's rare bigrams places it, so that wrap
 unit's distinct word bigrams A and a template's B match if 2 |A and B| / (|A| + |B|) reaches the threshold. Only lines
 and texts whose size lies within the bounds that the threshold sets for some template are looked at, and a unit meets a
 template only through one of the template's rarest bigrams: a matching unit must hold one of them, since it may miss
-only so many. So documents without the longer word of any of these bigrams are passed over before any word is cut.
+only so many. For the same reason it must hold one of a few telling words: documents without any are passed over before
+any word is cut.
 """
 
 from __future__ import annotations
@@ -121,6 +122,35 @@ def rare_bigrams(similar: float, templates: tuple[tuple[str, str], ...]) -> list
     return [(g, k, *bounds(len(b), similar)) for k, b in own if b for g in sorted(b, key=order)[: len(b) - math.ceil(len(b) * similar / (2 - similar) - 1e-9) + 1]]
 
 
+#: Words that most English texts hold: they tell nothing.
+COMMON = frozenset("a all an and any are as at be by for from if in is it no not of on or that the this to under with".split())
+
+
+def telling_words(similar: float, templates: tuple[tuple[str, str], ...]) -> list[str]:
+    """Words of which a text must hold one to match any template.
+
+    A unit without any of a template's chosen words lacks every bigram with one of them; they are chosen, long ones and
+    those of many templates first, until these are more than a matching unit may lack.
+    """
+    chosen: set[str] = set()
+    own = [set(template_bigrams(t)) for _, t in templates]
+    spread: dict[str, int] = {}
+    for w in (w for grams in own for w in {w for g in grams for w in g.split()}):
+        spread[w] = spread.get(w, 0) + 1
+    for grams in sorted((x for x in own if x), key=len):
+        may_lack = len(grams) - math.ceil(len(grams) * similar / (2 - similar) - 1e-9)
+        left = {g for g in grams if not chosen & set(g.split())}
+        while (need := may_lack + 1 - (len(grams) - len(left))) > 0:
+            touched: dict[str, int] = {}
+            for g in left:
+                for w in set(g.split()):
+                    touched[w] = touched.get(w, 0) + 1
+            best = max(touched, key=lambda w: (w not in COMMON, len(w) > 5, len(w) > 3, min(need, touched[w]), spread[w], len(w), w))
+            chosen.add(best)
+            left = {g for g in left if best not in g.split()}
+    return sorted(chosen)
+
+
 def anchors(similar: float, templates: tuple[tuple[str, str], ...]) -> list[tuple[str, int, int, int]]:
     """(bigram, template, its place in the template, words of the template) of each template's rare bigrams."""
     rare = {(g, k) for g, k, *_ in rare_bigrams(similar, templates)}
@@ -155,17 +185,19 @@ def licence_matches(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rare = spark.createDataFrame(rows, "gram string, template int, low int, high int")
     full = spark.createDataFrame([x for x in own if x[2]], "template int, licence string, theirs array<string>")
     low, high = min((r[2] for r in rows), default=0), max((r[3] for r in rows), default=-1)
-    telling = sorted({max(g.split(), key=lambda w: (len(w), w)) for g, *_ in rows})
     lowered = F.lower(F.col(text).cast("string"))
-    some = F.lit(False)
-    for word in telling:
+    telling, some = telling_words(similar, templates), F.lit(False)
+    for word in (w for w in telling if len(w) > 3):
         some = some | F.contains(lowered, F.lit(word))
-    named = docs.filter(some)
-    units = _units(named, text, doc_id)
+    if short := [w for w in telling if len(w) <= 3]:  # as parts of other words they would tell nothing
+        some = some | lowered.rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(short)})(?![\p{{L}}\p{{N}}])")
+    # a small share of the documents goes on; the search for telling words is not repeated for passages
+    named = staged(docs.filter(some).select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")), "licence-documents")
+    units = _units(named, "text", "doc_id")
     # a unit of n distinct bigrams has n + 1 words, 2 n + 1 characters at least; longer repetitive ones stay
     sized = units.filter(F.length("unit") > 2 * low).select("doc_id", "line", bigrams(F.col("unit")).alias("grams")).withColumn("n", F.size("grams")).filter(F.col("n").between(low, high))
     met = sized.select("doc_id", "line", "n", F.explode("grams").alias("gram"), "grams").join(F.broadcast(rare), "gram").filter(F.col("n").between(F.col("low"), F.col("high")))
-    met = met.select("doc_id", "line", "template", "grams").unionByName(_passages(named, text, doc_id, similar, templates))
+    met = met.select("doc_id", "line", "template", "grams").unionByName(_passages(named, "text", "doc_id", similar, templates))
     score = 2 * F.size(F.array_intersect("grams", "theirs")) / (F.size("grams") + F.size("theirs"))
     pairs = met.join(F.broadcast(full), "template").select("doc_id", "line", "template", "licence", F.size("theirs").alias("size"), score.alias("score")).filter(F.col("score") >= similar)
     return staged(pairs.groupBy("doc_id", "line", "template", "licence", "size").agg(F.max("score").alias("score")), "licence-matches")
