@@ -1,6 +1,6 @@
 """The queries of the training-data operators and, where SQL can state them, their SQL."""
 
-from . import exact_dedup, html_text, knn, language, licences, line_dedup, minhash, mixing, pieces, toxicity
+from . import exact_dedup, html_text, knn, language, licences, line_dedup, minhash, mixing, pieces, resampling, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_pieces": pieces.op8_pieces,
     "op9_mixing": mixing.op9_mixing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_importance_draw": resampling.op11_importance_draw,
 }
 
 ORACLE_SQL = {
@@ -20,4 +21,5 @@ ORACLE_SQL = {
     "op5_licences": licences.OP5_SQL,
     "op9_mixing": mixing.OP9_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
+    "op11_importance_draw": resampling.OP11_SQL,
 }
