@@ -70,6 +70,17 @@ def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
     return whole
 
 
+def trimmed_group(run: Callable) -> Callable:
+    """run(key, rows) of a group, and after each group unused memory goes back to the system."""
+
+    def whole(key, rows):
+        out = run(key, rows)
+        _hand_back()
+        return out
+
+    return whole
+
+
 def crc_mod4(doc_id: Column) -> Column:
     """crc32 of the id's decimal text, modulo 4; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4

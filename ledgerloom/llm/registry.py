@@ -1,6 +1,6 @@
 """The queries of the training-data operators and, where SQL can state them, their SQL."""
 
-from . import exact_dedup, html_text, knn, language, licences, line_dedup, minhash, mixing, pieces, resampling, toxicity
+from . import exact_dedup, html_text, knn, language, licences, line_dedup, minhash, mixing, pieces, resampling, spelling, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op11_importance_draw": resampling.op11_importance_draw,
+    "op12_spelling": spelling.op12_spelling,
 }
 
 ORACLE_SQL = {
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op9_mixing": mixing.OP9_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
     "op11_importance_draw": resampling.OP11_SQL,
+    "op12_spelling": spelling.OP12_SQL,
 }
