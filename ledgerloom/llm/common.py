@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 #: The six white-space characters of the contracts, [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
 
-#: Rows of one Arrow batch; keeps a batch of long texts small in a Python worker.
-BATCH_ROWS = 256
+#: Bytes of one Arrow batch; keeps a batch of long texts small in a Python worker.
+BATCH_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,9 +45,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows that a Python worker holds at once (long texts make large rows)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes that a Python worker is handed at once. All operators set the same bound, so that none changes the
+    batches of another's frame that runs later."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def _hand_back() -> None:
@@ -94,3 +95,18 @@ def uniform53(seed: int, *keys: Column) -> Column:
     """A reproducible whole number in [0, 2^52) drawn from the md5 of the keys."""
     text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(k.cast("string"), F.lit("")) for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, seed: int = 7) -> tuple[DataFrame, dict[int, int]]:
+    """About per_class rows (doc_id, text, label) of each label 0/1 outside the held-out quarter; how many there are in all.
+
+    labels with null or other values take no part; of several labels of one doc_id the largest counts, of several texts
+    the first in code-point order, so that repeated rows of either table teach once.
+    """
+    known = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).filter("label in (0, 1) and doc_id is not null").filter(~held_out(F.col("doc_id")))
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    share = F.when(F.col("label") == 1, min(1.0, per_class / max(1, counts.get(1, 0)))).otherwise(min(1.0, per_class / max(1, counts.get(0, 0))))
+    few = known.filter(uniform53(seed, F.col("doc_id")) < share * float(1 << 52)).withColumnRenamed("doc_id", "__id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("__id"))  # about 2 per_class rows
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label")), counts

@@ -1,6 +1,6 @@
 """The queries of the training-data operators and, where SQL can state them, their SQL."""
 
-from . import exact_dedup, html_text, knn, language, licences, line_dedup, minhash, mixing, pieces, resampling, spelling, toxicity
+from . import exact_dedup, html_text, knn, language, licences, line_dedup, minhash, mixing, pieces, quality, resampling, spelling, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op11_importance_draw": resampling.op11_importance_draw,
     "op12_spelling": spelling.op12_spelling,
+    "op13_quality": quality.op13_quality,
 }
 
 ORACLE_SQL = {

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, small_batches, staged, table, trimmed, uniform53
+from .common import held_out, labelled_sample, small_batches, staged, table, trimmed
 
 ORDERS = (3, 4, 5)
 BITS = 20
@@ -137,24 +137,11 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return docs.withColumn("score", score(F.col(text).cast("string")))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS) -> tuple[DataFrame, dict[int, int]]:
-    """About per_class rows (doc_id, text, label) of each label outside the held-out quarter; how many there are in all.
-
-    labels with null or other values than 0 and 1 take no part; of several labels of one doc_id the largest counts.
-    """
-    known = labels.select(F.col("doc_id"), F.col("toxic").cast("int").alias("label")).filter("label in (0, 1) and doc_id is not null").filter(~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    share = F.when(F.col("label") == 1, min(1.0, per_class / max(1, counts.get(1, 0)))).otherwise(min(1.0, per_class / max(1, counts.get(0, 0))))
-    few = known.filter(uniform53(7, F.col("doc_id")) < share * float(1 << 52)).withColumnRenamed("doc_id", "__id")
-    return docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("__id")).drop("__id"), counts
-
-
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted (1 if score >= 0.3). Only the text is read for a score."""
     small_batches(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    sample, counts = labelled_sample(docs, table(spark, sf_dir, "labels"))
+    sample, counts = labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic", TRAIN_PER_CLASS)
     model = fit(sample, counts)
     out = scored(docs, model)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
