@@ -72,11 +72,12 @@ def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
 
 
 def trimmed_group(run: Callable) -> Callable:
-    """run(key, rows) of a group, and after each group unused memory goes back to the system."""
+    """run(key, rows) of a group, and after a large group unused memory goes back to the system."""
 
     def whole(key, rows):
         out = run(key, rows)
-        _hand_back()
+        if len(rows) > 4096:
+            _hand_back()
         return out
 
     return whole

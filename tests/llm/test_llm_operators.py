@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import held_out
+from ledgerloom.llm.common import held_out, labelled_sample
 from ledgerloom.llm import exact_dedup, html_text, knn, language, licences, line_dedup, minhash, mixing, pieces, toxicity
 
 DIR = "/root/testdata/sf0.001"
@@ -613,13 +613,13 @@ def test_toxicity_learns(spark, odd, empty):
     data = [(i, prose(i, 30) + (" you horrid fool " + prose(i + 1, 5) if i % 5 == 0 else ""), "en", "s", 1) for i in range(400)]
     docs = spark.createDataFrame(data, SCHEMA)
     labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(400)] + [(None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
-    sample, counts = toxicity.labelled_sample(docs, labels)
+    sample, counts = labelled_sample(docs, labels, "toxic", 3000)
     model = toxicity.fit(sample, counts)
     out = {x["doc_id"]: x["score"] for x in toxicity.scored(docs, model).collect()}
     assert all((out[i] >= 0.3) == (i % 5 == 0) for i in out)
     assert toxicity.scored(odd, model).filter("score >= 0 and score <= 1").count() == odd.count()
     assert toxicity.scored(empty, model).count() == 0
-    sample, counts = toxicity.labelled_sample(empty, labels.filter("doc_id < 0"))
+    sample, counts = labelled_sample(empty, labels.filter("doc_id < 0"), "toxic", 3000)
     assert toxicity.fit(sample, counts).score("anything") == pytest.approx(0.5)
     del r
 
@@ -634,7 +634,7 @@ def test_toxicity_held_out_recall(spark):
     assert all(r["predicted"] == (r["score"] >= 0.3) and 0 <= r["score"] <= 1 for r in got.values())
     docs, labels = (spark.read.parquet(f"{DIR}/{t}.parquet") for t in ("documents", "labels"))
     turned = labels.withColumn("toxic", F.when(held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
-    samples = [sorted(map(tuple, toxicity.labelled_sample(docs.select("doc_id", "text"), x)[0].collect())) for x in (labels, turned)]
+    samples = [sorted(map(tuple, labelled_sample(docs.select("doc_id", "text"), x, "toxic", 3000)[0].collect())) for x in (labels, turned)]
     assert samples[0] == samples[1] and not any(zlib.crc32(str(d).encode()) % 4 == 2 for d, _, _ in samples[0])
 
 
