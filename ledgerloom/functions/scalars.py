@@ -1,6 +1,7 @@
 """Column expressions for cleaning identifiers, symbols, dates and provider payloads.
 
-All of them are built-in functions: they stay inside whole-stage code generation and push down where Spark can.
+All but the canonical form of payloads with fractions are built-in functions: they stay inside whole-stage code generation
+and push down where Spark can.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import payloads
+
 Name = str | Column
 
 # Parts of a parameter name that mark its value as secret.
@@ -146,8 +149,8 @@ def is_split(action_type: Name) -> Column:
 
 
 def canonical_json(text: Name) -> Column:
-    """JSON with sorted keys and no spaces; numbers as Spark prints them. Text that is no JSON: null."""
-    return F.to_json(F.try_parse_json(col(text)))
+    """JSON with sorted keys, no blanks and numbers as Python prints them. Text that is no JSON: null."""
+    return payloads.canonical_json(col(text))
 
 
 def sha256(text: Name) -> Column:

@@ -107,19 +107,23 @@ def normalised_name_changes(rows: DataFrame) -> DataFrame:
 def action_rows(pages: DataFrame) -> DataFrame:
     """(page_no, pos, action_type, raw): every action of every collection, raw as JSON text.
 
-    An unknown collection, a collection that is no array and an entry that is no object fail the query.
+    An unknown collection, a collection that is no array and an entry that is no object fail the query. Kinds are read from
+    the parsed value, raw from the text, in which a number keeps its fraction (`1.0` is not `1`).
     """
-    parsed = pages.select("page_no", F.try_variant_get(F.parse_json("body"), "$.corporate_actions", "variant").alias("__v"))
+    own = F.from_json("body", "corporate_actions map<string, string>")["corporate_actions"]
+    parsed = pages.select("page_no", F.try_variant_get(F.parse_json("body"), "$.corporate_actions", "variant").alias("__v"), own.alias("__own"))
     is_map = F.col("__v").isNull() | _kind(F.col("__v")).startswith("OBJECT") | (_kind(F.col("__v")) == "VOID")
     parsed = parsed.filter(_checked(is_map, "corporate_actions must be an object"))
-    each = parsed.select("page_no", F.explode(F.col("__v").cast("map<string,variant>")).alias("collection", "__values"))
+    each = parsed.select("page_no", "__own", F.explode(F.col("__v").cast("map<string,variant>")).alias("collection", "__values"))
     types = F.create_map(*[F.lit(x) for pair in ACTION_TYPES.items() for x in pair])
     each = each.withColumn("action_type", types[F.col("collection")])
     each = each.filter(_checked(F.col("action_type").isNotNull(), F.concat(F.lit("unsupported corporate-action collection: "), F.col("collection"))))
     each = each.filter(_checked(_kind(F.col("__values")).startswith("ARRAY"), F.concat(F.lit("corporate_actions."), F.col("collection"), F.lit(" must be an array"))))
-    rows = each.select("page_no", "collection", "action_type", F.posexplode(F.col("__values").cast("array<variant>")).alias("pos", "__raw"))
-    rows = rows.filter(_checked(_kind(F.col("__raw")).startswith("OBJECT"), F.concat(F.lit("corporate_actions."), F.col("collection"), F.lit(" entries must be objects"))))
-    return rows.select("page_no", "pos", "action_type", F.to_json("__raw").alias("raw"))
+    texts = F.from_json(F.col("__own")[F.col("collection")], "array<string>")
+    entries = F.transform(F.col("__values").cast("array<variant>"), lambda v, i: F.struct(v.alias("value"), F.get(texts, i).alias("raw")))
+    rows = each.select("page_no", "collection", "action_type", F.posexplode(entries).alias("pos", "__entry"))
+    rows = rows.filter(_checked(_kind(F.col("__entry.value")).startswith("OBJECT"), F.concat(F.lit("corporate_actions."), F.col("collection"), F.lit(" entries must be objects"))))
+    return rows.select("page_no", "pos", "action_type", F.col("__entry.raw").alias("raw"))
 
 
 def bar_rows(pages: DataFrame, prefix: str) -> DataFrame:
