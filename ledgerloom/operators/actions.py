@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -114,10 +114,10 @@ def identified_actions(parsed: DataFrame, episodes: DataFrame, snapshot: dt.date
 
 
 def one_per_event(actions: DataFrame) -> DataFrame:
-    """Of each event id the last by process date and type; on a tie the one landed last."""
-    landed = [F.desc(c) for c in ("page_no", "pos") if c in actions.columns]
-    order = Window.partitionBy("provider_event_id").orderBy(F.desc("process_date"), F.desc("action_type"), *landed, F.desc("raw_payload_sha256"))
-    return actions.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")
+    """Of each event id the last by process date and type; on a tie the one landed last. Repeats combine before they are shuffled."""
+    landed = [c for c in ("page_no", "pos") if c in actions.columns]
+    row = F.max_by(F.struct(*[c for c in actions.columns if c != "provider_event_id"]), F.struct("process_date", "action_type", *landed, "raw_payload_sha256")).alias("row")
+    return actions.groupBy("provider_event_id").agg(row).select("provider_event_id", "row.*").select(*actions.columns)
 
 
 def corporate_actions(rows: DataFrame, episodes: DataFrame, snapshot: dt.date) -> DataFrame:

@@ -17,9 +17,10 @@ PILOT_SYMBOLS = ("AAPL", "NVDA", "GE", "AMC", "SYMC", "NLOK", "GEN", "FB", "META
 
 
 def one_bar_per_day(bars: DataFrame) -> DataFrame:
-    """Of each (symbol, date) the bar landed last (by page_no, pos)."""
-    order = Window.partitionBy("symbol", "date").orderBy(F.desc("page_no"), F.desc("pos"))
-    return bars.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n", "page_no", "pos")
+    """Of each (symbol, date) the bar landed last (by page_no, pos). Repeats combine before they are shuffled."""
+    measures = [c for c in bars.columns if c not in ("symbol", "date", "page_no", "pos")]
+    row = F.max_by(F.struct(*measures), F.struct("page_no", "pos")).alias("row")
+    return bars.groupBy("symbol", "date").agg(row).select("symbol", "date", "row.*")
 
 
 def paired(raw: DataFrame, split: DataFrame) -> DataFrame:

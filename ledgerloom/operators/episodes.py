@@ -1,16 +1,17 @@
 """Symbol episodes: when each security traded under which symbol.
 
 Name changes are walked backwards from a security's last symbol. A step's outcome depends only on the name change that
-was taken (its old symbol is the next cursor, its date the next boundary), so both choices of every step are
-precomputed as edges between name changes, and all securities walk them together, several steps in each Spark job.
+was taken (its old symbol is the next cursor, its date the next boundary), so the default step of every such state is found
+once, by one sorted pass over states and changes of each symbol. A security's own steps, into symbols that it holds itself,
+are break points in this forest. Walks are read off by pointer doubling: each round doubles the number of steps that every
+walk knows, so their number grows with the logarithm of the longest chain.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -18,14 +19,15 @@ from ..functions import scalars as X
 from ..sources.tables import written
 from .validate import require_columns
 
-#: Steps of all walks that one job takes; jobs go on until no walk is open.
-STEPS = 6
-
 
 def one_per_event(changes: DataFrame) -> DataFrame:
-    """Of each event id the last by date, id and symbols; null ids form one group."""
-    order = Window.partitionBy("event_id").orderBy(F.col("process_date").desc_nulls_first(), F.col("old_symbol").desc_nulls_first(), F.col("new_symbol").desc_nulls_first())
-    return changes.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")
+    """Of each event id the last by date, id and symbols (nulls count as latest); null ids form one group.
+
+    Repeats combine before they are shuffled.
+    """
+    latest = F.struct(*[x for c in ("process_date", "old_symbol", "new_symbol") for x in (F.col(c).isNull(), F.col(c))])
+    row = F.max_by(F.struct(*changes.columns), latest).alias("row")
+    return changes.groupBy("event_id").agg(row).select("row.*")
 
 
 def _states(changes: DataFrame, snapshot: dt.date) -> DataFrame:
@@ -35,10 +37,54 @@ def _states(changes: DataFrame, snapshot: dt.date) -> DataFrame:
 
 def terminals(master: DataFrame) -> DataFrame:
     """(security_id, terminal, is_single): the only active symbol, else the last by activity, delisting and symbol."""
-    order = Window.partitionBy("security_id").orderBy(F.col("active").desc_nulls_first(), F.col("delisted_date").desc_nulls_first(), F.desc("symbol"))
-    actives = F.count_if(F.col("active")).over(Window.partitionBy("security_id"))
-    first = master.select("security_id", "symbol", "active", "delisted_date", actives.alias("actives"), F.row_number().over(order).alias("n"))
-    return first.filter("n = 1").select("security_id", F.col("symbol").alias("terminal"), (F.col("actives") == 1).alias("is_single"))
+    latest = F.struct(F.col("active").isNull(), "active", F.col("delisted_date").isNull(), "delisted_date", "symbol")
+    return master.groupBy("security_id").agg(F.max_by("symbol", latest).alias("terminal"), (F.count_if("active") == 1).alias("is_single"))
+
+
+def default_steps(events: DataFrame, roots: DataFrame) -> DataFrame:
+    """(cursor, boundary, old, day): of every state the latest change into its cursor before its boundary, ties by event id.
+
+    States are the roots (cursor, boundary) and each change's (old, day). States and changes of a symbol are sorted
+    together by day, a state before the changes of its own day, and each state takes the last change above it.
+    """
+    states = roots.select("cursor", "boundary").unionByName(events.select(F.col("old").alias("cursor"), F.col("day").alias("boundary"))).distinct()
+    first = F.min(F.struct("event", "old")).alias("e")
+    changes = events.groupBy(F.col("new").alias("cursor"), "day").agg(first).select("cursor", "day", F.lit(1).alias("kind"), F.struct("e.old", "day").alias("step"))
+    points = states.select("cursor", F.col("boundary").alias("day"), F.lit(0).alias("kind"), F.lit(None).cast("struct<old:string,day:date>").alias("step"))
+    order = Window.partitionBy("cursor").orderBy("day", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = changes.unionByName(points).withColumn("last", F.last("step", ignorenulls=True).over(order))
+    return seen.filter("kind = 0 and last is not null").select("cursor", F.col("day").alias("boundary"), "last.old", "last.day")
+
+
+def own_steps(events: DataFrame, master: DataFrame) -> DataFrame:
+    """(security_id, cursor, p_old, p_day, p_until): the change that a security prefers at a cursor.
+
+    It is the only earlier change into the cursor from a symbol of the same security, and so the first of these; it is
+    the only one for boundaries after its own day and up to the day of the next one (p_until; null: whenever later).
+    """
+    own = master.select("security_id", F.col("symbol").alias("old")).distinct()
+    order = Window.partitionBy("security_id", "new").orderBy("day", "event", "old")
+    each = events.join(own, "old").withColumns({"n": F.row_number().over(order), "p_until": F.lead("day").over(order)})
+    first = each.filter("n = 1 and (p_until is null or p_until > day)")
+    return first.select("security_id", F.col("new").alias("cursor"), F.col("old").alias("p_old"), F.col("day").alias("p_day"), "p_until")
+
+
+def reached(starts: DataFrame, steps: DataFrame, name: str) -> DataFrame:
+    """(start, node, depth): every node on the way from each start (node), with its distance, along steps (node, next).
+
+    Pointer doubling: a round appends as many steps as are known so far, and squares the jumps.
+    """
+    known = written(starts.select(F.col("node").alias("start"), "node", F.lit(0).alias("depth")), f"{name}-reached")
+    jumps, width = steps, 1
+    while True:
+        far = jumps.select(F.col("node").alias("from"), "next")
+        more = written(known.join(far, F.col("node") == F.col("from")).select("start", F.col("next").alias("node"), (F.col("depth") + width).alias("depth")), f"{name}-more")
+        if more.isEmpty():
+            return known
+        known = known.unionByName(more)
+        onward = jumps.select(F.col("node").alias("at"), F.col("next").alias("then"))
+        jumps = written(jumps.join(onward, F.col("next") == F.col("at")).select("node", F.col("then").alias("next")), f"{name}-jumps")
+        width *= 2
 
 
 def chains(master: DataFrame, changes: DataFrame, snapshot: dt.date) -> DataFrame:
@@ -46,52 +92,40 @@ def chains(master: DataFrame, changes: DataFrame, snapshot: dt.date) -> DataFram
 
     At a cursor symbol the latest change into it before the boundary date is taken, unless exactly one such change
     comes from a symbol of the same security. A walk ends after a change into a symbol seen before or where no change is
-    left, however long it is: every step goes back in time.
+    left, however long it is: every step goes back in time. Walks without steps of their own are read off the forest of
+    default steps; the others from the states that they can be in, each with its own next step.
     """
     events = _states(changes, snapshot)
+    state = lambda cursor, boundary: F.struct(F.col(cursor).alias("cursor"), F.col(boundary).alias("boundary"))
     roots = terminals(master).select("security_id", F.col("terminal").alias("cursor"), F.date_add(F.lit(snapshot), 1).alias("boundary"))
-    # a state is (cursor, boundary); those that can occur: the roots, and each event's (old, day)
-    states = roots.select("cursor", "boundary").unionByName(events.select(F.col("old").alias("cursor"), F.col("day").alias("boundary"))).distinct()
-    steps = states.join(events, (F.col("cursor") == F.col("new")) & (F.col("day") < F.col("boundary"))).select("cursor", "boundary", "event", "old", "day")
-    # the latest event of a state, ties by id; an event is told apart by (event, old, day)
-    best = F.min(F.struct(F.datediff(F.lit(snapshot), "day").alias("age"), "event", "old", "day"))
-    default = steps.groupBy("cursor", "boundary").agg(best.alias("e")).select("cursor", "boundary", F.col("e.old").alias("old"), F.col("e.day").alias("day"))
-    own = master.select("security_id", F.col("symbol").alias("old")).distinct()
-    preferred = steps.join(own, "old").groupBy("security_id", "cursor", "boundary").agg(F.count(F.lit(1)).alias("n"), F.first("old").alias("p_old"), F.first("day").alias("p_day")).filter("n = 1").drop("n")
-    default, preferred = written(default, "walk-default"), written(preferred, "walk-preferred")
-    walks = roots.select("security_id", "cursor", "boundary", F.array("cursor").alias("seen"), F.lit(0).alias("step"))
-    parts: list[DataFrame] = []
-    while True:
-        ended = F.lit(False).alias("ended")
-        none = F.array().cast("array<struct<step:int,cursor:string,old:string,day:date>>").alias("taken")
-        here = written(_taken(walks.select("*", ended, none), default, preferred), "walk")
-        parts.append(here.select("security_id", F.inline("taken")))
-        walks = here.filter("not ended").select("security_id", "cursor", "boundary", "seen", "step")
-        if walks.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _taken(walks: DataFrame, default: DataFrame, preferred: DataFrame) -> DataFrame:
-    """Open walks STEPS steps later, with the changes they took; ended ones stay where they are."""
-    d = default.select(F.col("cursor").alias("d_cursor"), F.col("boundary").alias("d_boundary"), F.col("old").alias("d_old"), F.col("day").alias("d_day"))
-    p = preferred.select(F.col("security_id").alias("p_security"), F.col("cursor").alias("p_cursor"), F.col("boundary").alias("p_boundary"), "p_old", "p_day")
-    for _ in range(STEPS):
-        open_ = ~F.col("ended")
-        met = walks.join(d, open_ & (F.col("cursor") == F.col("d_cursor")) & (F.col("boundary") == F.col("d_boundary")), "left")
-        met = met.join(p, open_ & (F.col("security_id") == F.col("p_security")) & (F.col("cursor") == F.col("p_cursor")) & (F.col("boundary") == F.col("p_boundary")), "left")
-        old, day, moves = F.coalesce("p_old", "d_old"), F.coalesce("p_day", "d_day"), F.col("d_old").isNotNull()
-        entry = F.struct((F.col("step") + 1).alias("step"), "cursor", old.alias("old"), day.alias("day"))
-        walks = met.select(
-            "security_id",
-            F.coalesce(old, "cursor").alias("cursor"),
-            F.coalesce(day, "boundary").alias("boundary"),
-            F.when(moves, F.array_append("seen", old)).otherwise(F.col("seen")).alias("seen"),
-            (F.col("step") + moves.cast("int")).alias("step"),
-            (~moves | F.array_contains("seen", old)).alias("ended"),
-            F.when(moves, F.array_append("taken", entry)).otherwise(F.col("taken")).alias("taken"),
-        )
-    return walks
+    own = written(own_steps(events, master), "walk-own")
+    default = written(default_steps(events, roots), "walk-default")
+    steps = default.select(state("cursor", "boundary").alias("node"), state("old", "day").alias("next"))
+    begins = roots.select("security_id", state("cursor", "boundary").alias("node"), F.lit(0).alias("mine")).unionByName(own.select("security_id", state("p_old", "p_day").alias("node"), F.lit(1).alias("mine")))
+    begins = written(begins.distinct(), "walk-begins")
+    forest = reached(begins.select("node").distinct(), steps, "walk")
+    # a security without own steps has one beginning, its root
+    held = begins.groupBy("security_id").agg(F.max("mine").alias("breaks"))
+    on_way = begins.join(held, "security_id").withColumnRenamed("node", "start").join(forest, "start")
+    plain = on_way.filter("breaks = 0").select("security_id", "node", "depth")
+    may_be = on_way.filter("breaks = 1").select("security_id", "node.cursor", "node.boundary").distinct()
+    p = own.select(F.col("security_id").alias("p_security"), F.col("cursor").alias("p_cursor"), "p_old", "p_day", "p_until")
+    fits = (F.col("security_id") == F.col("p_security")) & (F.col("cursor") == F.col("p_cursor")) & (F.col("p_day") < F.col("boundary")) & (F.col("p_until").isNull() | (F.col("boundary") <= F.col("p_until")))
+    chosen = may_be.join(default, ["cursor", "boundary"]).join(p, fits, "left").select("security_id", "cursor", "boundary", F.coalesce("p_old", "old").alias("old"), F.coalesce("p_day", "day").alias("day"))
+    chosen = written(chosen, "walk-chosen")
+    of = lambda cursor, boundary: F.struct(F.col("security_id"), F.col(cursor).alias("cursor"), F.col(boundary).alias("boundary"))
+    turning = roots.join(held.filter("breaks = 1"), "security_id", "left_semi").select(of("cursor", "boundary").alias("node"))
+    turned = reached(turning, chosen.select(of("cursor", "boundary").alias("node"), of("old", "day").alias("next")), "walk-own")
+    nodes = plain.select("security_id", "node.cursor", "node.boundary", "depth").unionByName(turned.select("node.security_id", "node.cursor", "node.boundary", "depth"))
+    return _until_seen(nodes)
+
+
+def _until_seen(nodes: DataFrame) -> DataFrame:
+    """The steps between the states (security_id, cursor, boundary, depth) of walks, up to the first symbol met again."""
+    again = F.row_number().over(Window.partitionBy("security_id", "cursor").orderBy("depth")) > 1
+    walk = Window.partitionBy("security_id").orderBy("depth")
+    seen = nodes.withColumn("again", again).withColumns({"before": F.lag("cursor").over(walk), "met": F.coalesce(F.max("again").over(walk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))})
+    return seen.filter("depth > 0 and not met").select("security_id", F.col("depth").alias("step"), F.col("before").alias("cursor"), F.col("cursor").alias("old"), F.col("boundary").alias("day"))
 
 
 def symbol_episodes(master: DataFrame, changes: DataFrame, snapshot: dt.date, history_start: dt.date = S.HISTORY_START) -> DataFrame:
@@ -157,28 +191,55 @@ def symbol_episodes(master: DataFrame, changes: DataFrame, snapshot: dt.date, hi
     return mark_overlaps(frame)
 
 
+def _with_best_of_others(rows: DataFrame, value: str, key: Column, out: str) -> DataFrame:
+    """rows plus out: the largest `value` of another security among the rows of the symbol up to the same key.
+
+    Two running maxima do it in one sorted pass: the best with its security, and the best of all rows that never had the
+    lead or lost it to another security.
+    """
+    order = Window.partitionBy("symbol").orderBy(key)
+    so_far, with_ties = order.rowsBetween(Window.unboundedPreceding, Window.currentRow), order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    own, mine = F.col("security_id"), F.when(F.col(value).isNotNull() & F.col("security_id").isNotNull(), F.struct(F.col(value).alias("v"), F.col("security_id").alias("s")))
+    rows = rows.withColumn("__mine", mine).withColumn("__lead", F.max("__mine").over(so_far))
+    rows = rows.withColumn("__lost", F.lag("__lead").over(order))
+    beaten = F.when(F.col("__mine").isNotNull(), F.when(F.col("__lead.s") != own, F.col(value)).when(F.col("__lost.s") != own, F.col("__lost.v")))
+    rows = rows.withColumn("__beaten", beaten).withColumns({"__first": F.max("__mine").over(with_ties), "__second": F.max("__beaten").over(with_ties)})
+    return rows.withColumn(out, F.when(F.col("__first.s") != own, F.col("__first.v")).otherwise(F.col("__second"))).drop("__mine", "__lead", "__lost", "__beaten", "__first", "__second")
+
+
 def mark_overlaps(episodes: DataFrame) -> DataFrame:
-    """Episodes that share a symbol and a day with another security's episode become unresolved and unmappable."""
-    e = episodes.alias("e")
-    o = episodes.select("security_id", "symbol", "symbol_valid_from", "symbol_valid_to").alias("o")
-    meet = (F.col("e.symbol") == F.col("o.symbol")) & (F.col("e.security_id") != F.col("o.security_id")) & X.overlaps("e.symbol_valid_from", "e.symbol_valid_to", "o.symbol_valid_from", "o.symbol_valid_to")
-    hit = e.join(o, meet, "left_semi").select("episode_id").distinct().withColumn("__hit", F.lit(True))
-    marked = episodes.join(hit, "episode_id", "left")
+    """Episodes that share a symbol and a day with another security's episode become unresolved and unmappable.
+
+    A sweep over each symbol's days, forwards and backwards: an episode that ends before it starts overlaps those that
+    hold all days from its end to its start, any other is held by those that began before it and end on its first day or
+    later. What holds it is marked by the backward sweep. An unknown start overlaps every episode of another security.
+    """
+    day = lambda c: F.unix_date(F.col(c))
+    begin, end = day("symbol_valid_from"), F.coalesce(day("symbol_valid_to"), F.lit(2**31 - 1))
+    rows = episodes.withColumns({"__begin": begin, "__end": end})
+    valid = F.col("__begin") <= F.col("__end")
+    rows = rows.withColumns({"__key": F.least("__begin", "__end"), "__hold": F.when(valid, F.col("__end")), "__back": -F.col("__begin")})
+    rows = rows.withColumn("__key", F.when(F.col("__begin").isNotNull(), F.col("__key")))
+    rows = _with_best_of_others(rows, "__hold", F.col("__key").asc(), "__longest")
+    rows = _with_best_of_others(rows, "__back", F.col("__key").desc(), "__nearest")
+    everyone = Window.partitionBy("symbol")
+    other = lambda c: (F.min(c).over(everyone) != F.col("security_id")) | (F.max(c).over(everyone) != F.col("security_id"))
+    unknown = F.when(F.col("__begin").isNull(), F.col("security_id"))
+    hit = (F.col("__longest") >= F.col("__begin")) | (valid & (-F.col("__nearest") <= F.col("__end"))) | F.when(F.col("__begin").isNull(), other(F.col("security_id"))).otherwise(other(unknown))
+    rows = rows.withColumn("__hit", F.coalesce(F.col("symbol").isNotNull() & F.col("security_id").isNotNull() & hit, F.lit(False)))
+    rows = rows.withColumn("__hit", F.max("__hit").over(Window.partitionBy("symbol", "episode_id")))
     own = {
         "episode_status": F.when(F.col("__hit"), "unresolved").otherwise(F.col("episode_status")),
-        "is_episode_mapping_eligible": F.col("is_episode_mapping_eligible") & F.col("__hit").isNull(),
+        "is_episode_mapping_eligible": F.col("is_episode_mapping_eligible") & ~F.col("__hit"),
     }
-    return marked.select(*[own.get(c, F.col(c)).alias(c) for c in episodes.columns])
+    return rows.select(*[own.get(c, F.col(c)).alias(c) for c in episodes.columns])
 
 
 def episode_tickers(episodes: DataFrame, master: DataFrame) -> DataFrame:
     """Acquisition manifest with one row per eligible episode; master data of the exact listing, else of the security's last."""
-    newest = [F.col("active").desc_nulls_last(), F.col("last_updated_utc").desc_nulls_last()]
+    newest = F.struct("active", "last_updated_utc", "symbol")  # nulls come first, so they lose
     slim = master.select("security_id", "symbol", "active", "last_updated_utc", F.struct("sector", "industry", "alpaca_asset_id", "alpaca_status", "alpaca_tradable", "is_known_reit").alias("m"))
-
-    def last(keys: list[str], name: str) -> DataFrame:
-        order = Window.partitionBy(*keys).orderBy(*newest, F.desc("symbol"))
-        return slim.withColumn("__n", F.row_number().over(order)).filter("__n = 1").select(*keys, F.col("m").alias(name))
+    last = lambda keys, name: slim.groupBy(*keys).agg(F.max_by("m", newest).alias(name))
 
     frame = episodes.filter("is_price_coverage_eligible").join(last(["security_id", "symbol"], "exact"), ["security_id", "symbol"], "left").join(last(["security_id"], "any"), "security_id", "left")
     from_any = lambda c: F.when(F.col("exact").isNotNull(), F.col(f"exact.{c}")).otherwise(F.col(f"any.{c}"))

@@ -44,15 +44,20 @@ def normalised_listings(rows: DataFrame) -> DataFrame:
 
 
 def one_per_security(listings: DataFrame) -> DataFrame:
-    """Of each (security, symbol) the row updated last, active before inactive, the last one landed on a tie."""
-    order = Window.partitionBy("security_id", "symbol").orderBy(F.col("last_updated_utc").desc_nulls_last(), F.desc("active"), F.desc("ordinal"))
-    return listings.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n", "ordinal")
+    """Of each (security, symbol) the row updated last, active before inactive, the last one landed on a tie.
+
+    Repeats combine before they are shuffled, as in all "last row of a key" steps.
+    """
+    rest = [c for c in listings.columns if c not in ("security_id", "symbol", "ordinal")]
+    row = F.max_by(F.struct(*rest), F.struct("last_updated_utc", "active", "ordinal")).alias("row")
+    return listings.groupBy("security_id", "symbol").agg(row).select("security_id", "symbol", "row.*").select(*[c for c in listings.columns if c != "ordinal"])
 
 
 def one_asset_per_key(assets: DataFrame) -> DataFrame:
     """Of each join key the first asset by status and id, nulls last."""
-    order = Window.partitionBy("symbol_join_key").orderBy(F.col("alpaca_status").asc_nulls_last(), F.col("alpaca_asset_id").asc_nulls_last())
-    return assets.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")
+    first = F.struct(*[x for c in ("alpaca_status", "alpaca_asset_id") for x in (F.col(c).isNull(), F.col(c))])
+    row = F.min_by(F.struct(*assets.columns), first).alias("row")
+    return assets.groupBy("symbol_join_key").agg(row).select("row.*")
 
 
 def security_master(listings: DataFrame, assets: DataFrame, snapshot: dt.date, reit_symbols: DataFrame | None = None, classifications: DataFrame | None = None, history_start: dt.date = S.HISTORY_START, reit_pattern: str = REIT) -> DataFrame:

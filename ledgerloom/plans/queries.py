@@ -531,11 +531,11 @@ def canonical_payloads(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     """
-SELECT l_orderkey, l_linenumber, sha256('{"a":{"c":[' || l_linenumber || ',' || l_discount::DOUBLE || '],"d":' || l_extendedprice::DOUBLE || '},"z":' || l_quantity::DOUBLE || ',"zz":' || l_orderkey || '00000000000000000001,"ü":"1.0"}') AS digest FROM lineitem"""
+SELECT l_orderkey, l_linenumber, sha256('{"a":{"c":[' || l_linenumber || ',' || l_discount::DOUBLE || '],"d":' || l_extendedprice::DOUBLE || '},"z":' || l_quantity::DOUBLE || ',"zz":1' || l_orderkey || '00000000000000000001,"ü":"1.0"}') AS digest FROM lineitem"""
 )
 def payload_hashes(spark: SparkSession, d: str) -> DataFrame:
     """Payloads whose numbers are spelled with spare digits and exponents, and whole numbers beyond 64 bits."""
-    raw = F.concat(F.lit('{ "z": '), F.col("l_quantity").cast("decimal(15,3)"), F.lit(', "ü": "1.0", "zz": '), "l_orderkey", F.lit('00000000000000000001, "a" : {"d":'), F.col("l_extendedprice").cast("decimal(15,2)"), F.lit('0e0, "c": ['), "l_linenumber", F.lit(", "), F.col("l_discount").cast("decimal(15,2)"), F.lit("00]}}"))
+    raw = F.concat(F.lit('{ "z": '), F.col("l_quantity").cast("decimal(15,3)"), F.lit(', "ü": "1.0", "zz": 1'), "l_orderkey", F.lit('00000000000000000001, "a" : {"d":'), F.col("l_extendedprice").cast("decimal(15,2)"), F.lit('0e0, "c": ['), "l_linenumber", F.lit(", "), F.col("l_discount").cast("decimal(15,2)"), F.lit("00]}}"))
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", X.sha256(X.canonical_json(raw)).alias("digest"))
 
 

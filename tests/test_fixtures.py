@@ -25,10 +25,9 @@ def test_name_changes_have_every_order(spark, tmp_path):
     assert len(found) == 1500 and len({r["old_symbol"] for r in found}) == 751 and all(r["old_symbol"] != r["new_symbol"] for r in found)
 
 
-def test_long_walks_are_not_cut(spark, monkeypatch):
+def test_long_walks_are_not_cut(spark):
     """A walk ends where no change is left, after however many jobs."""
     day = dt.date(2000, 1, 1)
-    monkeypatch.setattr(E, "STEPS", 5)
     for steps in (12, 40):
         master = spark.createDataFrame([("s1", f"N{steps}", True, None), ("s2", "N3", True, None), ("s3", "none", True, None)], "security_id string, symbol string, active boolean, delisted_date date")
         changes = spark.createDataFrame([(f"e{k:02}", day + dt.timedelta(days=k), f"N{k}", f"N{k + 1}") for k in range(steps)], "event_id string, process_date date, old_symbol string, new_symbol string")
