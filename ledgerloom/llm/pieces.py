@@ -6,7 +6,8 @@ words at once, compacts, and retires words in which no pair remains. The ids equ
 (characters without a piece become byte pieces), end id.
 
 A merge may be applied to all its occurrences at once only if no pair that the merged piece can form has the same or
-a better rank. For the few pieces where one has, only the leftmost occurrence is merged in a round.
+a better rank. For the few pieces where one has, the leftmost occurrence is merged in a round; words with many such
+occurrences (runs of blanks or of one mark) are merged from the left in one pass a rank, linear in their length.
 
 Words may be very long (scripts without blanks, encoded data). They are cut where two characters meet that no piece holds
 side by side, as no merge can cross such a place. What is still longer than LONG_WORD symbols is merged in rounds of its
@@ -36,6 +37,8 @@ SPACE = "▁"
 CACHE_WORDS = 100_000
 #: Words of more symbols are cut, and merged in rounds of their own where they cannot be cut.
 LONG_WORD = 1000
+#: Places of one rank in a word that are still merged one a round where they must be merged from the left.
+CROWD = 4
 _NONE = np.iinfo(np.int32).max
 
 
@@ -97,6 +100,7 @@ class PieceModel:
         inner = any(SPACE in name.lstrip(SPACE) for name in symbol) or self.char[10] >= 0
         self.words = re.compile(r"(?s).+" if inner else r" *[^ \n]+| +|\n")
         self.cache: dict[str, bytes] = {}
+        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
 
     def _ranked(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and product of each pair; _NONE where they make no piece."""
@@ -139,9 +143,8 @@ class PieceModel:
             run = np.maximum.accumulate(np.where(touches, 0, index))
             take = (index - run) % 2 == 0
             if self.alone[made].any():
-                take &= index == 0
-                if len(at) > 1:
-                    wait(at[1:])
+                wait(self._from_left(r, at, symbols, after, before, live))
+                continue
             at, made = at[take], made[take]
             gone = after[at]
             symbols[at], live[gone], after[at] = made, False, after[gone]
@@ -150,6 +153,47 @@ class PieceModel:
             wait(np.unique(np.concatenate([before[at], at])))
         return symbols[live]
 
+    def _pair(self, a: int, b: int) -> tuple[int, int]:
+        """Rank and product of one pair, kept for the pairs seen; a rank of _NONE if they make no piece."""
+        found = self.pairs.get((a, b))
+        if found is None:
+            rank, made = self._ranked(np.array([a]), np.array([b]))
+            found = self.pairs[a, b] = (int(rank[0]), int(made[0]))
+        return found
+
+    def _from_left(self, r: int, places: np.ndarray, symbols: np.ndarray, after: np.ndarray, before: np.ndarray, live: np.ndarray) -> np.ndarray:
+        """Merge the places of rank r one after another, each with the pairs of rank r or better that it brings about.
+
+        These touch the newest symbol, as no other pair is better than r. Returns the places whose pairs are new.
+        """
+        n = len(symbols)
+        s, following, preceding, alive = (memoryview(x) for x in (symbols, after, before, live))
+        pair, touched = self._pair, []
+        for i in places.tolist():
+            j = following[i] if alive[i] else n
+            if j >= n or pair(s[i], s[j])[0] != r:
+                continue
+            made = pair(s[i], s[j])[1]
+            while True:
+                # i and j become one symbol
+                s[i], alive[j] = made, False
+                j = following[i] = following[j]
+                if j < n:
+                    preceding[j] = i
+                h = preceding[i]
+                right, right_made = pair(made, s[j]) if j < n else (_NONE, 0)
+                left, left_made = pair(s[h], made) if h >= 0 else (_NONE, 0)
+                if min(left, right) > r:
+                    break
+                if left <= right:
+                    i, j, made = h, i, left_made
+                else:
+                    made = right_made
+            touched.append(i)
+            if h >= 0:
+                touched.append(h)
+        return np.unique(np.array(touched, np.int64))
+
     def _cut(self, words: list[str]) -> tuple[list[str], list[int]]:
         """Parts of the words and how many each has: long ones end where no piece holds two characters side by side."""
         parts, counts = [], []
@@ -174,8 +218,9 @@ class PieceModel:
         symbols = np.where(symbols < 0, -1 - points, symbols)  # below 0: a character that no piece has
         word = np.repeat(np.arange(len(words)), lengths)
         done: list[tuple[np.ndarray, np.ndarray]] = []
-        for w in np.flatnonzero(lengths > LONG_WORD):
-            merged = self._long(symbols[word == w])
+        offsets = np.cumsum(lengths) - lengths
+        for w in np.flatnonzero(lengths > LONG_WORD).tolist():
+            merged = self._long(symbols[offsets[w] : offsets[w] + lengths[w]])
             done.append((np.full(len(merged), w), merged))
         live = lengths[word] <= LONG_WORD
         word, symbols = word[live], symbols[live]
@@ -204,6 +249,16 @@ class PieceModel:
             take = chosen & ((at - run) % 2 == 0)
             single = np.logical_or.reduceat(chosen & self.alone[made], starts)
             if single.any():
+                crowded = np.flatnonzero(single & (np.add.reduceat(chosen.astype(np.int64), starts) > CROWD))
+                if len(crowded):  # words with many of them are merged from the left on their own
+                    ends = np.r_[starts[1:], len(word)]
+                    for k in crowded.tolist():
+                        merged = self._long(symbols[starts[k] : ends[k]])
+                        done.append((np.full(len(merged), word[starts[k]]), merged))
+                    going = ~np.isin(segment, crowded)
+                    word, symbols, rank, made = word[going], symbols[going], rank[going], made[going]
+                    dirty = np.empty(0, np.int64)
+                    continue
                 first = np.minimum.reduceat(np.where(chosen, at, len(at)), starts)
                 take &= ~single[segment] | (at == first[segment])
             symbols = np.where(take, made, symbols)

@@ -681,3 +681,17 @@ def test_html_custom_elements_and_math_lose_no_text():
     assert texts('<p>Before <svg viewBox="0 0 1 1"/> after.</p><p>More <svg/>text.</p><p>End.</p>') == ["Before after.", "More text.", "End."]
     assert texts("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds, <math/> always.</p>") == ["So x=2 holds, always."]
     assert texts("<p>a</p><svg\nwidth='1'><text>no</text></svg><VIDEO>no</VIDEO><title >no</title ><p>b</p>") == ["a", "b"]
+
+
+def test_pieces_of_long_runs_end():
+    """Runs of one symbol are merged in linear time, alone, side by side and many in a batch, and equal the library's ids."""
+    path = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
+    library = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=path)
+    own = pieces.PieceModel(path)
+    r = random.Random(9)
+    units = ["a", "-", "=", "ab", " ", "\n", "*", "é", "0", "- ", "=-", "日"]
+    texts = [u * n for u in units for n in (*range(1, 40), 999, 1001, 3000)]
+    texts += ["".join(r.choice(units) * r.choice([1, 2, 5, 17, 64, 700]) for _ in range(r.randrange(1, 9))) for _ in range(200)]
+    texts += [" " * (20_000 + k) for k in range(300)] + [" " * 1_000_000, "=" * 1_000_000]
+    for text, ids in zip(texts, own.encode_batch(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_bos=True, add_eos=True), text[:30]
