@@ -77,13 +77,15 @@ def reached(starts: DataFrame, steps: DataFrame, name: str) -> DataFrame:
     known = written(starts.select(F.col("node").alias("start"), "node", F.lit(0).alias("depth")), f"{name}-reached")
     jumps, width = steps, 1
     while True:
-        far = jumps.select(F.col("node").alias("from"), "next")
-        more = written(known.join(far, F.col("node") == F.col("from")).select("start", F.col("next").alias("node"), (F.col("depth") + width).alias("depth")), f"{name}-more")
+        # both halves of a round in one job: they read the same jumps
+        far = jumps.select(F.col("node").alias("at"), F.col("next").alias("then"))
+        more = known.join(far, F.col("node") == F.col("at")).select("start", F.col("then").alias("node"), (F.col("depth") + width).alias("depth"), F.lit(None).cast(jumps.schema["next"].dataType).alias("next"))
+        wide = jumps.join(far, F.col("next") == F.col("at")).select(F.lit(None).cast(known.schema["start"].dataType).alias("start"), "node", F.lit(None).cast("int").alias("depth"), F.col("then").alias("next"))
+        both = written(more.unionByName(wide), f"{name}-round")
+        more, jumps = both.filter("depth is not null").drop("next"), both.filter("depth is null").select("node", "next")
         if more.isEmpty():
             return known
         known = known.unionByName(more)
-        onward = jumps.select(F.col("node").alias("at"), F.col("next").alias("then"))
-        jumps = written(jumps.join(onward, F.col("next") == F.col("at")).select("node", F.col("then").alias("next")), f"{name}-jumps")
         width *= 2
 
 

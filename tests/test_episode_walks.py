@@ -59,7 +59,7 @@ def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
     monkeypatch.setattr(E, "written", lambda df, name: tables.append(name) or write(df, name))
     got = E.chains(spark.createDataFrame(master, MASTER), spark.createDataFrame(changes, CHANGES), SNAP).groupBy("security_id").count().collect()
     assert {r["security_id"]: r["count"] for r in got} == {"long": n, "own": n}
-    assert len(tables) < 4 * 14 + 8
+    assert len(tables) < 2 * 15 + 6
 
 
 def test_overlaps_are_swept_not_paired(spark, rows):
