@@ -102,12 +102,12 @@ def _range(draw: Column, n_ranges: int) -> Column:
     return F.floor(draw / ((1 << 52) // n_ranges))
 
 
-def _edge(slim: DataFrame, plan: DataFrame, few: bool) -> DataFrame:
+def _edge(slim: DataFrame, plan: DataFrame, few: bool, may_repeat: Column) -> DataFrame:
     """The rows of each source's cut range, with extra: whether they are taken once more."""
     order = Window.partitionBy("source").orderBy("draw", "doc_id")
     rows = _joined(slim, "source", plan, few).filter("bucket = cut").withColumn("reached", F.col("before") + F.sum("size").over(order))
     # half of the document that crosses the cut must lie below it: the nearest whole number of documents
-    return rows.withColumn("extra", F.col("reached") - F.col("size") / 2.0 <= F.col("more")).drop("reached")
+    return rows.withColumn("extra", F.coalesce(may_repeat & (F.col("reached") - F.col("size") / 2.0 <= F.col("more")), F.lit(False))).drop("reached")
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights: tuple[int, ...] = (3, 1, 2), epochs: float = 1.5, max_epochs: float = 2.0, seed: int = SEED) -> DataFrame:
@@ -119,8 +119,9 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     their names, are not read.
     """
     slim, plan, _, few = _planned(docs, text, source, doc_id, weights, epochs, max_epochs, seed)
-    sure = _joined(slim, "source", plan, few).filter("cut is null or bucket <> cut").withColumn("extra", F.coalesce(F.col("bucket") < F.col("cut"), F.lit(False)))
-    out = sure.unionByName(_edge(slim, plan, few)).withColumn("copies", (F.col("whole") + F.col("extra").cast("int")).cast("int"))
+    may_repeat = (F.col("size") > 0) & (F.col("whole") < max_epochs)
+    sure = _joined(slim, "source", plan, few).filter("cut is null or bucket <> cut").withColumn("extra", F.coalesce(may_repeat & (F.col("bucket") < F.col("cut")), F.lit(False)))
+    out = sure.unionByName(_edge(slim, plan, few, may_repeat)).withColumn("copies", (F.col("whole") + F.col("extra").cast("int")).cast("int"))
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
@@ -135,8 +136,9 @@ def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source",
     own = plan.select("__source", F.col("whole").alias("__mix_whole"), F.col("cut").alias("__mix_cut"))
     rows = _joined(docs, source, own, few).withColumn("__mix_bucket", _range(uniform53(seed, F.col(doc_id)), n_ranges))
     inside = F.coalesce(F.col("__mix_bucket") == F.col("__mix_cut"), F.lit(False))
-    sure = rows.filter(~inside).withColumn("__mix_extra", F.coalesce(F.col("__mix_bucket") < F.col("__mix_cut"), F.lit(False)))
-    edge = _edge(slim, plan, few).groupBy(F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source")).agg(F.max("extra").alias("__mix_extra"))
+    has_words, below = F.col(text).cast("string").rlike(WORD), F.col("__mix_whole") < max_epochs
+    sure = rows.filter(~inside).withColumn("__mix_extra", F.coalesce(has_words & below & (F.col("__mix_bucket") < F.col("__mix_cut")), F.lit(False)))
+    edge = _edge(slim, plan, few, (F.col("size") > 0) & (F.col("whole") < max_epochs)).groupBy(F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source")).agg(F.max("extra").alias("__mix_extra"))
     met = rows.filter(inside).join(edge, F.col(doc_id).eqNullSafe(F.col("__mix_id")) & F.col(source).eqNullSafe(F.col("__mix_source"))).drop("__mix_id", "__mix_source")
     taken = sure.unionByName(met).withColumn("__mix_copies", (F.col("__mix_whole") + F.col("__mix_extra").cast("int")).cast("int")).filter("__mix_copies > 0")
     repeated = taken.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
