@@ -29,11 +29,15 @@ HIDDEN = 20
 TRAIN_PAGES, TRAIN_CHARS = 150, 100_000
 ROUNDS = 14
 _NO_TEXT = "script|style|noscript|template|title|textarea|select|svg|iframe|object|canvas|audio|video"
+#: Attributes up to the end of a tag. Quotes hold a value only behind an equals sign; where one is not closed, the tag ends
+#: at the next `>`, or with the page.
+_VALUES = r"(?>[^>=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=(?!\s*[\"']))*+"
+_REST = rf"(?:{_VALUES}>|[^>]*(?:>|\Z))"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>"
-    rf"|<svg(?=[\s/])(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+(?<=/)>"
-    rf"|<(?P<skip>{_NO_TEXT})(?=[\s/>])(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=skip)\s*>|\Z)"
-    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|(?P<text>[^<]+|<)",
+    rf"|<svg(?=[\s/]){_VALUES}(?<=/)>"
+    rf"|<(?P<skip>{_NO_TEXT})(?=[\s/>]){_REST}.*?(?:</(?P=skip)\s*>|\Z)"
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>{_REST})|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -103,9 +107,10 @@ def blocks(page: str | None) -> list[Block]:
             depth = max(0, depth - 1) if m["close"] else depth + 1
         if tag == "br":
             parts.append(" ")
-        names = "" if m["close"] or tag in _VOID or m["rest"].endswith("/") else " ".join(x for g in _NAMES.findall(m["rest"]) for x in g if x).lower()
+        rest = m["rest"].removesuffix(">")
+        names = "" if m["close"] or tag in _VOID or rest.endswith("/") else " ".join(x for g in _NAMES.findall(rest) for x in g if x).lower()
         if tag in _INLINE:
-            if inner and inner[-1][0] == tag and tag not in _VOID and not m["rest"].endswith("/"):
+            if inner and inner[-1][0] == tag and tag not in _VOID and not rest.endswith("/"):
                 inner[-1][1] += -1 if m["close"] else 1
                 if not inner[-1][1]:
                     leave(inner[-1][2])
@@ -124,7 +129,7 @@ def blocks(page: str | None) -> list[Block]:
                 close(("p",), ("td", "th", "div", "article", "section", "main", "body", "li", "blockquote"))
             if tag in _SIBLINGS:
                 close((_SIBLINGS[tag][0],), _SIBLINGS[tag][1])
-            if tag not in _VOID and not m["rest"].endswith("/"):
+            if tag not in _VOID and not rest.endswith("/"):
                 stack.append((tag, f"{tag} {names}" if names else tag))
     leave(0)
     flush()
