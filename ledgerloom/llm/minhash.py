@@ -228,7 +228,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, doc_id: str, similar
 
 
 def connected(links: DataFrame, name: str = "near") -> DataFrame:
-    """(id, class): the smallest id of every id's component, by rounds of smallest-neighbour links and shortcuts."""
+    """(id, class): the smallest id of every id's component, by alternating large-star and small-star steps.
+
+    A large star links every larger neighbour of an id to the smallest of its neighbourhood, a small star the id and its
+    smaller neighbours to the smallest of them. Neither ever has more edges than before, on chains and hubs alike.
+    """
     edges = staged(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), f"{name}-edges")
     while True:
         # done if every id is linked to one smaller id at most, and that one to none
@@ -236,11 +240,12 @@ def connected(links: DataFrame, name: str = "near") -> DataFrame:
         roots = edges.select(F.col("a").alias("id")).distinct().withColumn("root", F.lit(True))
         if smaller.join(roots, "id", "left").filter("n > 1 or root").isEmpty():
             break
-        # every id finds the smallest of itself and its neighbours; all its neighbours and itself are linked to that one
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = staged(both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")), f"{name}-low")
-        linked = both.join(low, "a").select(F.least("b", "low").alias("a"), F.greatest("b", "low").alias("b"))
-        edges = staged(linked.unionByName(low.select(F.col("low").alias("a"), F.col("a").alias("b"))).filter("a < b").distinct(), f"{name}-edges")
+        low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+        large = staged(edges.join(low, "a").select(F.col("low").alias("a"), "b").distinct(), f"{name}-large")
+        low = large.groupBy("b").agg(F.min("a").alias("low"))
+        pair = F.inline(F.array(F.struct(F.col("low").alias("a"), F.col("a").alias("b")), F.struct(F.col("low").alias("a"), F.col("b").alias("b"))))
+        edges = staged(large.join(low, "b").select(pair).filter("a < b").distinct(), f"{name}-edges")
     return edges.select(F.col("b").alias("id"), F.col("a").alias("class")).unionByName(edges.select(F.col("a").alias("id"), F.col("a").alias("class")).distinct())
 
 
