@@ -695,3 +695,54 @@ def test_pieces_of_long_runs_end():
     texts += [" " * (20_000 + k) for k in range(300)] + [" " * 1_000_000, "=" * 1_000_000]
     for text, ids in zip(texts, own.encode_batch(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_bos=True, add_eos=True), text[:30]
+
+
+def test_components_never_grow_on_chains(spark, monkeypatch):
+    """A path, a hub, a comb and a cycle: classes by the smallest id, and no table of edges has more than there were."""
+    path = [(k, k + 1) for k in range(2000)]
+    random.Random(1).shuffle(path)
+    hub = [(5000, 5000 + k) for k in range(1, 400)] + [(5399 + k, 5000 + k) for k in range(1, 400)]
+    cycle = [(9000 + k, 9000 + (k + 1) % 50) for k in range(50)]
+    sizes, write = [], minhash.staged
+
+    def counted(df, name):
+        out = write(df, name)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "staged", counted)
+    edges = path + hub + cycle
+    got = dict(map(tuple, minhash.connected(spark.createDataFrame(edges, "a long, b long")).collect()))
+    want = {k: 0 for k in range(2001)} | {k: 5000 for k in range(5000, 5799)} | {k: 9000 for k in range(9000, 9050)}
+    assert got == want
+    assert max(sizes) <= len(edges) and len(sizes) < 40
+    assert minhash.connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_mixing_never_exceeds_the_cap(spark):
+    """A clamped source with empty documents: copies stay at most max_epochs, whole rows too."""
+    docs = [(k, "" if k % 10 == 0 else "one two three", None, "small", 1) for k in range(400)] + [(1000 + k, "word " * 40, None, "z", 1) for k in range(400)]
+    df = spark.createDataFrame(docs, SCHEMA)
+    for most in (2.0, 1.0):
+        got = mixing.mix(df, epochs=1.5 if most == 2 else 0.9, max_epochs=most).collect()
+        assert max(r["copies"] for r in got) <= most
+        out = collections.Counter(r["doc_id"] for r in mixing.mixed_documents(df, epochs=1.5 if most == 2 else 0.9, max_epochs=most).collect())
+        assert out == {r["doc_id"]: r["copies"] for r in got if r["copies"]}
+
+
+def test_html_odd_quotes_leave_no_markup():
+    texts = lambda page: [t for _, t, _ in html_text.blocks(page)]
+    assert texts("<p class=it's>Hello world</p><p>Next.</p>") == ["Hello world", "Next."]
+    assert texts('<p title="unclosed>x</p><p>y</p>') == ["x", "y"]
+    assert texts("<p data-a=\"1 > 0\" b='>'>x</p><p c = \"a>b\">y</p>") == ["x", "y"]
+    assert texts("<script data-x=it's>var a = '<p>no</p>'</script><p>yes</p><style a=\"b>p{}</style><p>end</p><p class=\"open") == ["yes", "end"]
+    assert texts("<p>a < b and 3<4</p>") == ["a < b and 3<4"]
+
+
+def test_line_tokens_collide_by_no_structure():
+    """The Thue-Morse word and its complement have different hashes; places of long tokens count."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), word[:60], word[60:120], "x" * 64 + "ab", "x" * 64 + "ba", "ab", "ba", "é", "e"]
+    hashes = line_dedup.tokenised(" ".join(texts))[1]
+    assert len(set(hashes.tolist())) == len(texts)
+    assert line_dedup.tokenised("a\n" + word)[1][1] == hashes[0]
