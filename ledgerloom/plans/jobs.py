@@ -18,9 +18,12 @@ from ..operators import metrics as M
 from ..operators.validate import require_at_least, require_one_of, require_unique
 from ..sources import html_tables as H
 from ..sources import pages as P
-from ..sources.tables import bar_state, metadata, required_table
-from .publish import Dataset, is_published, publish
+from ..sources.tables import bar_state, current, is_published, published, required_table
+from .publish import Dataset, part_of, publish, touched_parts
 
+#: Parts of the bar tables: one for each month and bucket of symbols. An update rewrites the last months and, of split symbols,
+#: their buckets.
+PERIOD, BUCKETS = "yyyy-MM", 8
 MASTER = Dataset("reference.security_master", "reference", "replace_snapshot", "us_common_stocks_active_and_delisted", ["security_id", "symbol"], entity="security_id", sort=["symbol", "security_id"])
 TICKERS = Dataset("reference.tickers", "reference", "replace_snapshot", "alpaca_price_coverage_active_and_delisted_common_stocks", ["episode_id"], entity="security_id", sort=["provider_symbol"])
 EXCLUSIONS = Dataset("reference.universe_exclusions", "reference", "replace_snapshot", "us_common_stock_universe_exclusions", ["security_id", "symbol"], entity="security_id", sort=["symbol", "security_id"])
@@ -28,8 +31,8 @@ EPISODES = Dataset("reference.symbol_episodes", "reference", "replace_snapshot",
 ACTIONS = Dataset("reference.corporate_actions", "reference", "overlapping_incremental_replace", "alpaca_us_corporate_actions_from_2016", ["provider_event_id"], "process_date", "security_id", ["process_date", "action_type", "provider_event_id"])
 SPLIT_REFRESH = Dataset("reference.split_refresh", "reference", "replace_snapshot", "splits_whose_bar_history_must_be_read_again", ["provider_event_id"], sort=["provider_event_id"])
 APPLIED_SPLITS = Dataset("market.daily_bars.applied_splits", "market", "replace_snapshot", "splits_that_the_bar_history_holds", ["provider_event_id"], sort=["provider_event_id"])
-HISTORICAL = Dataset("market.daily_bars.historical", "market", "incremental_merge", "episode_bounded_raw_and_split_adjusted_daily_bars", ["symbol", "date"], "date", "security_id", ["symbol", "date"])
-QUARANTINE = Dataset("market.daily_bars.identity_quarantine", "market", "incremental_merge", "unmapped_or_ambiguous_alpaca_daily_bars", ["symbol", "date"], "date", "symbol", ["symbol", "date"])
+HISTORICAL = Dataset("market.daily_bars.historical", "market", "incremental_merge", "episode_bounded_raw_and_split_adjusted_daily_bars", ["symbol", "date"], "date", "security_id", ["symbol", "date"], PERIOD, BUCKETS)
+QUARANTINE = Dataset("market.daily_bars.identity_quarantine", "market", "incremental_merge", "unmapped_or_ambiguous_alpaca_daily_bars", ["symbol", "date"], "date", "symbol", ["symbol", "date"], PERIOD, BUCKETS)
 AUDIT = Dataset("reference.alpaca_coverage_audit", "reference", "replace_snapshot", "historical_coverage_audit_sample", ["sample_id"], entity="security_id", sort=["symbol", "security_id"])
 
 
@@ -67,7 +70,7 @@ def run_security_master(spark: SparkSession, listings: str, assets: str, directo
 
 def run_symbol_episodes(spark: SparkSession, name_changes: str, directory: str, snapshot: dt.date, history_start: dt.date = S.HISTORY_START) -> dict[str, str]:
     """Publish symbol_episodes and the dated tickers from landed name-change pages and the security master."""
-    master = required_table(spark, f"{directory}/security_master.parquet", "security master")
+    master = required_table(spark, directory, "security_master", "security master")
     changes = E.one_per_event(P.name_change_rows(P.landed_pages(spark, name_changes)))
     episodes = E.symbol_episodes(master, changes, snapshot, history_start).persist()
     tickers = E.episode_tickers(episodes, master).persist()
@@ -82,11 +85,11 @@ def run_symbol_episodes(spark: SparkSession, name_changes: str, directory: str,
 def run_corporate_actions(spark: SparkSession, pages: str, directory: str, snapshot: dt.date, overlap_days: int = A.OVERLAP_DAYS, history_start: dt.date = S.HISTORY_START) -> dict[str, str]:
     """Merge landed action pages into corporate_actions; split_refresh lists the splits whose bars must be read again."""
     require_at_least(overlap_days, 1, "overlap_days")
-    episodes = required_table(spark, f"{directory}/symbol_episodes.parquet", "symbol episodes")
+    episodes = required_table(spark, directory, "symbol_episodes", "symbol episodes")
     symbols = _row(episodes.agg(F.count_distinct("symbol").alias("symbol_count"), F.sha2(F.array_join(F.array_sort(F.collect_set(F.upper("symbol"))), "\n"), 256).alias("symbols_sha256")))
     if not symbols["symbol_count"]:
         raise ValueError("symbol episodes contain no symbols")
-    existing = spark.read.parquet(f"{directory}/corporate_actions.parquet") if is_published(spark, directory, "corporate_actions") else None
+    existing = published(spark, directory, "corporate_actions") if is_published(spark, directory, "corporate_actions") else None
     end = snapshot - dt.timedelta(days=1)
     start = A.refresh_start(existing, end, overlap_days, history_start)
     fresh = A.corporate_actions(P.action_rows(P.landed_pages(spark, pages)), episodes, snapshot).filter(F.col("process_date") >= F.lit(start)).persist()
@@ -105,14 +108,14 @@ def run_corporate_actions(spark: SparkSession, pages: str, directory: str, snaps
 def plan_daily_bars(spark: SparkSession, mode: str, directory: str, bars_directory: str, overlap_days: int = B.OVERLAP_DAYS, start: dt.date | None = None, history_start: dt.date = S.HISTORY_START) -> DataFrame:
     """(symbol, start_date): what a run of `mode` (pilot, backfill, update) has to read."""
     require_one_of(mode, ("pilot", "backfill", "update"), "mode")
-    tickers = required_table(spark, f"{directory}/tickers.parquet", "tickers")
+    tickers = required_table(spark, directory, "tickers", "tickers")
     symbols = tickers.select(F.upper("provider_symbol").alias("symbol")).filter("symbol is not null").distinct()
     if mode == "pilot":
         symbols = B.pilot_symbols(tickers).select("symbol")
     if mode != "update":
         return symbols.withColumn("start_date", F.lit(start or history_start))
-    required_table(spark, f"{bars_directory}/historical.parquet", "daily-bar history")
-    last = bar_state(spark, f"{bars_directory}/historical.metadata.json").first()["max_date"]
+    required_table(spark, bars_directory, "historical", "daily-bar history")
+    last = bar_state(spark, bars_directory, "historical").first()["max_date"]
     if last is None:
         raise ValueError("historical metadata has no max_date")
     pending = _pending(spark, directory, _applied(spark, bars_directory))
@@ -125,14 +128,14 @@ _EVENT = "provider_event_id string"
 def _applied(spark: SparkSession, bars_directory: str) -> DataFrame:
     """The ledger of applied splits (provider_event_id)."""
     found = is_published(spark, bars_directory, "applied_splits")
-    return spark.read.parquet(f"{bars_directory}/applied_splits.parquet") if found else spark.createDataFrame([], _EVENT)
+    return published(spark, bars_directory, "applied_splits") if found else spark.createDataFrame([], _EVENT)
 
 
 def _pending(spark: SparkSession, directory: str, applied: DataFrame) -> DataFrame:
     """(provider_event_id, symbol): splits to read again that are not applied."""
     if not is_published(spark, directory, "split_refresh"):
         return spark.createDataFrame([], f"{_EVENT}, symbol string")
-    return B.pending_splits(spark.read.parquet(f"{directory}/split_refresh.parquet"), applied, spark.read.parquet(f"{directory}/corporate_actions.parquet"))
+    return B.pending_splits(published(spark, directory, "split_refresh"), applied, published(spark, directory, "corporate_actions"))
 
 
 def run_daily_bars(spark: SparkSession, mode: str, raw_pages: str, split_pages: str, directory: str, bars_directory: str, snapshot: dt.date, overlap_days: int = B.OVERLAP_DAYS, start: dt.date | None = None, history_start: dt.date = S.HISTORY_START, end: dt.date | None = None) -> dict[str, str]:
@@ -144,7 +147,7 @@ def run_daily_bars(spark: SparkSession, mode: str, raw_pages: str, split_pages:
     plan = plan_daily_bars(spark, mode, directory, bars_directory, overlap_days, start, history_start).persist()
     if plan.isEmpty():
         raise ValueError("no symbols to read")
-    tickers = spark.read.parquet(f"{directory}/tickers.parquet")
+    tickers = published(spark, directory, "tickers")
     sides = [B.one_bar_per_day(P.bar_rows(P.landed_pages(spark, path), side)) for path, side in ((raw_pages, "raw"), (split_pages, "split_adjusted"))]
     since = plan.select(F.col("symbol").alias("__s"), "start_date")
     pairs = B.paired(*sides).join(since, F.col("symbol") == F.col("__s"), "left").filter("start_date is null or date >= start_date").drop("__s", "start_date")
@@ -152,9 +155,11 @@ def run_daily_bars(spark: SparkSession, mode: str, raw_pages: str, split_pages:
         pairs = pairs.filter(F.col("date") <= F.lit(end))
     bars = B.as_bars(B.mapped_bars(pairs, tickers, plan, history_start), snapshot).persist()
     good, bad = B.safe(bars), B.quarantined(bars)
+    touched: dict[str, list[str]] = {}
+    whole = (good, bad)
     if mode == "update":
-        good = B.replaced(spark.read.parquet(f"{bars_directory}/historical.parquet"), good, plan)
-        bad = B.replaced(spark.read.parquet(f"{bars_directory}/identity_quarantine.parquet"), bad, plan)
+        good, bad = (_replaced_parts(spark, bars_directory, name, dataset, fresh, plan, touched) for name, dataset, fresh in (("historical", HISTORICAL, good), ("identity_quarantine", QUARANTINE, bad)))
+        whole = tuple(_with_kept(spark, bars_directory, name, rows, touched) for name, rows in (("historical", good), ("identity_quarantine", bad)))
     asked = _row(plan.agg(F.min("start_date").alias("d"), F.count(F.lit(1)).alias("n")))
     base = {"snapshot_date": snapshot.isoformat()}
     extra = base | {"requested_start_date": asked["d"].isoformat(), "requested_end_date": (end or latest_session(spark, snapshot)).isoformat(), "input_symbol_count": asked["n"]}
@@ -165,17 +170,32 @@ def run_daily_bars(spark: SparkSession, mode: str, raw_pages: str, split_pages:
     else:
         names = ("historical", "identity_quarantine")
         known = _applied(spark, bars_directory)
-        actions = spark.read.parquet(f"{directory}/corporate_actions.parquet") if is_published(spark, directory, "corporate_actions") else None
+        actions = published(spark, directory, "corporate_actions") if is_published(spark, directory, "corporate_actions") else None
         done = known if actions is None else B.applied_after(mode, known, _pending(spark, directory, known), actions)
         tables["applied_splits"] = (done, APPLIED_SPLITS, base)
-        extra |= _row(B.bar_metrics(good)) | {"applied_split_event_count": done.count()}
+        extra |= _row(B.bar_metrics(whole[0])) | {"applied_split_event_count": done.count()}
     try:
-        return publish({names[0]: (good, HISTORICAL, extra), names[1]: (bad, QUARANTINE, base | _row(B.bar_metrics(bad)))} | tables, bars_directory)
+        return publish({names[0]: (good, HISTORICAL, extra), names[1]: (bad, QUARANTINE, base | _row(B.bar_metrics(whole[1])))} | tables, bars_directory, touched)
     finally:
         bars.unpersist()
         plan.unpersist()
 
 
+def _replaced_parts(spark: SparkSession, directory: str, name: str, dataset: Dataset, fresh: DataFrame, plan: DataFrame, touched: dict[str, list[str]]) -> DataFrame:
+    """The new rows of the parts that planned ranges or fresh rows touch; the parts' names go into touched."""
+    known = list(current(spark, directory)["tables"].get(name, {"parts": {}})["parts"])
+    here = {r[0] for r in fresh.select(part_of(dataset, F.col(dataset.date), F.col(dataset.sort[0]))).distinct().collect()}  # a row a part
+    planned = touched_parts(plan, dataset, "symbol", "start_date", known) if known else []
+    touched[name] = sorted(here | set(planned))
+    return B.replaced(published(spark, directory, name, parts=touched[name]), fresh, plan)
+
+
+def _with_kept(spark: SparkSession, directory: str, name: str, rows: DataFrame, touched: dict[str, list[str]]) -> DataFrame:
+    """rows of the touched parts together with the parts that stay."""
+    kept = [p for p in current(spark, directory)["tables"][name]["parts"] if p not in touched[name]]
+    return published(spark, directory, name, parts=kept).unionByName(rows)
+
+
 def latest_session(spark: SparkSession, snapshot: dt.date) -> dt.date:
     """The last weekday before the snapshot."""
     from ..functions.scalars import latest_session as expr
@@ -185,8 +205,8 @@ def latest_session(spark: SparkSession, snapshot: dt.date) -> dt.date:
 
 def run_coverage_audit(spark: SparkSession, pages: str, directory: str, snapshot: dt.date, history_start: dt.date = S.HISTORY_START) -> dict[str, str]:
     """Publish the coverage audit of the sampled securities from landed audit envelopes; the metadata holds the gate."""
-    master = required_table(spark, f"{directory}/security_master.parquet", "security master")
-    episodes = required_table(spark, f"{directory}/symbol_episodes.parquet", "symbol episodes")
+    master = required_table(spark, directory, "security_master", "security master")
+    episodes = required_table(spark, directory, "symbol_episodes", "symbol episodes")
     end = latest_session(spark, snapshot)
     sample = U.audit_sample(master, end, require_unique(episodes, ["episode_id"], "symbol episodes"), history_start).persist()
     U.require_all_categories(sample)

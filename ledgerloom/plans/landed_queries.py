@@ -308,22 +308,22 @@ def _prices(spark: SparkSession, d: str) -> str:
 
 @query("SELECT symbol, date, raw_close FROM v_bars_raw", "v_bars_raw")
 def published_table(spark: SparkSession, d: str) -> DataFrame:
-    return published(spark, f"{_prices(spark, d)}/prices.parquet", ["symbol", "date", "raw_close"])
+    return published(spark, _prices(spark, d), "prices", ["symbol", "date", "raw_close"])
 
 
 @query("""
 SELECT 2 AS run, 'market.prices' AS dataset_name, count(*) AS row_count, count(*) - count(DISTINCT symbol || CAST(date AS VARCHAR)) AS duplicate_key_count, count(DISTINCT symbol) AS symbol_count, CAST(min(date) AS VARCHAR) AS min_date, CAST(max(date) AS VARCHAR) AS max_date, CAST(max(date) AS DATE) AS state_date
 FROM v_bars_raw""", "v_bars_raw")
 def published_metadata(spark: SparkSession, d: str) -> DataFrame:
-    path = f"{_prices(spark, d)}/prices.metadata.json"
-    about = metadata(spark, path, "run long, dataset_name string, row_count long, duplicate_key_count long, symbol_count long, min_date string, max_date string")
-    return about.crossJoin(bar_state(spark, path).select(F.col("max_date").alias("state_date")))  # one row each
+    base = _prices(spark, d)
+    about = metadata(spark, base, "prices", "run long, dataset_name string, row_count long, duplicate_key_count long, symbol_count long, min_date string, max_date string")
+    return about.crossJoin(bar_state(spark, base, "prices").select(F.col("max_date").alias("state_date")))  # one row each
 
 
 @query("SELECT symbol, count(*) AS bars, min(date) AS first_date FROM v_bars_raw GROUP BY 1", "v_bars_raw")
 def published_order(spark: SparkSession, d: str) -> DataFrame:
     """Published rows lie in the dataset's order: within a file no row precedes the one before it."""
-    rows = required_table(spark, f"{_prices(spark, d)}/prices.parquet", "prices").select("symbol", "date", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n"))
+    rows = required_table(spark, _prices(spark, d), "prices", "prices").select("symbol", "date", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n"))
     from pyspark.sql import Window
 
     before = F.lag(F.struct("symbol", "date")).over(Window.partitionBy("file").orderBy("n"))
@@ -338,7 +338,7 @@ def published_bars(spark: SparkSession, d: str) -> DataFrame:
     status = F.when(F.expr("CAST(substr(symbol, 2) AS BIGINT) % 3 = 0"), "ambiguous_episode_overlap").otherwise("mapped")
     bars = B.as_bars(view(spark, d, "v_bars_raw").withColumns({"identity_status": status, "split_adjusted_close": F.col("raw_close")}), SNAPSHOT)
     O.publish({"bars": (B.safe(bars), _PRICES, {}), "quarantine": (B.quarantined(bars), _PRICES, {})}, base)
-    one = lambda name: required_table(spark, f"{base}/{name}.parquet", name).select(*S.BARS.names).groupBy(F.lit(name).alias("name"), F.col("identity_status").alias("status")).agg(F.count(F.lit(1)).alias("rows"))
+    one = lambda name: required_table(spark, base, name, name).select(*S.BARS.names).groupBy(F.lit(name).alias("name"), F.col("identity_status").alias("status")).agg(F.count(F.lit(1)).alias("rows"))
     return one("bars").unionByName(one("quarantine"))
 
 

@@ -77,7 +77,7 @@ def test_overlaps_are_swept_not_paired(spark, rows):
     marked = E.mark_overlaps(df)
     got = {x["episode_id"]: (x["episode_status"], x["is_episode_mapping_eligible"]) for x in marked.collect()}
     assert got == {a[0]: ("unresolved", False) if any(meet(a, b) for b in data) else ("bounded", True) for a in data}
-    plan = marked._jdf.queryExecution().executedPlan().toString()
+    plan = E.mark_overlaps(df)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange") == 1
     assert marked.columns == df.columns and E.mark_overlaps(df.filter("false")).count() == 0
 

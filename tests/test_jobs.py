@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as entry_module
 from ledgerloom import schemas as S
 from ledgerloom.plans import fixtures, jobs, publish, queries
+from ledgerloom.sources.tables import current, published
 from ledgerloom.streaming.ingest import ingest, ingested
 
 SNAP = dt.date(2026, 9, 11)
@@ -23,10 +24,8 @@ def land(path, *pages):
     return str(path)
 
 
-def meta(directory, name):
-    path = f"{directory}/{name}.metadata.json"
-    files = [f"{path}/{f}" for f in os.listdir(path) if f.startswith("part-")]
-    return json.loads("".join(open(f).read() for f in files))
+def meta(spark, directory, name):
+    return current(spark, str(directory))["tables"][name]["metadata"]
 
 
 def test_jobs_end_to_end(spark, tmp_path):
@@ -35,34 +34,34 @@ def test_jobs_end_to_end(spark, tmp_path):
     listings = land(tmp_path / "listings.jsonl.gz", {"results": [base | {"ticker": "AAA", "name": "A Inc", "active": True, "share_class_figi": "F1"}]}, {"results": [base | {"ticker": "OLD", "name": "A Inc", "active": False, "share_class_figi": "F1", "delisted_utc": "2020-01-02"}, base | {"ticker": "BBB", "name": "B L.P.", "active": True, "share_class_figi": "F2"}]})
     assets = land(tmp_path / "assets.jsonl.gz", {"assets": [{"id": "1", "symbol": "AAA", "exchange": "NYSE", "status": "active", "tradable": True}]})
     jobs.run_security_master(spark, listings, assets, ref, SNAP)
-    assert spark.read.parquet(f"{ref}/security_master.parquet").columns == S.SECURITY_MASTER.names
-    about = meta(ref, "universe_exclusions")
+    assert published(spark, ref, "security_master").columns == S.SECURITY_MASTER.names
+    about = meta(spark, ref, "universe_exclusions")
     assert about["exclusion_counts"] == {"limited_partnership": 1} and about["duplicate_key_count"] == 0 and about["row_count"] == 1
 
     with pytest.raises(FileNotFoundError):
         jobs.run_corporate_actions(spark, listings, ref, SNAP)
     names = land(tmp_path / "names.jsonl.gz", {"corporate_actions": {"name_changes": [{"id": "n", "old_symbol": "OLD", "new_symbol": "AAA", "process_date": "2020-01-02"}]}})
     jobs.run_symbol_episodes(spark, names, ref, SNAP)
-    got = sorted((r["symbol"], str(r["symbol_valid_from"]), str(r["symbol_valid_to"])) for r in spark.read.parquet(f"{ref}/symbol_episodes.parquet").filter("security_id like '%F1'").collect())
+    got = sorted((r["symbol"], str(r["symbol_valid_from"]), str(r["symbol_valid_to"])) for r in published(spark, ref, "symbol_episodes").filter("security_id like '%F1'").collect())
     assert got == [("AAA", "2020-01-02", "None"), ("OLD", "2016-01-01", "2020-01-01")]
 
     split = {"id": "s", "process_date": "2026-09-01", "symbol": "AAA", "old_rate": "1", "new_rate": "2"}
     acts = land(tmp_path / "a1.jsonl.gz", {"corporate_actions": {"forward_splits": [split]}})
     jobs.run_corporate_actions(spark, acts, ref, SNAP)
-    ids = lambda directory, name: sorted(r["provider_event_id"] for r in spark.read.parquet(f"{directory}/{name}.parquet").collect())
-    assert ids(ref, "split_refresh") == ["s"] and meta(ref, "corporate_actions")["split_history_refresh_event_count"] == 1 and meta(ref, "corporate_actions")["refresh_start_date"] == "2016-01-01"
+    ids = lambda directory, name: sorted(r["provider_event_id"] for r in published(spark, directory, name).collect())
+    assert ids(ref, "split_refresh") == ["s"] and meta(spark, ref, "corporate_actions")["split_history_refresh_event_count"] == 1 and meta(spark, ref, "corporate_actions")["refresh_start_date"] == "2016-01-01"
 
     bar = lambda d, c: {"t": f"{d}T04:00:00Z", "o": c, "h": c, "l": c, "c": c, "v": 10, "vw": c, "n": 1}
     raw = land(tmp_path / "raw.jsonl.gz", {"bars": {"AAA": [bar("2020-01-02", 8), bar("2026-09-10", 4)], "OLD": [bar("2020-01-03", 8)]}})
     adj = land(tmp_path / "adj.jsonl.gz", {"bars": {"AAA": [bar("2020-01-02", 4), bar("2026-09-10", 4)], "OLD": [bar("2020-01-03", 4)]}})
     jobs.run_daily_bars(spark, "backfill", raw, adj, ref, bars, SNAP)
-    m = meta(bars, "historical")
+    m = meta(spark, bars, "historical")
     assert (m["row_count"], m["split_adjustment_difference_count"], m["applied_split_event_count"], m["max_date"]) == (2, 1, 1, "2026-09-10")
     assert ids(bars, "applied_splits") == ["s"]
-    assert meta(bars, "identity_quarantine")["row_count"] == 1
+    assert meta(spark, bars, "identity_quarantine")["row_count"] == 1
 
     jobs.run_corporate_actions(spark, acts, ref, SNAP)
-    assert ids(ref, "split_refresh") == [] and meta(ref, "corporate_actions")["refresh_start_date"] == "2026-08-02"
+    assert ids(ref, "split_refresh") == [] and meta(spark, ref, "corporate_actions")["refresh_start_date"] == "2026-08-02"
     again = land(tmp_path / "a2.jsonl.gz", {"corporate_actions": {"forward_splits": [split | {"new_rate": "3"}, split | {"id": "t", "process_date": "2026-09-02"}]}})
     jobs.run_corporate_actions(spark, again, ref, SNAP)
     assert ids(ref, "split_refresh") == ["s", "t"]
@@ -71,9 +70,9 @@ def test_jobs_end_to_end(spark, tmp_path):
     raw2 = land(tmp_path / "raw2.jsonl.gz", {"bars": {"AAA": [bar("2020-01-02", 9), bar("2026-09-11", 3)]}})
     adj2 = land(tmp_path / "adj2.jsonl.gz", {"bars": {"AAA": [bar("2020-01-02", 3), bar("2026-09-11", 3)]}})
     jobs.run_daily_bars(spark, "update", raw2, adj2, ref, bars, SNAP + dt.timedelta(days=1))
-    rows = sorted((str(r["date"]), r["raw_close"]) for r in spark.read.parquet(f"{bars}/historical.parquet").collect())
+    rows = sorted((str(r["date"]), r["raw_close"]) for r in published(spark, bars, "historical").collect())
     assert rows == [("2020-01-02", 9.0), ("2026-09-11", 3.0)] and ids(bars, "applied_splits") == ["s", "t"]
-    assert meta(bars, "identity_quarantine")["row_count"] == 1
+    assert meta(spark, bars, "identity_quarantine")["row_count"] == 1
     with pytest.raises(ValueError, match="mode"):
         jobs.run_daily_bars(spark, "sometimes", raw, adj, ref, bars, SNAP)
     with pytest.raises(ValueError, match="no symbols"):
