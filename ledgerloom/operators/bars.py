@@ -125,6 +125,45 @@ def bar_metrics(bars: DataFrame) -> DataFrame:
     return _measured(bars, F.lit(True), {})
 
 
+def symbol_state(bars: DataFrame, part: Column) -> DataFrame:
+    """One row for each part and symbol: all that `state_metrics` needs of its bars.
+
+    A key lies in one part, so states of parts add up: an update makes new ones for the parts it rewrites and keeps the
+    others, and no history is read again.
+    """
+    per_key = bars.groupBy(part.alias("part"), "symbol", "date").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("raw_close").isNull() | F.col("split_adjusted_close").isNull()).alias("missing"),
+        F.count_if(F.abs(F.col("raw_close") - F.col("split_adjusted_close")) > DIFFERENCE).alias("differing"),
+        F.collect_set("security_id").alias("securities"),
+    )
+    return per_key.groupBy("part", "symbol").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("repeated"),
+        F.sum("missing").alias("missing"),
+        F.sum("differing").alias("differing"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("securities")))).alias("securities"),
+    )
+
+
+def state_metrics(state: DataFrame) -> DataFrame:
+    """bar_metrics from the symbols' states."""
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
+    sums = state.agg(
+        total("rows", "row_count"),
+        F.count_distinct("symbol").alias("symbol_count"),
+        F.min("first_date").cast("string").alias("min_date"),
+        F.max("last_date").cast("string").alias("max_date"),
+        total("repeated", "duplicate_key_count"),
+        total("missing", "missing_adjustment_pair_count"),
+        total("differing", "split_adjustment_difference_count"),
+    )
+    names = state.select(F.explode("securities").alias("s")).agg(F.count_distinct("s").alias("security_id_count"))
+    return sums.crossJoin(F.broadcast(names))  # one row each
+
+
 _PASSED = "row_count > 0 and duplicate_key_count = 0 and missing_adjustment_pair_count = 0 and split_adjustment_difference_count > 0 and quarantine_row_count > 0"
 
 

@@ -33,6 +33,7 @@ SPLIT_REFRESH = Dataset("reference.split_refresh", "reference", "replace_snapsho
 APPLIED_SPLITS = Dataset("market.daily_bars.applied_splits", "market", "replace_snapshot", "splits_that_the_bar_history_holds", ["provider_event_id"], sort=["provider_event_id"])
 HISTORICAL = Dataset("market.daily_bars.historical", "market", "incremental_merge", "episode_bounded_raw_and_split_adjusted_daily_bars", ["symbol", "date"], "date", "security_id", ["symbol", "date"], PERIOD, BUCKETS)
 QUARANTINE = Dataset("market.daily_bars.identity_quarantine", "market", "incremental_merge", "unmapped_or_ambiguous_alpaca_daily_bars", ["symbol", "date"], "date", "symbol", ["symbol", "date"], PERIOD, BUCKETS)
+BAR_STATE = Dataset("market.daily_bars.symbol_state", "market", "replace_snapshot", "counts_of_every_part_and_symbol", ["part", "symbol"], sort=["part", "symbol"])
 AUDIT = Dataset("reference.alpaca_coverage_audit", "reference", "replace_snapshot", "historical_coverage_audit_sample", ["sample_id"], entity="security_id", sort=["symbol", "security_id"])
 
 
@@ -156,10 +157,8 @@ def run_daily_bars(spark: SparkSession, mode: str, raw_pages: str, split_pages:
     bars = B.as_bars(B.mapped_bars(pairs, tickers, plan, history_start), snapshot).persist()
     good, bad = B.safe(bars), B.quarantined(bars)
     touched: dict[str, list[str]] = {}
-    whole = (good, bad)
     if mode == "update":
         good, bad = (_replaced_parts(spark, bars_directory, name, dataset, fresh, plan, touched) for name, dataset, fresh in (("historical", HISTORICAL, good), ("identity_quarantine", QUARANTINE, bad)))
-        whole = tuple(_with_kept(spark, bars_directory, name, rows, touched) for name, rows in (("historical", good), ("identity_quarantine", bad)))
     asked = _row(plan.agg(F.min("start_date").alias("d"), F.count(F.lit(1)).alias("n")))
     base = {"snapshot_date": snapshot.isoformat()}
     extra = base | {"requested_start_date": asked["d"].isoformat(), "requested_end_date": (end or latest_session(spark, snapshot)).isoformat(), "input_symbol_count": asked["n"]}
@@ -172,10 +171,12 @@ def run_daily_bars(spark: SparkSession, mode: str, raw_pages: str, split_pages:
         known = _applied(spark, bars_directory)
         actions = published(spark, directory, "corporate_actions") if is_published(spark, directory, "corporate_actions") else None
         done = known if actions is None else B.applied_after(mode, known, _pending(spark, directory, known), actions)
-        tables["applied_splits"] = (done, APPLIED_SPLITS, base)
-        extra |= _row(B.bar_metrics(whole[0])) | {"applied_split_event_count": done.count()}
+        states = {name: _states(spark, bars_directory, name, dataset, rows, touched).persist() for name, dataset, rows in ((names[0], HISTORICAL, good), (names[1], QUARANTINE, bad))}
+        tables |= {f"{name}_state": (rows, BAR_STATE, base) for name, rows in states.items()} | {"applied_splits": (done, APPLIED_SPLITS, base)}
+        extra |= _row(B.state_metrics(states[names[0]])) | {"applied_split_event_count": done.count()}
     try:
-        return publish({names[0]: (good, HISTORICAL, extra), names[1]: (bad, QUARANTINE, base | _row(B.bar_metrics(whole[1])))} | tables, bars_directory, touched)
+        second = base | (_row(B.bar_metrics(bad)) if mode == "pilot" else _row(B.state_metrics(states[names[1]])))
+        return publish({names[0]: (good, HISTORICAL, extra), names[1]: (bad, QUARANTINE, second)} | tables, bars_directory, touched)
     finally:
         bars.unpersist()
         plan.unpersist()
@@ -190,10 +191,12 @@ def _replaced_parts(spark: SparkSession, directory: str, name: str, dataset: Dat
     return B.replaced(published(spark, directory, name, parts=touched[name]), fresh, plan)
 
 
-def _with_kept(spark: SparkSession, directory: str, name: str, rows: DataFrame, touched: dict[str, list[str]]) -> DataFrame:
-    """rows of the touched parts together with the parts that stay."""
-    kept = [p for p in current(spark, directory)["tables"][name]["parts"] if p not in touched[name]]
-    return published(spark, directory, name, parts=kept).unionByName(rows)
+def _states(spark: SparkSession, directory: str, name: str, dataset: Dataset, rows: DataFrame, touched: dict[str, list[str]]) -> DataFrame:
+    """The symbols' states of a whole bar table: new ones of the given rows, those of the parts that stay as they are."""
+    fresh = B.symbol_state(rows, part_of(dataset, F.col(dataset.date), F.col(dataset.sort[0])))
+    if name not in touched or not is_published(spark, directory, f"{name}_state"):
+        return fresh
+    return published(spark, directory, f"{name}_state").filter(~F.col("part").isin(touched[name])).unionByName(fresh)
 
 
 def latest_session(spark: SparkSession, snapshot: dt.date) -> dt.date:

@@ -18,7 +18,7 @@ from ..operators import identity as I
 from ..operators import validate as V
 from ..sources import html_tables as H
 from ..sources import pages as P
-from ..sources.tables import bar_state, metadata, published, required_table, shared_dir
+from ..sources.tables import bar_state, current, metadata, published, required_table, shared_dir
 from . import publish as O
 from .fixtures import FLOOR, SNAPSHOT, table, view
 from .queries import _AUDIT_END, _CASES, _SAMPLE, _audit_master, _plain_with, query
@@ -331,6 +331,79 @@ def published_order(spark: SparkSession, d: str) -> DataFrame:
     return kept.groupBy("symbol").agg(F.count(F.lit(1)).alias("bars"), F.min("date").alias("first_date"))
 
 
+_PARTS = O.Dataset("market.bars", "market", "incremental_merge", "all_prices", ["symbol", "date"], "date", "symbol", ["symbol", "date"], "yyyy", 2)
+_UPDATED = """
+, u AS (SELECT symbol, date, raw_close + CASE WHEN CAST(substr(symbol, 2) AS BIGINT) % 5 = 0 AND date >= DATE '2000-01-01' THEN 1 ELSE 0 END AS raw_close FROM v_bars_raw)"""
+
+
+def _updated(spark: SparkSession, d: str) -> tuple[str, list[str]]:
+    """Bars published in parts, then an update of some symbols from a date on; the folder, and the parts that stayed."""
+    base = _folder(spark, "updated")
+    old = view(spark, d, "v_bars_raw").select("symbol", "date", "raw_close")
+    part = O.part_of(_PARTS, F.col("date"), F.col("symbol"))
+    full = lambda df: df.select("symbol", "date", "raw_close", F.col("raw_close").alias("split_adjusted_close"), F.col("symbol").alias("security_id"))
+    O.publish({"bars": (old, _PARTS, {}), "state": (B.symbol_state(full(old), part), _PRICES_STATE, {})}, base)
+    mine = "CAST(substr(symbol, 2) AS BIGINT) % 5 = 0"
+    plan = old.filter(mine).select("symbol").distinct().withColumn("start_date", F.lit(dt.date(2000, 1, 1)))
+    fresh = old.filter(f"{mine} AND date >= DATE '2000-01-01'").withColumn("raw_close", F.col("raw_close") + 1)
+    before = current(spark, base)["tables"]["bars"]["parts"]
+    touched = O.touched_parts(plan, _PARTS, "symbol", "start_date", list(before))
+    rows = B.replaced(published(spark, base, "bars", parts=touched), fresh, plan)
+    states = published(spark, base, "state").filter(~F.col("part").isin(touched)).unionByName(B.symbol_state(full(rows), part))
+    done = O.publish({"bars": (rows, _PARTS, {}), "state": (states, _PRICES_STATE, {})}, base, {"bars": touched})
+    return base, sorted(k for k, v in done["bars"]["parts"].items() if before.get(k) == v)
+
+
+_PRICES_STATE = O.Dataset("market.bars.state", "market", "replace_snapshot", "counts", ["part", "symbol"], sort=["part", "symbol"])
+
+
+@query(_UPDATED + " SELECT symbol, date, raw_close FROM u", "v_bars_raw")
+def updated_parts(spark: SparkSession, d: str) -> DataFrame:
+    """The table after an update that rewrote the parts of its years only."""
+    base, stayed = _updated(spark, d)
+    assert stayed and all(p < "2000" for p in stayed), stayed
+    return published(spark, base, "bars")
+
+
+@query(_UPDATED + " SELECT count(*) AS row_count, count(DISTINCT symbol) AS symbol_count, count(DISTINCT symbol) AS security_id_count, min(date)::VARCHAR AS min_date, max(date)::VARCHAR AS max_date, 0 AS duplicate_key_count, count(*) FILTER (raw_close IS NULL) AS missing_adjustment_pair_count, 0 AS split_adjustment_difference_count FROM u", "v_bars_raw")
+def updated_state(spark: SparkSession, d: str) -> DataFrame:
+    """Metrics after the update, from the states of symbols and parts."""
+    return B.state_metrics(published(spark, _updated(spark, d)[0], "state"))
+
+
+@query("SELECT 'prices' AS name, true AS found, count(*) AS rows FROM v_bars_raw UNION ALL SELECT 'absent', false, 0", "v_bars_raw")
+def missing_table(spark: SparkSession, d: str) -> DataFrame:
+    """A published table is counted, one that is not published is refused."""
+    base, found = _prices(spark, d), []
+    for name in ("prices", "absent"):
+        try:
+            found.append((name, True, required_table(spark, base, name, name).count()))
+        except FileNotFoundError:
+            found.append((name, False, 0))
+    return spark.createDataFrame(found, "name string, found boolean, rows long")
+
+
+@query("""
+SELECT 's' || CAST(o_custkey AS VARCHAR) AS security_id, arg_max(o_orderkey, o_orderdate::VARCHAR || lpad(o_orderkey::VARCHAR, 12, '0')) FILTER (o_orderstatus = 'F') AS exact_key,
+  arg_max(o_orderkey, (o_orderstatus = 'F')::INT::VARCHAR || o_orderdate::VARCHAR || lpad(o_orderkey::VARCHAR, 12, '0')) AS any_key FROM orders GROUP BY o_custkey""")
+def ticker_choice(spark: SparkSession, d: str) -> DataFrame:
+    """Securities with many master rows: the newest row of the exact symbol gives the asset, the newest of all the sector."""
+    orders = table(spark, d, "orders")
+    security, key = F.concat(F.lit("s"), F.col("o_custkey").cast("string")), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")
+    done = F.col("o_orderstatus") == "F"
+    none = lambda c, t="string": F.lit(None).cast(t).alias(c)
+    symbol = F.when(done, "DONE").otherwise(F.concat(F.lit("X"), key))
+    updated = F.concat(F.col("o_orderdate").cast("date").cast("string"), key)
+    master = orders.select(security.alias("security_id"), symbol.alias("symbol"), done.alias("active"), updated.alias("last_updated_utc"), F.col("o_orderkey").cast("string").alias("sector"), none("industry"), F.col("o_orderkey").cast("string").alias("alpaca_asset_id"), none("alpaca_status"), none("alpaca_tradable", "boolean"), none("is_known_reit", "boolean"))
+    names = orders.select(security.alias("security_id")).distinct()
+    known = {"security_id": F.col("security_id"), "episode_id": F.concat("security_id", F.lit("|"), F.col("symbol")), "symbol": F.col("symbol"), "is_price_coverage_eligible": F.lit(True)}
+    episodes = names.withColumn("symbol", F.explode(F.array(F.lit("DONE"), F.lit("NONE")))).select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in S.EPISODES.fields])
+    got = E.episode_tickers(episodes, master)
+    exact = got.filter("provider_symbol = 'DONE'").select("security_id", F.col("alpaca_asset_id").cast("long").alias("exact_key"))
+    other = got.filter("provider_symbol = 'NONE'").select("security_id", F.col("sector").cast("long").alias("any_key"))
+    return exact.join(other, "security_id")
+
+
 @query("SELECT 'bars' AS name, count(*) AS rows, 'mapped' AS status FROM v_bars_raw WHERE CAST(substr(symbol, 2) AS BIGINT) % 3 <> 0 UNION ALL SELECT 'quarantine', count(*), 'ambiguous_episode_overlap' FROM v_bars_raw WHERE CAST(substr(symbol, 2) AS BIGINT) % 3 = 0", "v_bars_raw")
 def published_bars(spark: SparkSession, d: str) -> DataFrame:
     """Bars and their quarantine published side by side, with all published columns."""

@@ -53,6 +53,15 @@ def state(df: DataFrame, dataset: Dataset, required: list[str], extra: DataFrame
     return {"generated_at_utc": now} | dataset.identity() | row | more
 
 
+def measured_state(spark: SparkSession, directory: str, entry: dict, dataset: Dataset) -> dict:
+    """Metadata of a table in parts whose rows the caller has counted: of the data, only the last period's parts are read."""
+    periods = [p.rsplit("-", 1)[0] for p in entry["parts"]]
+    last = [p for p in entry["parts"] if p.rsplit("-", 1)[0] == max(periods)]
+    row = metrics.latest_coverage(read_parts(spark, directory, entry, last), dataset.date, dataset.entity).first().asDict()
+    now = dt.datetime.now(dt.UTC).replace(tzinfo=None).isoformat(timespec="seconds") + "Z"
+    return {"generated_at_utc": now, "missing_required_columns": []} | dataset.identity() | row
+
+
 def part_of(dataset: Dataset, day: Column, key: Column) -> Column:
     """The name of the part that a row belongs to."""
     return F.concat_ws("-", F.date_format(day, dataset.period), F.pmod(F.xxhash64(key), F.lit(dataset.buckets)).cast("string"))
@@ -112,7 +121,8 @@ def publish(tables: dict[str, tuple[DataFrame, Dataset, dict]], directory: str,
     """Write all tables, then point at them together. tables: name to (table, dataset, further metadata).
 
     touched: for a table of which only some parts are given, the names of the parts that its rows replace; parts that are
-    neither named nor written stay. Metadata describes the whole table. Returns the new entries by name.
+    neither named nor written stay. Metadata describes the whole table; of a table in parts whose counts are given it is not
+    read again. Returns the new entries by name.
     """
     touched = touched or {}
     spark = next(iter(tables.values()))[0].sparkSession
@@ -125,7 +135,9 @@ def publish(tables: dict[str, tuple[DataFrame, Dataset, dict]], directory: str,
             old = before["tables"].get(name, {}).get("parts", {})
             parts = {k: v for k, v in old.items() if k not in touched[name]} | parts
         entry = {"parts": parts, "schema": df.schema.jsonValue()}
-        about = state(read_parts(spark, directory, entry), dataset, df.columns) | {"table": name} | extra
+        counted = dataset.period is not None and {"row_count", "duplicate_key_count", "min_date", "max_date"} <= set(extra)
+        about = measured_state(spark, directory, entry, dataset) if counted else state(read_parts(spark, directory, entry), dataset, df.columns)
+        about |= {"table": name} | extra
         done[name] = entry | {"metadata": json.loads(json.dumps(about, default=str))}
     taken = [int(n.split(".")[0]) for n in _generations(spark, directory)]
     now = current(spark, directory)  # tables that others have published meanwhile stay theirs

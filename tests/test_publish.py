@@ -13,6 +13,7 @@ from ledgerloom.sources import tables as T
 
 DAY = dt.date(2020, 1, 1)
 PLAIN = O.Dataset("x.plain", "x", "replace_snapshot", "all", ["id"], sort=["id"])
+PLAIN_STATE = O.Dataset("x.state", "x", "replace_snapshot", "all", ["part", "symbol"], sort=["part", "symbol"])
 BARS = O.Dataset("x.bars", "x", "incremental_merge", "all", ["symbol", "date"], "date", "symbol", ["symbol", "date"], "yyyy-MM", 4)
 
 
@@ -113,3 +114,28 @@ def test_tickers_take_the_newest_listing(spark):
             full = full.withColumn(f.name, F.lit(None).cast(f.dataType))
     got = {r["episode_id"]: (r["sector"], r["alpaca_asset_id"]) for r in E.episode_tickers(full, master).collect()}
     assert got == {"1": ("new", "2"), "2": ("new", None), "3": ("c", "4")}
+
+
+def test_states_of_parts_add_up(spark, tmp_path):
+    """After three updates the merged states give the metrics that a full recount gives."""
+    base = str(tmp_path / "state")
+    r = random.Random(2)
+    schema = "symbol string, date date, security_id string, raw_close double, split_adjusted_close double"
+    bar = lambda s, d: (f"S{s}", DAY + dt.timedelta(d), r.choice([f"id{s}", f"id{s}b", None]), r.choice([None, 1.0, 2.0]), r.choice([None, 2.0]))
+    history = [bar(s, d) for s in range(8) for d in range(0, 120, 4)] * 1 + [bar(1, 8)]
+    part = O.part_of(BARS, F.col("date"), F.col("symbol"))
+    rows = spark.createDataFrame(history, schema)
+    O.publish({"bars": (rows, BARS, {}), "state": (B.symbol_state(rows, part), PLAIN_STATE, {})}, base)
+    for turn in range(3):
+        plan = spark.createDataFrame([(f"S{s}", DAY + dt.timedelta(90 + 10 * turn)) for s in range(turn, 8)], "symbol string, start_date date")
+        fresh = spark.createDataFrame([bar(s, 95 + 10 * turn + k) for s in range(turn, 8) for k in range(3)], schema)
+        known = list(T.current(spark, base)["tables"]["bars"]["parts"])
+        touched = sorted({*O.touched_parts(plan, BARS, "symbol", "start_date", known), *(x[0] for x in fresh.select(part).collect())})
+        rows = B.replaced(T.published(spark, base, "bars", parts=touched), fresh, plan)
+        state = T.published(spark, base, "state").filter(~F.col("part").isin(touched)).unionByName(B.symbol_state(rows, part))
+        counts = B.state_metrics(state).first().asDict()
+        done = O.publish({"bars": (rows, BARS, counts), "state": (state, PLAIN_STATE, {})}, base, {"bars": touched})
+        whole = T.published(spark, base, "bars")
+        assert counts == B.bar_metrics(whole).first().asDict()
+        about = O.state(whole, BARS, whole.columns)
+        assert all(done["bars"]["metadata"][k] == v for k, v in about.items() if k != "generated_at_utc")
