@@ -90,7 +90,8 @@ def pilot_symbols(tickers: DataFrame, wanted: tuple[str, ...] = PILOT_SYMBOLS) -
 def _measured(bars: DataFrame, counted: Column, others: dict[str, Column]) -> DataFrame:
     """One row of the measures of the counted bars and of sums over all bars, from one pass over them.
 
-    Bars are counted by key first; a key's securities (usually one) ride along and are told apart in the last step.
+    Bars are counted by key first and then by symbol, so that what is left are sums over symbols and the distinct names in
+    their small sets of securities.
     """
     differs = F.abs(F.col("raw_close") - F.col("split_adjusted_close")) > DIFFERENCE
     per_key = bars.groupBy("symbol", "date").agg(
@@ -100,20 +101,30 @@ def _measured(bars: DataFrame, counted: Column, others: dict[str, Column]) -> Da
         F.collect_set(F.when(counted, F.col("security_id"))).alias("securities"),
         *[F.count_if(c).alias(name) for name, c in others.items()],
     )
-    each = per_key.select("*", F.posexplode_outer("securities").alias("at", "security_id"))
-    own = F.coalesce(F.col("at"), F.lit(0)) == 0  # a key counts once, with its first security
-    total = lambda c, condition=F.lit(True): F.coalesce(F.sum(F.when(own & condition, F.col(c))), F.lit(0)).alias(c)
     here = F.col("n") > 0
+    per_symbol = per_key.groupBy("symbol").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("repeated"),
+        F.sum("missing").alias("missing"),
+        F.sum("differing").alias("differing"),
+        F.min(F.when(here, F.col("date"))).alias("first"),
+        F.max(F.when(here, F.col("date"))).alias("last"),
+        F.array_distinct(F.flatten(F.collect_set("securities"))).alias("securities"),
+        *[F.sum(name).alias(name) for name in others],
+    )
+    each = per_symbol.select("*", F.posexplode_outer("securities").alias("at", "security_id"))
+    own = F.coalesce(F.col("at"), F.lit(0)) == 0  # a symbol counts once, with its first security
+    total = lambda c, name: F.coalesce(F.sum(F.when(own, F.col(c))), F.lit(0)).alias(name)
     return each.agg(
-        total("n").alias("row_count"),
-        F.count_distinct(F.when(here, F.col("symbol"))).alias("symbol_count"),
-        F.min(F.when(here, F.col("date"))).cast("string").alias("min_date"),
-        F.max(F.when(here, F.col("date"))).cast("string").alias("max_date"),
-        total("n", F.col("n") > 1).alias("duplicate_key_count"),
-        total("missing").alias("missing_adjustment_pair_count"),
-        total("differing").alias("split_adjustment_difference_count"),
+        total("n", "row_count"),
+        F.count(F.when(own & here, F.col("symbol"))).alias("symbol_count"),
+        F.min("first").cast("string").alias("min_date"),
+        F.max("last").cast("string").alias("max_date"),
+        total("repeated", "duplicate_key_count"),
+        total("missing", "missing_adjustment_pair_count"),
+        total("differing", "split_adjustment_difference_count"),
         F.count_distinct("security_id").alias("security_id_count"),
-        *[total(name) for name in others],
+        *[total(name, name) for name in others],
     )
 
 

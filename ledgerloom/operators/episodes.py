@@ -97,7 +97,7 @@ def chains(master: DataFrame, changes: DataFrame, snapshot: dt.date) -> DataFram
     left, however long it is: every step goes back in time. Walks without steps of their own are read off the forest of
     default steps; the others from the states that they can be in, each with its own next step.
     """
-    events = _states(changes, snapshot)
+    events = written(_states(changes, snapshot), "walk-events")
     state = lambda cursor, boundary: F.struct(F.col(cursor).alias("cursor"), F.col(boundary).alias("boundary"))
     roots = terminals(master).select("security_id", F.col("terminal").alias("cursor"), F.date_add(F.lit(snapshot), 1).alias("boundary"))
     own = written(own_steps(events, master), "walk-own")
