@@ -3,8 +3,9 @@
 Pass one counts filter slots: every row's hash names ``HASHES`` slots of one 4 KiB block, the slot counts are
 summed map side, and the slots hit twice or more become bitmaps. Pass two tests every row against the broadcast
 bitmaps: a row with an unshared slot is certainly unique and passes straight through; only the others shuffle.
-The filter grows with the corpus, 16 bits a row. Up to ``BROADCAST_BITS`` its bitmaps are broadcast; a larger one is
-joined block by block, which moves digests once, but never texts of rows that it clears.
+The filter grows with the corpus, 16 bits a row. Up to ``BROADCAST_BITS`` its bitmaps are broadcast, and no row that it
+clears moves. A larger one is joined block by block: `duplicate_groups` then moves all digests once, and `exact_dedup`,
+which returns whole rows, joins the rows with their flags by a shuffle that moves texts once.
 """
 
 from __future__ import annotations
