@@ -86,5 +86,5 @@ def test_language_stage_rejects_foreign_texts(spark):
 @needs_data
 def test_run_and_registry(spark):
     assert corpus_pipeline.run(spark, DIR).count() > 0
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in registry.QUERIES) == list(range(1, 14))
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES)
