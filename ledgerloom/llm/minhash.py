@@ -9,6 +9,9 @@ Equal token sequences collapse first. Distinct ones meet in the buckets of BANDS
 its pairs: its most connected document leads it and every other member is paired with the leader. After exact
 verification the links of all buckets together give classes, and only members outside their leader's class meet the
 others: inside tasks, in blocks of BLOCK documents, which return no more links than they connect.
+
+Then the links inside every class are counted exactly: the shingles of its different texts go to tasks in blocks of
+LINK_BLOCK texts, small classes share tasks, and what leaves a task is one number a text.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged, table, trimmed
+from .common import small_batches, staged, table, trimmed, trimmed_group
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -36,6 +39,8 @@ FIRST_SHELL = -6
 BROADCAST_IDS = 1_000_000
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 128
+#: Texts of a class whose links one task counts with as many others, and the bytes of their shingles.
+LINK_BLOCK, LINK_BYTES = 512, 1 << 23
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -209,12 +214,8 @@ def _bags(docs: DataFrame, ids: DataFrame, text: str, doc_id: str) -> DataFrame:
     return staged(named.mapInPandas(trimmed(cut), "id long, own binary").dropDuplicates(["id"]), "near-bags")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, text: str, doc_id: str, similar: float) -> DataFrame:
-    """The pairs (a, b) whose exact weighted Jaccard similarity reaches `similar`.
-
-    Only documents that a pair names are read on; each travels as its sorted shingles (32 bits each), once a pair.
-    """
-    bags = _bags(docs, _named(pairs), text, doc_id)
+def _verified(pairs: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
+    """The pairs (a, b) whose exact weighted Jaccard similarity reaches `similar`; a bag travels once a pair."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -250,11 +251,18 @@ def connected(links: DataFrame, name: str = "near") -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similar: float = SIMILARITY) -> DataFrame:
-    """One row per distinct (doc_id, text): doc_id, class_id (smallest doc_id of its class), class_size (its rows).
+    """One row per distinct (doc_id, text): doc_id, class_id (smallest doc_id of its class), class_size (its rows), n_links.
 
-    Classes are the components of links between documents of similarity `similar` or more. Texts without words, null
-    ones too, are classes of their own; rows with a null doc_id take no part; an empty table gives no rows.
+    Classes are the components of links between documents of similarity `similar` or more; n_links is the number of
+    other token sequences that the document's own is linked to, all of its class compared (equal sequences are one, as
+    are sequences whose smallest doc_id is the same). Texts without words, null ones too, are classes of their own; rows
+    with a null doc_id take no part; an empty table gives no rows; other columns, whatever their names, are not read.
     """
+    return _classes(docs, text, doc_id, similar, True)
+
+
+def _classes(docs: DataFrame, text: str, doc_id: str, similar: float, counting: bool) -> DataFrame:
+    """What near_duplicates returns; without the work for n_links, which is null then, unless counting."""
     small_batches(docs.sparkSession)
     features = staged(_features(docs.filter(F.col(doc_id).isNotNull()), text, doc_id), "near-features")
     groups = staged(features.filter("seq is not null").groupBy("seq").agg(F.min("doc_id").alias("rep")), "near-groups")
@@ -267,9 +275,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     lead = members.join(weight, "doc_id").groupBy("band").agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("doc_id").alias("lead"))).alias("first"))
     lead = staged(lead.select("band", F.col("first.lead").alias("lead")), "near-leads")
     rays = members.join(lead, "band").filter("doc_id <> lead").select(F.least("doc_id", "lead").alias("a"), F.greatest("doc_id", "lead").alias("b")).distinct()
-    links = _linked(staged(rays, "near-rays"), features, docs, text, doc_id, similar)
-    classes = connected(_completed(members, lead, links, features, docs, text, doc_id, similar))
-    of_rep = groups.join(classes.withColumnRenamed("id", "rep"), "rep", "left").select("seq", F.coalesce("class", "rep").alias("class_rep"))
+    links, bags = _linked(staged(rays, "near-rays"), features, docs, text, doc_id, similar)
+    links, bags = _completed(members, lead, links, bags, features, docs, text, doc_id, similar)
+    classes = connected(links)
+    of_rep = groups.join(classes.withColumnRenamed("id", "rep"), "rep", "left").select("seq", "rep", F.coalesce("class", "rep").alias("class_rep"))
+    if counting:
+        counts = _link_counts(staged(classes, "near-components"), bags, similar).withColumnRenamed("id", "rep")
+        of_rep = of_rep.join(counts, "rep", "left").select("seq", "class_rep", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    else:
+        of_rep = of_rep.select("seq", "class_rep", F.lit(None).cast("long").alias("n_links"))
     return _members(features.select("doc_id", "seq").distinct(), staged(of_rep, "near-classes"))
 
 
@@ -277,17 +291,21 @@ def _signatures_of(features: DataFrame, ids: DataFrame) -> DataFrame:
     return staged(_only(features.select("doc_id", "sig"), "doc_id", ids).dropDuplicates(["doc_id"]), "near-sigs")
 
 
-def _linked(pairs: DataFrame, features: DataFrame, docs: DataFrame, text: str, doc_id: str, similar: float) -> DataFrame:
-    """Those of the pairs (a, b) that are similar: signatures first, then exactly."""
+def _linked(pairs: DataFrame, features: DataFrame, docs: DataFrame, text: str, doc_id: str, similar: float) -> tuple[DataFrame, DataFrame]:
+    """Those of the pairs (a, b) that are similar: signatures first, then exactly; and the bags read for it."""
     sig = _signatures_of(features, _named(pairs))
     a = sig.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a"))
     b = sig.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b"))
     plausible = staged(_plausible(pairs.join(a, "a").join(b, "b").select("a", "sig_a", "b", "sig_b")), "near-pairs")
-    return staged(_verified(plausible, docs, text, doc_id, similar), "near-links")
+    bags = _bags(docs, _named(plausible), text, doc_id)
+    return staged(_verified(plausible, bags, similar), "near-links"), bags
 
 
-def _completed(members: DataFrame, lead: DataFrame, links: DataFrame, features: DataFrame, docs: DataFrame, text: str, doc_id: str, similar: float) -> DataFrame:
-    """Links that connect what links connect and what links between members of one bucket in different classes connect.
+def _completed(
+    members: DataFrame, lead: DataFrame, links: DataFrame, bags: DataFrame, features: DataFrame, docs: DataFrame, text: str, doc_id: str, similar: float
+) -> tuple[DataFrame, DataFrame]:
+    """Links that connect what links connect and what links between members of one bucket in different classes connect;
+    and bags with those of all documents that these links name.
 
     A class is a component of links. A member outside its leader's class meets the bucket's members of other classes;
     members inside need not meet each other, as they are connected already. Two documents meet in the first bucket that
@@ -301,10 +319,12 @@ def _completed(members: DataFrame, lead: DataFrame, links: DataFrame, features:
     sizes = tagged.groupBy("band").agg(F.count(F.lit(1)).alias("n_all"), F.count_if("outside").alias("n_outside")).filter("n_outside > 0")
     sizes = staged(sizes, "near-open")
     if sizes.isEmpty():
-        return known
+        return known, bags
     crowd = staged(tagged.join(sizes, "band").select("band", "slot", "doc_id", "class", "outside", "n_all", "n_outside"), "near-crowds")
     ids = staged(crowd.select(F.col("doc_id").alias("id")).distinct(), "near-ids")
-    return known.unionByName(_met_in_blocks(crowd, _signatures_of(features, ids), _bags(docs, ids, text, doc_id), similar))
+    unread = staged(ids.join(bags.select("id"), "id", "left_anti"), "near-unread")
+    bags = bags.unionByName(_bags(docs, unread, text, doc_id))
+    return known.unionByName(_met_in_blocks(crowd, _signatures_of(features, ids), bags, similar)), bags
 
 
 def _unrepeated(own: np.ndarray) -> np.ndarray:
@@ -363,21 +383,71 @@ def _met_in_blocks(crowd: DataFrame, sig: DataFrame, bags: DataFrame, similar: f
     return staged(met.distinct(), "near-met")
 
 
+def links_of(bags: list[np.ndarray], side: np.ndarray, cross: bool, similar: float) -> np.ndarray:
+    """How many of the other bags each one is similar to: those of its own side, or, if cross, those of the other.
+
+    bags: sorted shingles with repeats. They are compared in order of size, each with those of at most 1 / similar its size.
+    """
+    sizes = np.array([len(b) for b in bags])
+    order = np.argsort(sizes, kind="stable")
+    n, side, links = sizes[order], side[order], np.zeros(len(bags), np.int64)
+    vocabulary, flat = np.unique(np.concatenate([_unrepeated(bags[k]) for k in order]), return_inverse=True)
+    bounds = np.r_[0, np.cumsum(n)]
+    most = np.searchsorted(n, np.floor(n / similar + 1e-9), "right")
+    has = np.zeros(len(vocabulary), bool)
+    for i in np.flatnonzero(most > np.arange(len(n)) + 1).tolist():
+        mine, end = flat[bounds[i] : bounds[i + 1]], int(most[i])
+        has[mine] = True
+        common = np.add.reduceat(has[flat[bounds[i + 1] : bounds[end]]], bounds[i + 1 : end] - bounds[i + 1], dtype=np.int64)
+        has[mine] = False
+        near = (common >= similar * (n[i] + n[i + 1 : end] - common) - 1e-9) & ((side[i + 1 : end] != side[i]) == cross)
+        links[order[i]] += np.count_nonzero(near)
+        links[order[i + 1 : end][near]] += 1
+    return links
+
+
+def _link_counts(classes: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
+    """(id, n_links) of the documents of classes (id, class) that are similar to others of their class.
+
+    A class is dealt over pairs of blocks, so that a large one is spread over as many tasks as it has pairs.
+    """
+    own = staged(classes.join(bags, "id").select("id", "class", F.length("own").alias("bytes")), "near-sizes")
+    sizes = own.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    sizes = staged(sizes.select("class", F.ceil(F.greatest(F.col("n") / LINK_BLOCK, F.col("bytes") / LINK_BYTES)).alias("blocks")), "near-class-blocks")
+    total = own.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    packs = 1 + max(total[0] // (4 * LINK_BLOCK), (total[1] or 0) // LINK_BYTES)
+    full = own.drop("bytes").join(sizes, "class").join(bags, "id").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+    full = full.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    pack = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("class"), F.lit(packs))).otherwise(F.xxhash64("class"))
+    full = full.select(pack.alias("pack"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "class", "block", "id", "own")
+
+    def count(at: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, members in rows.groupby("class", sort=False):
+            own = [np.frombuffer(b, np.uint32) for b in members["own"]]
+            out.append(pd.DataFrame({"id": members["id"], "links": links_of(own, members["block"].to_numpy(), at[1] != at[2], similar)}))
+        found = pd.concat(out)
+        return found[found["links"] > 0]
+
+    counted_ = full.groupBy("pack", "low", "high").applyInPandas(trimmed_group(count), "id long, links long")
+    return staged(counted_.groupBy("id").agg(F.sum("links").alias("n_links")), "near-link-counts")
+
+
 def _members(ids: DataFrame, of_rep: DataFrame) -> DataFrame:
-    """Every document with its class; the documents of hot token sequences get theirs by broadcast."""
+    """Every document with its class and links; the documents of hot token sequences get theirs by broadcast."""
     ids = staged(ids, "near-docs")
     total = ids.count()
     sizes = staged(ids.filter("seq is not null").groupBy("seq").agg(F.count(F.lit(1)).alias("n")), "near-sizes")
     full = of_rep.join(sizes, "seq")
     size = staged(full.groupBy("class_rep").agg(F.sum("n").alias("class_size")), "near-class-sizes")
-    full = staged(full.join(size, "class_rep"), "near-full").select(F.col("seq").alias("__seq"), F.col("class_rep").alias("class_id"), "class_size", "n")
+    full = staged(full.join(size, "class_rep"), "near-full").select(F.col("seq").alias("__seq"), F.col("class_rep").alias("class_id"), "class_size", "n_links", "n")
     hot_size = max(2, total // 1000)
     hot, cold = full.filter(F.col("n") >= hot_size), full.filter(F.col("n") < hot_size)  # at most 1000 hot rows
-    pick = ["doc_id", "class_id", "class_size"]
+    pick = ["doc_id", "class_id", "class_size", "n_links"]
     marked = ids.join(F.broadcast(hot), F.col("seq") == F.col("__seq"), "left")
     rest = marked.filter("class_id is null").select("doc_id", "seq")
     joined = rest.filter("seq is not null").join(cold, F.col("seq") == F.col("__seq")).select(*pick)
-    alone = rest.filter("seq is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
+    alone = rest.filter("seq is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("n_links"))
     return marked.filter("class_id is not null").select(*pick).unionByName(joined).unionByName(alone)
 
 
@@ -386,7 +456,7 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", simi
 
     Rows with a null doc_id pass; of rows that repeat a doc_id all stay or all go.
     """
-    gone = near_duplicates(docs, text, doc_id, similar).filter("doc_id <> class_id").select(F.col("doc_id").alias("__gone"))
+    gone = _classes(docs, text, doc_id, similar, False).filter("doc_id <> class_id").select(F.col("doc_id").alias("__gone"))
     return docs.join(gone, F.col(doc_id) == F.col("__gone"), "left_anti")
 
 

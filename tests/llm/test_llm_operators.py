@@ -92,7 +92,11 @@ def test_exact_dedup_with_a_filter_beyond_broadcast(spark, odd, monkeypatch):
     assert exact_dedup.filter_bits(1 << 30) == 1 << 34
 
 
-def test_near_duplicates_against_brute_force(spark):
+@pytest.mark.parametrize("block, size", [(512, 1 << 23), (50, 1 << 23), (512, 20_000)])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, block, size):
+    """Classes and numbers of links, with the crowded class in one task and dealt over blocks by rows or by bytes."""
+    monkeypatch.setattr(minhash, "LINK_BLOCK", block)
+    monkeypatch.setattr(minhash, "LINK_BYTES", size)
     r = random.Random(5)
     data, base = [], [w for w in prose(10, 150).split()]
     for k in range(160):  # one crowded group whose copies differ from each other more than from the original
@@ -102,7 +106,7 @@ def test_near_duplicates_against_brute_force(spark):
         data.append((k, " ".join(own)))
     data += [(1000 + k, prose(k + 50, r.choice([1, 3, 5, 40]))) for k in range(40)]
     data += [(2000 + k, data[k][1].upper()) for k in range(0, 160, 7)] + [(3000, None), (3001, ""), (3002, "")]
-    got = {x["doc_id"]: (x["class_id"], x["class_size"]) for x in minhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()}
+    got = {x["doc_id"]: (x["class_id"], x["class_size"], x["n_links"]) for x in minhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()}
     bags = {}
     for d, t in data:
         w = (t or "").lower().split()
@@ -114,12 +118,26 @@ def test_near_duplicates_against_brute_force(spark):
             x = root[x]
         return x
 
+    same = {d: min((e for e in bags if bags[e] == bags[d]), default=d) if bags[d] else d for d in bags}
+    linked = collections.defaultdict(set)
     for a, b in itertools.combinations(bags, 2):
         if bags[a] and bags[b] and 5 * sum((bags[a] & bags[b]).values()) >= 4 * sum((bags[a] | bags[b]).values()):
             x, y = sorted((find(a), find(b)))
             root[y] = x
+            if same[a] != same[b]:
+                linked[a].add(same[b])
+                linked[b].add(same[a])
     sizes = collections.Counter(map(find, bags))
-    assert got == {d: (find(d), sizes[find(d)]) for d in bags}
+    assert sum(map(len, linked.values())) > 1000  # the fixture has many links, not all of a class
+    assert got == {d: (find(d), sizes[find(d)], len(linked[d])) for d in bags}
+
+
+def test_links_of_by_hand():
+    own = [np.array(x, np.uint32) for x in ([1, 2, 3, 4, 5], [1, 2, 3, 4], [1, 1, 2, 3, 4], [7], [1, 2, 3, 4, 5], [7, 7])]
+    side = np.array([0, 0, 1, 1, 0, 0])
+    assert minhash.links_of(own, np.zeros(6, int), False, 0.8).tolist() == [2, 3, 1, 0, 2, 0]
+    assert minhash.links_of(own, side, True, 0.8).tolist() == [0, 1, 1, 0, 0, 0]
+    assert minhash.links_of(own, side, False, 0.8).tolist() == [2, 2, 0, 0, 2, 0]
 
 
 def test_near_dedup_rows(odd, empty):
