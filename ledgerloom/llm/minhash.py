@@ -40,7 +40,9 @@ BROADCAST_IDS = 1_000_000
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 128
 #: Texts of a class whose links one task counts with as many others, and the bytes of their shingles.
-LINK_BLOCK, LINK_BYTES = 512, 1 << 23
+LINK_BLOCK, LINK_BYTES = 1024, 1 << 23
+#: Shingles of one matrix product.
+WIDTH = 4096
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -386,23 +388,31 @@ def _met_in_blocks(crowd: DataFrame, sig: DataFrame, bags: DataFrame, similar: f
 def links_of(bags: list[np.ndarray], side: np.ndarray, cross: bool, similar: float) -> np.ndarray:
     """How many of the other bags each one is similar to: those of its own side, or, if cross, those of the other.
 
-    bags: sorted shingles with repeats. They are compared in order of size, each with those of at most 1 / similar its size.
+    bags: sorted shingles with repeats. What two of them have in common is counted by products of 0/1 matrices over the
+    shingles that several bags hold, WIDTH shingles at a time.
     """
-    sizes = np.array([len(b) for b in bags])
-    order = np.argsort(sizes, kind="stable")
-    n, side, links = sizes[order], side[order], np.zeros(len(bags), np.int64)
-    vocabulary, flat = np.unique(np.concatenate([_unrepeated(bags[k]) for k in order]), return_inverse=True)
-    bounds = np.r_[0, np.cumsum(n)]
-    most = np.searchsorted(n, np.floor(n / similar + 1e-9), "right")
-    has = np.zeros(len(vocabulary), bool)
-    for i in np.flatnonzero(most > np.arange(len(n)) + 1).tolist():
-        mine, end = flat[bounds[i] : bounds[i + 1]], int(most[i])
-        has[mine] = True
-        common = np.add.reduceat(has[flat[bounds[i + 1] : bounds[end]]], bounds[i + 1 : end] - bounds[i + 1], dtype=np.int64)
-        has[mine] = False
-        near = (common >= similar * (n[i] + n[i + 1 : end] - common) - 1e-9) & ((side[i + 1 : end] != side[i]) == cross)
-        links[order[i]] += np.count_nonzero(near)
-        links[order[i + 1 : end][near]] += 1
+    n, links = np.array([len(b) for b in bags]), np.zeros(len(bags), np.int64)
+    _, column, times = np.unique(np.concatenate([_unrepeated(b) for b in bags]), return_inverse=True, return_counts=True)
+    several = times > 1
+    held = several[column]
+    row, column = np.repeat(np.arange(len(n)), n)[held], (np.cumsum(several) - 1)[column[held]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    left = np.flatnonzero(side == side.min()) if cross else np.arange(len(n))
+    right = np.flatnonzero(side != side.min()) if cross else left
+    common = np.zeros((len(left), len(right)))
+    for low in range(0, int(several.sum()), WIDTH):
+        start, end = np.searchsorted(column, [low, low + WIDTH])
+        dense = np.zeros((len(n), min(WIDTH, int(several.sum()) - low)), np.float32)
+        dense[row[start:end], column[start:end] - low] = 1
+        common += dense[left] @ dense[right].T if cross else dense @ dense.T
+    near = common >= similar * (n[left][:, None] + n[right] - common) - 1e-9
+    if cross:
+        links[right] = near.sum(axis=0)
+    else:
+        near &= side[:, None] == side
+        np.fill_diagonal(near, False)
+    links[left] = near.sum(axis=1)
     return links
 
 
