@@ -2,9 +2,10 @@
 
 Name changes are walked backwards from a security's last symbol. A step's outcome depends only on the name change that
 was taken (its old symbol is the next cursor, its date the next boundary), so the default step of every such state is found
-once, by one sorted pass over states and changes of each symbol. A security's own steps, into symbols that it holds itself,
-are break points in this forest. Walks are read off by pointer doubling: each round doubles the number of steps that every
-walk knows, so their number grows with the logarithm of the longest chain.
+once, by one sorted pass over states and changes of each symbol; states are numbers, and symbols and dates are looked up for
+the walks alone. A security's own steps, into symbols that it holds itself, are break points in this forest. Walks are read
+off by pointer doubling: each round doubles the number of steps that every walk knows, so their number grows with the
+logarithm of the longest chain.
 """
 
 from __future__ import annotations
@@ -31,8 +32,9 @@ def one_per_event(changes: DataFrame) -> DataFrame:
 
 
 def _states(changes: DataFrame, snapshot: dt.date) -> DataFrame:
-    """Changes that may be walked, each with a number: (event, old, new, day), ordered by date and id as they are preferred."""
-    return changes.filter(F.col("process_date") < F.date_add(F.lit(snapshot), 1)).select(F.coalesce("event_id", F.lit("")).alias("event"), F.col("old_symbol").alias("old"), F.col("new_symbol").alias("new"), F.col("process_date").alias("day"))
+    """Changes that may be walked (id, event, old, new, day). The number of a change also names the state after it."""
+    known = changes.filter(F.col("process_date") < F.date_add(F.lit(snapshot), 1))
+    return known.select(F.monotonically_increasing_id().alias("id"), F.coalesce("event_id", F.lit("")).alias("event"), F.col("old_symbol").alias("old"), F.col("new_symbol").alias("new"), F.col("process_date").alias("day"))
 
 
 def terminals(master: DataFrame) -> DataFrame:
@@ -42,40 +44,41 @@ def terminals(master: DataFrame) -> DataFrame:
 
 
 def default_steps(events: DataFrame, roots: DataFrame) -> DataFrame:
-    """(cursor, boundary, old, day): of every state the latest change into its cursor before its boundary, ties by event id.
+    """(node, next): of every state the latest change into its cursor before its boundary, ties by event id and old symbol.
 
-    States are the roots (cursor, boundary) and each change's (old, day). States and changes of a symbol are sorted
-    together by day, a state before the changes of its own day, and each state takes the last change above it.
+    States are the roots (node, cursor, boundary) and each change's old symbol and day. States and changes of a symbol are
+    sorted together by day, a state before the changes of its own day, and each state takes the last change above it.
     """
-    states = roots.select("cursor", "boundary").unionByName(events.select(F.col("old").alias("cursor"), F.col("day").alias("boundary"))).distinct()
-    first = F.min(F.struct("event", "old")).alias("e")
-    changes = events.groupBy(F.col("new").alias("cursor"), "day").agg(first).select("cursor", "day", F.lit(1).alias("kind"), F.struct("e.old", "day").alias("step"))
-    points = states.select("cursor", F.col("boundary").alias("day"), F.lit(0).alias("kind"), F.lit(None).cast("struct<old:string,day:date>").alias("step"))
-    order = Window.partitionBy("cursor").orderBy("day", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = changes.unionByName(points).withColumn("last", F.last("step", ignorenulls=True).over(order))
-    return seen.filter("kind = 0 and last is not null").select("cursor", F.col("day").alias("boundary"), "last.old", "last.day")
+    none = F.lit(None).cast("string")
+    changes = events.select(F.col("new").alias("cursor"), "day", F.lit(1).alias("kind"), "event", "old", F.col("id").alias("node"))
+    after = events.select(F.col("old").alias("cursor"), "day", F.lit(0).alias("kind"), none.alias("event"), none.alias("old"), F.col("id").alias("node"))
+    first = roots.select("cursor", F.col("boundary").alias("day"), F.lit(0).alias("kind"), none.alias("event"), none.alias("old"), "node")
+    order = Window.partitionBy("cursor").orderBy("day", "kind", F.desc("event"), F.desc("old")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = changes.unionByName(after).unionByName(first).withColumn("next", F.last(F.when(F.col("kind") == 1, F.col("node")), ignorenulls=True).over(order))
+    return seen.filter("kind = 0 and next is not null").select("node", "next")
 
 
 def own_steps(events: DataFrame, master: DataFrame) -> DataFrame:
-    """(security_id, cursor, p_old, p_day, p_until): the change that a security prefers at a cursor.
+    """(security_id, cursor, p_id, p_day, p_until): the change that a security prefers at a cursor.
 
     It is the only earlier change into the cursor from a symbol of the same security, and so the first of these; it is
     the only one for boundaries after its own day and up to the day of the next one (p_until; null: whenever later).
     """
     own = master.select("security_id", F.col("symbol").alias("old")).distinct()
-    order = Window.partitionBy("security_id", "new").orderBy("day", "event", "old")
+    order = Window.partitionBy("security_id", "new").orderBy("day", "event", "old", "id")
     each = events.join(own, "old").withColumns({"n": F.row_number().over(order), "p_until": F.lead("day").over(order)})
     first = each.filter("n = 1 and (p_until is null or p_until > day)")
-    return first.select("security_id", F.col("new").alias("cursor"), F.col("old").alias("p_old"), F.col("day").alias("p_day"), "p_until")
+    return first.select("security_id", F.col("new").alias("cursor"), F.col("id").alias("p_id"), F.col("day").alias("p_day"), "p_until")
 
 
-def reached(starts: DataFrame, steps: DataFrame, name: str) -> DataFrame:
-    """(start, node, depth): every node on the way from each start (node), with its distance, along steps (node, next).
+def reached(starts: DataFrame, steps: DataFrame, name: str) -> tuple[DataFrame, list[DataFrame]]:
+    """(start, node, depth): every node on the way from each start (start, node), with its distance, along steps (node, next).
 
-    Pointer doubling: a round appends as many steps as are known so far, and squares the jumps.
+    Pointer doubling: a round appends as many steps as are known so far, and squares the jumps. The jumps of 1, 2, 4 ...
+    steps come with it.
     """
-    known = written(starts.select(F.col("node").alias("start"), "node", F.lit(0).alias("depth")), f"{name}-reached")
-    jumps, width = steps, 1
+    known = starts.select("start", "node", F.lit(0).alias("depth"))
+    jumps, width, levels = steps, 1, [steps]
     while True:
         # both halves of a round in one job: they read the same jumps
         far = jumps.select(F.col("node").alias("at"), F.col("next").alias("then"))
@@ -84,68 +87,99 @@ def reached(starts: DataFrame, steps: DataFrame, name: str) -> DataFrame:
         both = written(more.unionByName(wide), f"{name}-round")
         more, jumps = both.filter("depth is not null").drop("next"), both.filter("depth is null").select("node", "next")
         if more.isEmpty():
-            return known
+            return known, levels
         known = known.unionByName(more)
+        levels.append(jumps)
         width *= 2
 
 
+def _all_after(begins: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(security_id, node): the nodes begins and all behind them, by the jumps that have been squared already."""
+    found = begins
+    for jumps in levels:
+        found = found.join(jumps, "node", "left").select("security_id", F.explode(F.array_compact(F.array("node", "next"))).alias("node"))
+    return found.distinct()
+
+
+def _with_place(nodes: DataFrame, events: DataFrame) -> DataFrame:
+    """nodes behind the first ones, with the cursor and the boundary of the state that each names."""
+    return nodes.join(events.select(F.col("id").alias("node"), F.col("old").alias("cursor"), F.col("day").alias("boundary")), "node")
+
+
+def walks(master: DataFrame, changes: DataFrame, snapshot: dt.date) -> tuple[DataFrame, DataFrame]:
+    """(start, security_id), and each start's walk (start, step, cursor, old, day), dealt by start.
+
+    Securities with one terminal share a start. Only those whose default walk comes by a step of their own (mostly none)
+    have a start each: they are walked again, over the states that they can be in, each with its own next step.
+    """
+    events = written(_states(changes, snapshot), "walk-events")
+    end, last_day = terminals(master).select("security_id", F.col("terminal").alias("cursor")), F.date_add(F.lit(snapshot), 1)
+    roots = written(end.select("cursor").distinct().select("cursor", (-1 - F.monotonically_increasing_id()).alias("node"), last_day.alias("boundary")), "walk-roots")
+    rooted = end.join(roots.select("cursor", "node"), F.equal_null(end["cursor"], roots["cursor"])).select("security_id", "node")
+    default = written(default_steps(events, roots), "walk-default")
+    forest, levels = reached(roots.select(F.col("node").alias("start"), "node"), default, "walk")
+    first = roots.select(F.col("node").alias("start"), F.lit(0).alias("depth"), "cursor", "boundary")
+    nodes = _with_place(forest.filter("depth > 0"), events).select("start", "depth", "cursor", "boundary").unionByName(first)
+    # which walks come to a symbol that was renamed from one of the security's own; equal hashes only add walks
+    meets = events.select("old", "new").distinct().join(master.select("security_id", F.col("symbol").alias("old")).distinct(), "old").join(rooted, "security_id").select("security_id", F.xxhash64("node", "new").alias("place"))
+    breaks = meets.join(nodes.select(F.xxhash64("start", "cursor").alias("place")), "place", "left_semi").select("security_id").distinct()
+    breaks = written(breaks.select("security_id", (-(1 << 62) - F.monotonically_increasing_id()).alias("mine")), "walk-breaks")
+    if breaks.isEmpty():
+        return rooted.withColumnRenamed("node", "start"), _until_seen(nodes)
+    own = written(own_steps(events, master.join(breaks, "security_id", "left_semi")), "walk-own")
+    turning = rooted.join(breaks, "security_id")
+    begins = turning.select("security_id", "node").unionByName(own.select("security_id", F.col("p_id").alias("node"))).distinct()
+    may_be = written(_all_after(begins, levels), "walk-may-be")
+    placed = _with_place(may_be, events).unionByName(may_be.join(roots, "node"))
+    p = own.select(F.col("security_id").alias("p_security"), F.col("cursor").alias("p_cursor"), "p_id", "p_day", "p_until")
+    fits = (F.col("security_id") == F.col("p_security")) & (F.col("cursor") == F.col("p_cursor")) & (F.col("p_day") < F.col("boundary")) & (F.col("p_until").isNull() | (F.col("boundary") <= F.col("p_until")))
+    of = lambda node: F.struct(F.col("security_id"), F.col(node).alias("node"))
+    chosen = placed.join(default, "node").join(p, fits, "left").withColumn("next", F.coalesce("p_id", "next")).select(of("node").alias("node"), of("next").alias("next"))
+    turned, _ = reached(turning.select(F.col("mine").alias("start"), of("node").alias("node")), written(chosen, "walk-chosen"), "walk-own")
+    turned = _with_place(turned.filter("depth > 0").select("start", F.col("node.node").alias("node"), "depth"), events)
+    again = turned.select("start", "depth", "cursor", "boundary").unionByName(turning.join(roots, "node").select(F.col("mine").alias("start"), F.lit(0).alias("depth"), "cursor", "boundary"))
+    starts = rooted.join(breaks, "security_id", "left").select(F.coalesce("mine", "node").alias("start"), "security_id")
+    return starts, _until_seen(nodes.unionByName(again))
+
+
 def chains(master: DataFrame, changes: DataFrame, snapshot: dt.date) -> DataFrame:
     """(security_id, step, cursor, old, day): the name changes on each security's way back, step from 1.
 
     At a cursor symbol the latest change into it before the boundary date is taken, unless exactly one such change
     comes from a symbol of the same security. A walk ends after a change into a symbol seen before or where no change is
-    left, however long it is: every step goes back in time. Walks without steps of their own are read off the forest of
-    default steps; the others from the states that they can be in, each with its own next step.
+    left, however long it is: every step goes back in time.
     """
-    events = written(_states(changes, snapshot), "walk-events")
-    state = lambda cursor, boundary: F.struct(F.col(cursor).alias("cursor"), F.col(boundary).alias("boundary"))
-    roots = terminals(master).select("security_id", F.col("terminal").alias("cursor"), F.date_add(F.lit(snapshot), 1).alias("boundary"))
-    own = written(own_steps(events, master), "walk-own")
-    default = written(default_steps(events, roots), "walk-default")
-    steps = default.select(state("cursor", "boundary").alias("node"), state("old", "day").alias("next"))
-    begins = roots.select("security_id", state("cursor", "boundary").alias("node"), F.lit(0).alias("mine")).unionByName(own.select("security_id", state("p_old", "p_day").alias("node"), F.lit(1).alias("mine")))
-    begins = written(begins.distinct(), "walk-begins")
-    forest = reached(begins.select("node").distinct(), steps, "walk")
-    # a security without own steps has one beginning, its root
-    held = begins.groupBy("security_id").agg(F.max("mine").alias("breaks"))
-    on_way = begins.join(held, "security_id").withColumnRenamed("node", "start").join(forest, "start")
-    plain = on_way.filter("breaks = 0").select("security_id", "node", "depth")
-    may_be = on_way.filter("breaks = 1").select("security_id", "node.cursor", "node.boundary").distinct()
-    p = own.select(F.col("security_id").alias("p_security"), F.col("cursor").alias("p_cursor"), "p_old", "p_day", "p_until")
-    fits = (F.col("security_id") == F.col("p_security")) & (F.col("cursor") == F.col("p_cursor")) & (F.col("p_day") < F.col("boundary")) & (F.col("p_until").isNull() | (F.col("boundary") <= F.col("p_until")))
-    chosen = may_be.join(default, ["cursor", "boundary"]).join(p, fits, "left").select("security_id", "cursor", "boundary", F.coalesce("p_old", "old").alias("old"), F.coalesce("p_day", "day").alias("day"))
-    chosen = written(chosen, "walk-chosen")
-    of = lambda cursor, boundary: F.struct(F.col("security_id"), F.col(cursor).alias("cursor"), F.col(boundary).alias("boundary"))
-    turning = roots.join(held.filter("breaks = 1"), "security_id", "left_semi").select(of("cursor", "boundary").alias("node"))
-    turned = reached(turning, chosen.select(of("cursor", "boundary").alias("node"), of("old", "day").alias("next")), "walk-own")
-    nodes = plain.select("security_id", "node.cursor", "node.boundary", "depth").unionByName(turned.select("node.security_id", "node.cursor", "node.boundary", "depth"))
-    return _until_seen(nodes)
+    starts, steps = walks(master, changes, snapshot)
+    return steps.join(starts, "start").select("security_id", "step", "cursor", "old", "day")
 
 
 def _until_seen(nodes: DataFrame) -> DataFrame:
-    """The steps between the states (security_id, cursor, boundary, depth) of walks, up to the first symbol met again."""
-    again = F.row_number().over(Window.partitionBy("security_id", "cursor").orderBy("depth")) > 1
-    walk = Window.partitionBy("security_id").orderBy("depth")
-    seen = nodes.withColumn("again", again).withColumns({"before": F.lag("cursor").over(walk), "met": F.coalesce(F.max("again").over(walk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))})
-    return seen.filter("depth > 0 and not met").select("security_id", F.col("depth").alias("step"), F.col("before").alias("cursor"), F.col("cursor").alias("old"), F.col("boundary").alias("day"))
+    """The steps between the states (start, depth, cursor, boundary) of walks, up to the first symbol met again."""
+    again = F.row_number().over(Window.partitionBy("start", "cursor").orderBy("depth")) > 1
+    walk = Window.partitionBy("start").orderBy("depth")
+    # one shuffle: symbols of a start, starts and what is joined to them are all dealt by the start
+    seen = nodes.repartition("start").withColumn("again", again).withColumns({"before": F.lag("cursor").over(walk), "met": F.coalesce(F.max("again").over(walk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))})
+    return seen.filter("depth > 0 and not met").select("start", F.col("depth").alias("step"), F.col("before").alias("cursor"), F.col("cursor").alias("old"), F.col("boundary").alias("day"))
 
 
 def symbol_episodes(master: DataFrame, changes: DataFrame, snapshot: dt.date, history_start: dt.date = S.HISTORY_START) -> DataFrame:
     """Dated episodes of every symbol of every security. changes: valid name changes, one per event id."""
     require_columns(master, "security_id symbol company_name active delisted_date is_price_coverage_eligible exclusion_reason symbol_identity_conflict share_class_figi composite_figi cik primary_exchange".split(), "security master")
     master = master.withColumn("symbol", X.symbol("symbol")).withColumn("delisted_date", F.col("delisted_date").cast("date"))
-    walk = chains(master, changes, snapshot)
+    starts, steps = walks(master, changes, snapshot)
     # each step dates the end of its old symbol and the start of its cursor; a symbol met twice keeps its deepest dates
     start = F.struct(F.col("cursor").alias("symbol"), F.col("day").alias("since"), F.lit(None).cast("date").alias("until"))
     stop = F.struct(F.col("old").alias("symbol"), F.lit(None).cast("date").alias("since"), F.date_sub("day", 1).alias("until"))
-    bounds = walk.select("security_id", "step", F.inline(F.array(start, stop)))
+    bounds = steps.select("start", "step", F.inline(F.array(start, stop)))
     deepest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("step")))
-    dated = written(bounds.groupBy("security_id", "symbol").agg(deepest("since").alias("chain_from"), deepest("until").alias("chain_to")), "episode-chains")
+    dated = bounds.groupBy("start", "symbol").agg(deepest("since").alias("chain_from"), deepest("until").alias("chain_to")).join(starts, "start").drop("start")
     end = terminals(master)
     rows = master.groupBy("security_id", "symbol").agg(
         F.max_by(F.struct("delisted_date", "is_price_coverage_eligible", "exclusion_reason", "symbol_identity_conflict", "composite_figi", "primary_exchange", "company_name", "share_class_figi", "cik"), F.struct("active", "delisted_date")).alias("own")
     )
-    frame = rows.join(dated, ["security_id", "symbol"], "full_outer")
+    # one shuffle by security, for its symbols, its representative and its neighbours
+    each = dated.unionByName(rows, allowMissingColumns=True).repartition("security_id")
+    frame = each.groupBy("security_id", "symbol").agg(F.max("chain_from").alias("chain_from"), F.max("chain_to").alias("chain_to"), F.first("own", ignorenulls=True).alias("own"))
     representative = rows.withColumnRenamed("symbol", "terminal").withColumnRenamed("own", "rep").join(end, ["security_id", "terminal"])
     frame = frame.join(representative, "security_id")
     current = F.when(F.col("is_single"), F.col("terminal"))

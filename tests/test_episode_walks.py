@@ -88,3 +88,23 @@ def test_repeats_combine_before_the_shuffle(spark):
     last = E.one_per_event(changes)
     assert "partial_max_by" in last._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, last.collect()), key=str) == sorted([("e", DAY, "A", "B"), (None, None, "A", "B")], key=str)
+
+
+def test_only_walks_with_a_step_of_their_own_are_walked_again(spark, monkeypatch):
+    """A rename away from a security's own symbol is off its way back: no state of it is listed for the security."""
+    changes = [(f"e{k}", DAY + dt.timedelta(k), f"N{k}", f"N{k + 1}") for k in range(6)]
+    master = [(f"s{k}", f"N{k}", True, None) for k in range(6)]
+    tables, write = [], E.written
+    monkeypatch.setattr(E, "written", lambda df, name: tables.append(name) or write(df, name))
+    got = E.chains(spark.createDataFrame(master, MASTER), spark.createDataFrame(changes, CHANGES), SNAP)
+    assert {r["security_id"]: r["count"] for r in got.groupBy("security_id").count().collect()} == {f"s{k}": k for k in range(1, 6)}
+    assert "walk-breaks" in tables and "walk-own" not in tables and len(tables) < 9
+
+
+def test_episodes_are_counted_in_one_pass(spark):
+    from ledgerloom.operators import metrics as M
+
+    e = spark.createDataFrame([("current", True, True, True), ("unresolved", False, True, False)], "episode_status string, is_current_symbol boolean, is_price_coverage_eligible boolean, is_episode_mapping_eligible boolean")
+    got = M.episode_counts(e, resolved_current_count="episode_status = 'current'")
+    assert got.select("unresolved_episode_count", "resolved_current_count").first() == (1, 1)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
