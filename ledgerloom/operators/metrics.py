@@ -82,7 +82,8 @@ def security_master_counts(master: DataFrame) -> DataFrame:
     return flag_counts(master, active_count="active", inactive_count="not active", price_coverage_eligible_count="is_price_coverage_eligible", identity_conflict_count="symbol_identity_conflict", known_reit_count="is_known_reit")
 
 
-def episode_counts(episodes: DataFrame) -> DataFrame:
+def episode_counts(episodes: DataFrame, **more: str) -> DataFrame:
+    """Counts of episodes, and of the further named conditions in the same pass."""
     return flag_counts(
         episodes,
         current_episode_count="is_current_symbol",
@@ -91,6 +92,7 @@ def episode_counts(episodes: DataFrame) -> DataFrame:
         ineligible_episode_count="not is_price_coverage_eligible",
         unmappable_episode_count="not is_episode_mapping_eligible",
         mapping_quarantine_episode_count="is_price_coverage_eligible and not is_episode_mapping_eligible",
+        **more,
     )
 
 

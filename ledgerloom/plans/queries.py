@@ -414,9 +414,8 @@ def symbol_episodes(spark: SparkSession, d: str) -> DataFrame:
     *_EPISODE_VIEWS,
 )
 def episode_counts(spark: SparkSession, d: str) -> DataFrame:
-    e = _episodes(spark, d)
-    more = M.flag_counts(e, resolved_current_count="episode_status = 'current'")
-    return M.episode_counts(e).select("unresolved_episode_count", "unmappable_episode_count", "mapping_quarantine_episode_count").crossJoin(more)
+    counts = M.episode_counts(_episodes(spark, d), resolved_current_count="episode_status = 'current'")
+    return counts.select("unresolved_episode_count", "unmappable_episode_count", "mapping_quarantine_episode_count", "resolved_current_count")
 
 
 @query("""
