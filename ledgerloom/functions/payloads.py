@@ -17,10 +17,20 @@ _OTHER_NUMBERS = r"[0-9][.eE]|[0-9]{18}|-0|NaN|Infinity"
 _OTHER_TEXT = "[\\\\\\x00-\\x1f\\x7f-\\x9f\\x{2028}\\x{2029}\\x{10000}-\\x{10FFFF}]"
 
 
+_ENCODER = json.JSONEncoder(sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+_DECODER = json.JSONDecoder()
+
+
 def canonical_text(text: str | None) -> str | None:
     """One payload; None if it is no JSON."""
+    if text is None:
+        return None
     try:
-        return None if text is None else json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+        try:
+            value, end = _DECODER.raw_decode(text)
+        except json.JSONDecodeError:
+            end = -1  # no JSON, or blanks before it
+        return _ENCODER.encode(value if end == len(text) else json.loads(text))
     except (ValueError, RecursionError):
         return None
 
@@ -36,8 +46,9 @@ def canonical_json(text: Column) -> Column:
 
     Payloads of plain strings, whole numbers, booleans and nulls are printed by built-in functions. The others, which
     those would spell otherwise (`1.0` as `1`), go through one Arrow batch function; it is handed nulls for all the rest.
+    Its result comes first, so that what it has spelled is not tried by built-in functions once more.
     """
     bare = F.regexp_replace(text, r'"[^"\\]*"', '""')
-    plain = ~text.rlike(_OTHER_TEXT) & ~bare.rlike(_OTHER_NUMBERS)
+    plain = ~bare.rlike(_OTHER_NUMBERS) & ~text.rlike(_OTHER_TEXT)
     quick = F.when(plain, F.to_json(F.try_parse_json(text)))
-    return F.coalesce(quick, _canonical(F.when(quick.isNull(), text)))
+    return F.coalesce(_canonical(F.when(quick.isNull(), text)), quick)

@@ -58,3 +58,13 @@ def test_action_rows_keep_fractions(spark):
     got = {x["pos"]: x["c"] for x in rows.withColumn("c", X.canonical_json("raw")).collect()}
     entries = json.loads(body)["corporate_actions"]["forward_splits"]
     assert got == {i: json.dumps(e, sort_keys=True, separators=(",", ":"), ensure_ascii=False) for i, e in enumerate(entries)}
+
+
+def test_what_python_has_spelled_is_not_tried_again(spark):
+    texts = [' {"b":1.50,"a":1}', '{"b":1.50,"a":1} ', '{"b":1.5}{}', '{"a":2,"a":1}', "1.0", "", None, '{"z":1,"a":"x"}', "[1", "[1.0"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", payloads.canonical_json(F.col("t")).alias("c"))
+    want = ['{"a":1,"b":1.5}', '{"a":1,"b":1.5}', None, '{"a":1}', "1.0", None, None, '{"a":"x","z":1}', None, None]
+    assert [r["c"] for r in df.collect()] == want
+    assert [payloads.canonical_text(t) for t in texts] == want
+    top = df._jdf.queryExecution().optimizedPlan().toString().split("\n")[0]
+    assert top.index("coalesce(pythonUDF") < top.index("parse_json")
