@@ -18,7 +18,7 @@ from ..operators import identity as I
 from ..operators import validate as V
 from ..sources import html_tables as H
 from ..sources import pages as P
-from ..sources.tables import bar_state, current, metadata, published, required_table, shared_dir
+from ..sources.tables import bar_state, current, metadata, published, required_table, shared_dir, written
 from . import publish as O
 from .fixtures import FLOOR, SNAPSHOT, table, view
 from .queries import _AUDIT_END, _CASES, _SAMPLE, _audit_master, _plain_with, query
@@ -337,20 +337,25 @@ _UPDATED = """
 
 
 def _updated(spark: SparkSession, d: str) -> tuple[str, list[str]]:
-    """Bars published in parts, then an update of some symbols from a date on; the folder, and the parts that stayed."""
+    """Bars published in parts, then an update of some symbols from a date on; the folder, and the parts that stayed.
+
+    As in the jobs, counts of parts and symbols make the metadata; what is computed is written down and read back.
+    """
     base = _folder(spark, "updated")
-    old = view(spark, d, "v_bars_raw").select("symbol", "date", "raw_close")
+    old = written(view(spark, d, "v_bars_raw").select("symbol", "date", "raw_close"), "updated-bars")
     part = O.part_of(_PARTS, F.col("date"), F.col("symbol"))
     full = lambda df: df.select("symbol", "date", "raw_close", F.col("raw_close").alias("split_adjusted_close"), F.col("symbol").alias("security_id"))
-    O.publish({"bars": (old, _PARTS, {}), "state": (B.symbol_state(full(old), part), _PRICES_STATE, {})}, base)
+    counts = lambda states: B.state_metrics(states).first().asDict()
+    states = written(B.symbol_state(full(old), part), "updated-states")
+    O.publish({"bars": (old, _PARTS, counts(states)), "state": (states, _PRICES_STATE, {})}, base)
     mine = "CAST(substr(symbol, 2) AS BIGINT) % 5 = 0"
-    plan = old.filter(mine).select("symbol").distinct().withColumn("start_date", F.lit(dt.date(2000, 1, 1)))
+    plan = written(old.filter(mine).select("symbol").distinct().withColumn("start_date", F.lit(dt.date(2000, 1, 1))), "updated-plan")
     fresh = old.filter(f"{mine} AND date >= DATE '2000-01-01'").withColumn("raw_close", F.col("raw_close") + 1)
     before = current(spark, base)["tables"]["bars"]["parts"]
     touched = O.touched_parts(plan, _PARTS, "symbol", "start_date", list(before))
-    rows = B.replaced(published(spark, base, "bars", parts=touched), fresh, plan)
-    states = published(spark, base, "state").filter(~F.col("part").isin(touched)).unionByName(B.symbol_state(full(rows), part))
-    done = O.publish({"bars": (rows, _PARTS, {}), "state": (states, _PRICES_STATE, {})}, base, {"bars": touched})
+    rows = written(B.replaced(published(spark, base, "bars", parts=touched), fresh, plan), "updated-rows")
+    states = written(published(spark, base, "state").filter(~F.col("part").isin(touched)).unionByName(B.symbol_state(full(rows), part)), "updated-states")
+    done = O.publish({"bars": (rows, _PARTS, counts(states)), "state": (states, _PRICES_STATE, {})}, base, {"bars": touched})
     return base, sorted(k for k, v in done["bars"]["parts"].items() if before.get(k) == v)
 
 
