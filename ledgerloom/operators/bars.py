@@ -142,20 +142,17 @@ def symbol_state(bars: DataFrame, part: Column) -> DataFrame:
     A key lies in one part, so states of parts add up: an update makes new ones for the parts it rewrites and keeps the
     others, and no history is read again.
     """
-    per_key = bars.groupBy(part.alias("part"), "symbol", "date").agg(
-        F.count(F.lit(1)).alias("n"),
+    # one shuffle for keys, and for the symbols of a part; a key's rows are numbered where they lie
+    key = Window.partitionBy("part", "symbol", "date")
+    rows = bars.select(part.alias("part"), "symbol", "date", "raw_close", "split_adjusted_close", "security_id").repartition("part", "symbol")
+    return rows.withColumn("n", F.count(F.lit(1)).over(key)).groupBy("part", "symbol").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("n") > 1).alias("repeated"),
         F.count_if(F.col("raw_close").isNull() | F.col("split_adjusted_close").isNull()).alias("missing"),
         F.count_if(F.abs(F.col("raw_close") - F.col("split_adjusted_close")) > DIFFERENCE).alias("differing"),
-        F.collect_set("security_id").alias("securities"),
-    )
-    return per_key.groupBy("part", "symbol").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("repeated"),
-        F.sum("missing").alias("missing"),
-        F.sum("differing").alias("differing"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("securities")))).alias("securities"),
+        F.array_sort(F.collect_set("security_id")).alias("securities"),
     )
 
 

@@ -139,3 +139,11 @@ def test_states_of_parts_add_up(spark, tmp_path):
         assert counts == B.bar_metrics(whole).first().asDict()
         about = O.state(whole, BARS, whole.columns)
         assert all(done["bars"]["metadata"][k] == v for k, v in about.items() if k != "generated_at_utc")
+
+
+def test_states_of_symbols_take_one_shuffle(spark):
+    """Repeated keys, missing prices and securities of a part and symbol, in one shuffle."""
+    data = [("A", dt.date(2020, 1, 1), 1.0, 1.0, "x"), ("A", dt.date(2020, 1, 1), 2.0, None, "y"), ("A", dt.date(2020, 1, 2), 3.0, 4.0, "x"), ("B", dt.date(2020, 1, 1), 1.0, 1.0, None)]
+    got = B.symbol_state(spark.createDataFrame(data, "symbol string, date date, raw_close double, split_adjusted_close double, security_id string"), F.date_format("date", "yyyy"))
+    assert sorted(map(tuple, got.select("symbol", "rows", "repeated", "missing", "differing", "securities").collect())) == [("A", 3, 2, 1, 1, ["x", "y"]), ("B", 1, 0, 0, 0, [])]
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
