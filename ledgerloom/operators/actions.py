@@ -114,9 +114,13 @@ def identified_actions(parsed: DataFrame, episodes: DataFrame, snapshot: dt.date
 
 
 def one_per_event(actions: DataFrame) -> DataFrame:
-    """Of each event id the last by process date and type; on a tie the one landed last. Repeats combine before they are shuffled."""
+    """Of each event id the last by process date and type; on a tie the one landed last. Repeats combine before they are shuffled.
+
+    The row is one struct that begins with the columns it is compared by, so that none is held twice.
+    """
     landed = [c for c in ("page_no", "pos") if c in actions.columns]
-    row = F.max_by(F.struct(*[c for c in actions.columns if c != "provider_event_id"]), F.struct("process_date", "action_type", *landed, "raw_payload_sha256")).alias("row")
+    first = ["process_date", "action_type", *landed, "raw_payload_sha256"]
+    row = F.max(F.struct(*first, *[c for c in actions.columns if c not in ("provider_event_id", *first)])).alias("row")
     return actions.groupBy("provider_event_id").agg(row).select("provider_event_id", "row.*").select(*actions.columns)
 
 

@@ -7,11 +7,14 @@ later (a date leads the name).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import scalars as X
+from .tables import store
 
 # The provider's collections of corporate actions and the type each holds.
 ACTION_TYPES = {
@@ -34,15 +37,32 @@ ACTION_TYPES = {
 }
 
 
+#: What one task parses: text of so many bytes. Compressed files are taken to hold PACKED times their length.
+TASK_BYTES, PACKED = 16 << 20, 16
+
+
+def _tasks(spark: SparkSession, path: str) -> int:
+    """How many tasks the lines under path are dealt to, by the lengths of its files; 1: they are so few that they stay."""
+    fs, at = store(spark, path)
+    found = fs.globStatus(at)
+    length = sum(fs.getContentSummary(f.getPath()).getLength() for f in found or [])
+    text = length * (PACKED if re.search(r"\.(gz|bz2|zst|lz4|snappy|deflate)(/|\*|$)", " ".join([path, *[f.getPath().toString() for f in found or []]])) else 1)
+    return 1 if text <= TASK_BYTES else max(-(-text // TASK_BYTES), spark.sparkContext.defaultParallelism)
+
+
 def landed_pages(spark: SparkSession, path: str) -> DataFrame:
     """(file, page_no, body) of the JSON lines under path, compressed or not; blank lines are skipped.
 
     page_no is ordered by file name, then by the place in the file, however Spark packs or splits files into tasks: the
-    lines of one block of a file are read by one task in their order.
+    lines of one block of a file are read by one task in their order. A compressed file is read by one task whatever its
+    length, and Spark packs several into one; so numbered lines are dealt out to tasks that grow in number, not in size,
+    before they are parsed.
     """
     at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
     lines = spark.read.text(path).select(at.alias("page_no"), F.col("value").alias("body"))
-    return lines.filter(F.length(F.trim("body")) > 0).select("page_no.file", "page_no", "body")
+    lines = lines.filter(F.length(F.trim("body")) > 0)
+    tasks = _tasks(spark, path)
+    return (lines.repartition(tasks, "page_no") if tasks > 1 else lines).select("page_no.file", "page_no", "body")
 
 
 def _checked(condition: Column, message: Column | str) -> Column:
