@@ -41,15 +41,17 @@ def _landed(spark: SparkSession, runs: dict[str, DataFrame]) -> DataFrame:
 
 @query("SELECT symbol, date, raw_close + CASE WHEN CAST(substr(symbol, 2) AS BIGINT) % 7 = 0 THEN 2 ELSE 1 END AS raw_close FROM v_bars_raw", "v_bars_raw")
 def landed_bars(spark: SparkSession, d: str) -> DataFrame:
-    """A small run, a whole one that replaces it, and a small one that replaces a part again."""
-    bars = view(spark, d, "v_bars_raw").withColumn("k", F.expr("CAST(substr(symbol, 2) AS BIGINT)"))
+    """A small run, a whole one that replaces it, and a small one that replaces a part again. The bars of a symbol are gathered once."""
+    bars = view(spark, d, "v_bars_raw").groupBy("symbol").agg(F.collect_list(F.struct("date", "raw_close")).alias("b"))
+    bars = written(bars, "bars-to-land").withColumn("k", F.expr("CAST(substr(symbol, 2) AS BIGINT)"))
 
     def pages(rows: DataFrame, more: int) -> DataFrame:
-        bar = F.struct(F.concat(F.col("date").cast("string"), F.lit("T05:00:00Z")).alias("t"), (F.col("raw_close") + more).alias("c"))
-        return rows.groupBy("symbol").agg(F.collect_list(bar).alias("b")).select(F.to_json(F.struct(F.create_map("symbol", "b").alias("bars"))).alias("body"))
+        bar = lambda b: F.struct(F.concat(b["date"].cast("string"), F.lit("T05:00:00Z")).alias("t"), (b["raw_close"] + more).alias("c"))
+        return rows.select(F.to_json(F.struct(F.create_map("symbol", F.transform("b", bar)).alias("bars"))).alias("body"))
 
     runs = {"2001-01-01": pages(bars.filter("k % 5 = 0"), 0), "2001-01-02": pages(bars, 1), "2001-01-03": pages(bars.filter("k % 7 = 0"), 2)}
-    return B.one_bar_per_day(P.bar_rows(_landed(spark, runs), "raw")).select("symbol", "date", "raw_close")
+    rows = P.bar_rows(_landed(spark, runs), "raw").select("page_no", "pos", "symbol", "date", "raw_close")
+    return B.one_bar_per_day(rows).select("symbol", "date", "raw_close")
 
 
 @query("SELECT 'share_class_figi:F' || CAST(p_partkey AS VARCHAR) AS security_id, 'P' || CAST(p_partkey AS VARCHAR) AS symbol, CASE WHEN p_partkey % 11 = 0 THEN 'last ' ELSE 'second ' END || p_name AS company_name FROM part")

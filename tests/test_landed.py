@@ -1,8 +1,10 @@
 """Landed files: what a task reads, parses and sorts stays small, whatever the length of a file."""
 
+import datetime as dt
 import gzip
 import json
 
+from ledgerloom.plans import landed_queries as L
 from ledgerloom.sources import pages as P
 
 
@@ -14,3 +16,18 @@ def test_lines_of_one_packed_file_are_dealt_to_many_tasks(spark, tmp_path, monke
     pages = P.landed_pages(spark, f"{tmp_path}/*")
     assert pages.rdd.getNumPartitions() >= 8 and max(pages.rdd.glom().map(len).collect()) < 500
     assert [json.loads(r["body"])["n"] for r in pages.orderBy("page_no").collect()] == list(range(2000))
+
+
+def test_bars_to_land_are_computed_once(spark, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+    bars = [(f"P{k}", dt.date(2001, 1, 1 + n), k + n / 4) for k in range(1, 36) for n in range(3)]
+
+    def counted(bar):
+        read.add(1)
+        return bar
+
+    rows = spark.createDataFrame(spark.sparkContext.parallelize(bars, 2).map(counted), "symbol string, date date, raw_close double")
+    monkeypatch.setattr(L, "view", lambda *_: rows)
+    got = sorted(tuple(r) for r in L.landed_bars(spark, "").collect())
+    assert got == sorted((s, d, c + (2 if int(s[1:]) % 7 == 0 else 1)) for s, d, c in bars)
+    assert read.value == len(bars)
