@@ -100,38 +100,48 @@ def matched_identity(events: DataFrame, episodes: DataFrame, symbol: str, day: s
     return _with_identity(events, _identities(_asked(events, (symbol, day)), episodes), symbol, day, security, status)
 
 
-def identified_actions(parsed: DataFrame, episodes: DataFrame, snapshot: dt.date) -> DataFrame:
-    """Parsed actions with both identities: the primary on its match date, the related on the event date.
+def identified_actions(events: DataFrame, episodes: DataFrame, snapshot: dt.date) -> DataFrame:
+    """Events, one row an id, with both identities: the primary on its match date, the related on the event date.
 
-    What both sides ask for is looked up together and written down, as two joins read it.
+    What both sides ask for is looked up together. Only ids, symbols and days are sent to the look-up, and what each id has
+    found is written down; whole rows move once, to that.
     """
-    dated = parsed.withColumn("match_date", X.match_date("action_type", "event_date"))
+    dated = events.withColumn("match_date", X.match_date("action_type", "event_date"))
     primary, related = ("primary_symbol", "match_date"), ("related_symbol", "event_date")
-    found = written(_identities(_asked(dated, primary, related), episodes), "action-identities")
-    one = _with_identity(dated, found, *primary, "security_id", "identity_match_status")
-    two = _with_identity(one, found, *related, "related_security_id", "related_identity_match_status")
-    return two.withColumn("snapshot_date", F.lit(snapshot))
+    sides = F.array(*[F.struct(F.lit(own).alias("__own"), F.col(s).alias("__asked"), F.col(d).alias("__on")) for own, (s, d) in ((True, primary), (False, related))])
+    asked = dated.select("provider_event_id", F.inline(sides)).filter("__asked is not null and __asked <> ''")
+    met = _with_identity(asked, _identities(_asked(dated, primary, related), episodes), "__asked", "__on", "__security", "__status")
+    names = {"security_id": ("__own", "__security"), "identity_match_status": ("__own", "__status"), "related_security_id": ("not __own", "__security"), "related_identity_match_status": ("not __own", "__status")}
+    each = met.groupBy("provider_event_id").agg(*[F.max(F.when(F.expr(side), F.col(c))).alias(name) for name, (side, c) in names.items()])
+    out = dated.join(written(each, "action-identities"), "provider_event_id", "left").withColumn("snapshot_date", F.lit(snapshot))
+    return out.withColumns({c: F.coalesce(c, F.lit("not_applicable")) for c in ("identity_match_status", "related_identity_match_status")})
 
 
-def one_per_event(actions: DataFrame) -> DataFrame:
+def one_per_event(actions: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
     """Of each event id the last by process date and type; on a tie the one landed last. Repeats combine before they are shuffled.
 
-    The row is one struct that begins with the columns it is compared by, so that none is held twice.
+    The row is one struct that begins with the columns it is compared by, so that none is held twice. more: aggregates over
+    all rows of an id, as further columns.
     """
     landed = [c for c in ("page_no", "pos") if c in actions.columns]
     first = ["process_date", "action_type", *landed, "raw_payload_sha256"]
     row = F.max(F.struct(*first, *[c for c in actions.columns if c not in ("provider_event_id", *first)])).alias("row")
-    return actions.groupBy("provider_event_id").agg(row).select("provider_event_id", "row.*").select(*actions.columns)
+    more = more or {}
+    found = actions.groupBy("provider_event_id").agg(row, *[c.alias(name) for name, c in more.items()])
+    return found.select("provider_event_id", "row.*", *more).select(*actions.columns, *more)
 
 
 def corporate_actions(rows: DataFrame, episodes: DataFrame, snapshot: dt.date) -> DataFrame:
     """The corporate-action table of landed action rows. Actions without id or process date fail.
 
-    The parsed rows are written down: checks, look-ups and the table itself read columns, not payloads.
+    Parsed rows are shuffled by id once, as they stream, and the last of each is written down: checks, look-ups and the
+    table itself read columns of those that stay. Hashes follow from payloads, so they are neither shuffled nor written.
     """
-    parsed = written(parsed_actions(rows), "actions-parsed")
-    require_action_keys(parsed)
-    out = identified_actions(one_per_event(parsed), episodes, snapshot)
+    parsed = parsed_actions(rows).drop("raw_payload_sha256").repartition("provider_event_id")
+    last = one_per_event(parsed.withColumn("raw_payload_sha256", X.sha256("raw_payload_json")), {"__dated": F.bool_and(F.col("process_date").isNotNull())})
+    kept = written(last.drop("page_no", "pos", "raw_payload_sha256"), "actions-kept")
+    require_action_keys(kept.withColumn("process_date", F.when(F.col("__dated"), F.col("process_date"))))
+    out = identified_actions(kept.drop("__dated"), episodes, snapshot).withColumn("raw_payload_sha256", X.sha256("raw_payload_json"))
     return out.select(*[F.col(f.name).cast(f.dataType) for f in S.ACTIONS.fields])
 
 
